@@ -30,20 +30,19 @@ def number_rows(
 ) -> DataFrame:
     """Number rows ``start + 1 .. start + n``, the id as first column.
 
-    Rows are spread over buckets by a hash of their keys (or by ``bucket``, an
-    integer expression with few distinct values) and numbered inside each
-    bucket in key order. A bucket's ids begin after the rows of all lower
-    buckets. The ids depend on the keys alone, not on partitioning or retries.
-
-    Input keys are unique, so no bucket is hot. Only the bucket sizes, one row
-    per bucket, are summed in one task and broadcast. ``df`` is evaluated twice:
-    pass a stored table rather than a long plan.
+    Rows are spread over ``buckets`` by the remainder of a hash of their keys
+    (or of ``bucket``, an integer expression) and numbered inside each bucket
+    in key order. A bucket's ids begin after the rows of all lower buckets. The
+    ids depend on the keys alone, not on partitioning or retries.
+
+    Input keys are unique, so no bucket is hot. Only the bucket sizes, at most
+    ``buckets`` rows, are summed in one task and broadcast. ``df`` is evaluated
+    twice: pass a stored table rather than a long plan.
     """
     keys = list(keys)
-    if bucket is None:
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    spread = F.xxhash64(*keys) if bucket is None else bucket.cast("bigint")
     columns = df.columns
-    rows = df.withColumn("_bucket", bucket)
+    rows = df.withColumn("_bucket", F.pmod(spread, F.lit(buckets)))
 
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))

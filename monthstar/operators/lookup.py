@@ -14,6 +14,12 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 HEAVY_KEYS = 256
 ROW_OVERHEAD_BYTES = 64
 
+# Frequent keys are counted in slices of the hash range, each by a sketch of
+# bounded size, so that no single task merges the sketches of all others.
+SLICES = 64
+SLICE_KEYS = 64
+SLICE_TRACKED = 1024
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -55,12 +61,14 @@ def resolve(
     for lookup in lookups:
         members = lookup.members()
         keys = list(lookup.keys)
+        for key in keys:
+            if df.schema[key].dataType != members.schema[key].dataType:
+                raise ValueError(f"key {key!r} has another type in the dimension")
         if key_bytes(members) <= broadcast_bytes:
             df = df.join(F.broadcast(members), keys, "left")
         else:
             counted = facts if set(keys) <= set(facts.columns) else df
-            heavy = _heavy_members(counted, lookup, heavy_keys)
-            df = _shuffled_lookup(df, lookup, members, heavy)
+            df = _shuffled_lookup(df, members, keys, _heavy_hashes(counted, keys, heavy_keys))
     return df.drop(*drop)
 
 
@@ -68,34 +76,31 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
 
 
-def _heavy_members(df: DataFrame, lookup: Lookup, limit: int) -> DataFrame:
-    """The most frequent keys of the facts with their members, ``limit`` keys at most.
+def _heavy_hashes(df: DataFrame, keys: Sequence[str], limit: int) -> list[int]:
+    """Hashes of the most frequent keys, ``limit`` at most.
 
-    Every key left out then holds less than 1 / limit of the rows. The list is
-    bounded by construction, so it may pass through the driver.
+    The counts are estimates. They only choose which way a row takes; every
+    row takes one, and both ways give the same result.
     """
-    keys = list(lookup.keys)
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.orderBy(F.desc("_rows"), *keys).limit(limit).select(*keys)
-    spark = df.sparkSession
-    heavy = spark.createDataFrame(top.collect(), top.schema)
-
-    members = lookup.members()
-    found = members.join(F.broadcast(heavy), keys).collect()
-    matched = spark.createDataFrame(found, members.schema)
-    return heavy.join(F.broadcast(matched), keys, "left").withColumn("_heavy", F.lit(True))
+    hashes = df.where(~_any_null(keys)).select(F.xxhash64(*keys).alias("_hash"))
+    frequent = F.call_function("approx_top_k", F.col("_hash"), F.lit(SLICE_KEYS), F.lit(SLICE_TRACKED))
+    slices = hashes.groupBy(F.pmod("_hash", F.lit(SLICES))).agg(frequent.alias("_top"))
+    found = slices.select(F.inline("_top"))
+    return [row["item"] for row in found.orderBy(F.desc("count"), "item").limit(limit).collect()]
 
 
-def _shuffled_lookup(df: DataFrame, lookup: Lookup, members: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Heavy and null keys by a bounded broadcast, the others by shuffle.
+def _shuffled_lookup(
+    df: DataFrame, members: DataFrame, keys: Sequence[str], heavy_hashes: Sequence[int]
+) -> DataFrame:
+    """Heavy and null keys by a broadcast of the heavy members, others by shuffle.
 
-    Null keys match nothing and would all meet in one shuffle partition, so
-    they stay on the broadcast side too.
+    The heavy members are as few as the given hashes, whatever the size of the
+    dimension. Null keys match nothing and would all meet in one shuffle
+    partition, so they stay with the heavy ones.
     """
-    keys = list(lookup.keys)
-    marked = df.join(F.broadcast(heavy), keys, "left")
-    spread = F.col("_heavy").isNull() & ~_any_null(keys)
-    columns = [*df.columns, *lookup.fetch]
-    direct = marked.where(~spread).select(*columns)
-    shuffled = marked.where(spread).select(*df.columns).join(members.hint("merge"), keys, "left")
-    return direct.unionByName(shuffled.select(*columns))
+    keys = list(keys)
+    heavy = F.xxhash64(*keys).isin(list(heavy_hashes)) if heavy_hashes else F.lit(False)
+    direct = heavy | _any_null(keys)
+    kept = df.where(direct).join(F.broadcast(members.where(heavy)), keys, "left")
+    shuffled = df.where(~direct).join(members.hint("merge"), keys, "left")
+    return kept.unionByName(shuffled)

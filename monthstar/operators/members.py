@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,8 +15,8 @@ def union_sources(*sources: DataFrame) -> DataFrame:
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys are all present."""
-    return df.dropna(subset=list(keys))
+    """Rows whose keys are all present; the scan skips the others where it can."""
+    return df.where(reduce(Column.__and__, [F.col(key).isNotNull() for key in keys]))
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

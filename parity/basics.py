@@ -26,7 +26,6 @@ from monthstar.operators import (
     row_count,
     union_sources,
 )
-from monthstar.operators.keys import DEFAULT_BUCKETS
 from monthstar.sources import agency_requests, month_requests, read_table
 from monthstar.specs import leaf, text
 from parity.registry import query, table
@@ -253,10 +252,9 @@ def union_by_name_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     from customer
 """)
 def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Buckets by remainder, which SQL can restate, in place of the hash."""
+    """Buckets by the key itself, which SQL can restate, in place of its hash."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    bucket = F.pmod("c_custkey", F.lit(DEFAULT_BUCKETS))
-    return number_rows(customer, ["c_custkey"], "customer_id", bucket=bucket)
+    return number_rows(customer, ["c_custkey"], "customer_id", bucket=F.col("c_custkey"))
 
 
 def _order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ Every query writes into a new folder under the session's checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,7 @@ from parity.registry import query, table
 
 RECORDS_PER_ARRAY = 1000
 RECORDS_PER_PAGE = 100
+RECORDS_PER_REQUEST = 1000
 
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -44,13 +45,13 @@ def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).csv(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, number: Column) -> None:
+def write_json_arrays(df: DataFrame, path: str, number: str) -> None:
     """Raw JSON: an array of records per line, of bounded length.
 
-    ``number`` is a dense record number; a thousand records share a line.
+    ``number`` names a unique record number; a thousand numbers share a line.
     """
     record = F.struct(*df.columns).alias("record")
-    block = F.floor(number / RECORDS_PER_ARRAY).alias("block")
+    block = F.expr(f"{number} div {RECORDS_PER_ARRAY}").alias("block")
     arrays = df.select(record, block).groupBy("block").agg(F.to_json(F.collect_list("record")).alias("line"))
     arrays.select("line").write.mode("overwrite").text(path)
 
@@ -76,7 +77,6 @@ def src_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path).select(*[field.column() for field in fields])
 
 
-# Rows lie in one folder per third of a month: 1998/orders=1998030, 1998031, ...
 ORDER_FILES = Family("orders", "orders={year}{month:02d}*")
 
 
@@ -85,12 +85,12 @@ ORDER_FILES = Family("orders", "orders={year}{month:02d}*")
     from orders where year(o_orderdate) = 1998 and month(o_orderdate) = 3
 """)
 def src_csv_month_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders written in folders by date, those of one month picked by name."""
+    """All orders written in folders by month, one of them picked by name."""
     root = scratch_folder(spark, "raw")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Código Pedido"),
         request_date("o_orderdate").alias("Data Emissão"),
-        F.date_format("o_orderdate", "yyyyMMdd").substr(1, 7).alias("orders"),
+        F.date_format("o_orderdate", "yyyyMM").alias("orders"),
     )
     write_csv(orders, root, by="orders")
     fields = [text("order_code", "Código Pedido"), text("order_date_text", "Data Emissão")]
@@ -117,7 +117,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "events")
-    write_json_arrays(event_records(spark, sf_dir), path, F.col("id"))
+    write_json_arrays(event_records(spark, sf_dir), path, "id")
     fields = [leaf("id", "id"), leaf("actor_code", "actor.code"), leaf("kind_name", "kind.detail.name")]
     return read_json(spark, path, EVENT_SCHEMA).select(
         *[field.column() for field in fields], F.col("amount").try_cast("decimal(18,2)").alias("amount")
@@ -151,17 +151,17 @@ def src_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events recorded as pages of 100, ten pages to a request, and fetched."""
     root = scratch_folder(spark, "pages")
-    number = F.col("event_id")
-    per_request = RECORDS_PER_PAGE * 10
     recorded = table(spark, sf_dir, "events").select(
-        F.floor(number / per_request).alias("lote"),
-        (F.floor(F.pmod(number, F.lit(per_request)) / RECORDS_PER_PAGE) + 1).cast("int").alias("page"),
+        F.expr(f"event_id div {RECORDS_PER_REQUEST}").alias("lote"),
+        F.expr(f"event_id % {RECORDS_PER_REQUEST} div {RECORDS_PER_PAGE}").alias("part"),
         F.struct("event_id", "user_id", "event_type").alias("item"),
     )
-    pages = recorded.groupBy("lote", "page").agg(F.collect_list("item").alias("items"))
-    lines = pages.select("lote", F.to_json(F.struct("page", "items")).alias("line"))
-    # The request folders are as many as the requests: gather each into one task.
-    lines.repartition("lote").write.partitionBy("lote").text(root)
+    parts = recorded.groupBy("lote", "part").agg(F.collect_list("item").alias("items"))
+    # Pages are numbered without gaps, as a service does; a request has few of them.
+    page = F.row_number().over(Window.partitionBy("lote").orderBy("part")).alias("page")
+    lines = parts.select("lote", page, "items").select("lote", F.to_json(F.struct("page", "items")).alias("line"))
+    # The window has put the pages of a request into one task, which writes its folder.
+    lines.write.partitionBy("lote").text(root)
 
     requests = recorded.select("lote", F.lit(1).alias("pagina")).distinct()
     fetched = fetch_pages(requests, RecordedPages(root, "lote"), Paging(sleep=0), max_parallel=None)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthstar.functions import request_date
-from monthstar.operators.keys import DEFAULT_BUCKETS
 from monthstar.plans import load_dimension, run_month, stage_source
 from monthstar.sinks import overwrite_table, scratch_folder
 from monthstar.sources import read_table
@@ -32,11 +31,6 @@ YEAR, MONTH = 1998, 3
 RUN = f"{YEAR}{MONTH:02d}"
 
 
-def _remainder(column: str) -> Column:
-    """A bucket that SQL can restate."""
-    return F.pmod(F.col(column).cast("bigint"), F.lit(DEFAULT_BUCKETS))
-
-
 def _known(df: DataFrame, root: str, dimension: Dimension) -> None:
     """Store members as an already loaded dimension."""
     numbered = df.withColumn(dimension.id_column, F.lit(0).cast("bigint"))
@@ -110,7 +104,7 @@ ACTION = Dimension(
 def stage_dimension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested JSON; the actions of one kind are known."""
     root = scratch_folder(spark, "star")
-    write_json_arrays(event_records(spark, sf_dir), f"{root}/raw_data/events-{YEAR}-{MONTH:02d}-01", F.col("id"))
+    write_json_arrays(event_records(spark, sf_dir), f"{root}/raw_data/events-{YEAR}-{MONTH:02d}-01", "id")
     known = table(spark, sf_dir, "events").where("event_type = 'error'")
     _known(
         known.selectExpr("event_type as kind_name", "cast(user_id as string) as actor_code").distinct(),
@@ -128,7 +122,7 @@ MERGED = Dimension(
         StagedSource("expenses_customer", (), (text("k", "k"), text("segment", "segment"))),
         StagedSource("vouchers_customer", (), (text("k", "k"), text("segment", "segment"))),
     ),
-    bucket=lambda: _remainder("k"),
+    bucket=lambda: F.col("k").cast("bigint"),
 )
 
 
@@ -156,7 +150,7 @@ SINGLE = Dimension(
     "nation",
     ("nation_code",),
     (StagedSource("vouchers_nation", (), (text("nation_code", "nation_code"), text("nation", "nation"))),),
-    bucket=lambda: _remainder("nation_code"),
+    bucket=lambda: F.col("nation_code").cast("bigint"),
 )
 
 
@@ -179,7 +173,7 @@ TWICE = Dimension(
     "customer",
     ("customer_code",),
     (StagedSource("vouchers_customer", (), (text("customer_code", "customer_code"),)),),
-    bucket=lambda: _remainder("customer_code"),
+    bucket=lambda: F.col("customer_code").cast("bigint"),
 )
 
 
@@ -343,7 +337,7 @@ def write_month(spark: SparkSession, sf_dir: str, root: str) -> None:
             ),
         ).alias("unidade"),
     )
-    write_json_arrays(vouchers, f"{root}/raw_data/vouchers-{YEAR}-{MONTH:02d}-01", F.col("id"))
+    write_json_arrays(vouchers, f"{root}/raw_data/vouchers-{YEAR}-{MONTH:02d}-01", "id")
 
 
 def build_month(spark: SparkSession, sf_dir: str) -> str:
