@@ -24,9 +24,9 @@ AGENCY_PARAMS = {"codigo": "unidadeGestora"}
 
 def month_requests(months: DataFrame, day: Column | str = "day") -> DataFrame:
     """One voucher request per distinct month among the given days."""
-    month = request_month(day)
-    asked = months.select(month.alias(MONTH_FROM)).distinct()
-    return asked.select(MONTH_FROM, F.col(MONTH_FROM).alias(MONTH_TO), F.lit(1).alias(PAGE))
+    distinct = months.select(F.trunc(_column(day), "month").alias("_month")).distinct()
+    month = request_month("_month")
+    return distinct.select(month.alias(MONTH_FROM), month.alias(MONTH_TO), F.lit(1).alias(PAGE))
 
 
 def agency_requests(

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthstar.functions import request_date
+from monthstar.operators import Lookup, resolve
 from monthstar.plans import load_dimension, run_month, stage_source
-from monthstar.sinks import overwrite_table, scratch_folder
+from monthstar.sinks import land_records, overwrite_table, scratch_folder
 from monthstar.sources import read_table
 from monthstar.specs import (
     Dimension,
@@ -300,44 +301,49 @@ def write_month(spark: SparkSession, sf_dir: str, root: str) -> None:
 
     Customers of one nation stay without a code, so their rows are unresolved.
     """
-    customer = table(spark, sf_dir, "customer").withColumn(
-        "code", F.when(F.col("c_nationkey") != 3, F.col("c_custkey")).cast("string")
-    )
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    people = customer.join(places, customer.c_nationkey == places.n_nationkey)
-
-    orders = table(spark, sf_dir, "orders")
-    documents = orders.join(people, orders.o_custkey == people.c_custkey).select(
+    code = F.when(F.col("c_nationkey") != 3, F.col("c_custkey")).cast("string")
+    customer = table(spark, sf_dir, "customer").withColumn("code", code)
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    person = ("code", "c_name", "c_mktsegment", "c_nationkey")
+    places = [
+        Lookup(nation, ("c_nationkey",), ("n_name", "n_regionkey")),
+        Lookup(region, ("n_regionkey",), ("r_name",)),
+    ]
+
+    buyers = Lookup(customer.withColumnRenamed("c_custkey", "o_custkey"), ("o_custkey",), person)
+    documents = resolve(table(spark, sf_dir, "orders"), [buyers, *places]).select(
         F.col("o_orderkey").alias("Código Pagamento"),
         request_date("o_orderdate").alias("Data Emissão"),
         _money("o_totalprice").alias("Valor"),
         F.col("code").alias("Código Favorecido"),
         F.col("c_name").alias("Favorecido"),
-        F.col("n_nationkey").alias("Código Órgão"),
+        F.col("c_nationkey").alias("Código Órgão"),
         F.col("n_name").alias("Órgão"),
         F.date_format("o_orderdate", "yyyyMM").alias("documents"),
     )
     write_csv(documents, f"{root}/raw_data", by="documents")
 
-    events = table(spark, sf_dir, "events")
-    vouchers = events.join(people, events.user_id == people.c_custkey).select(
+    users = Lookup(customer.withColumnRenamed("c_custkey", "user_id"), ("user_id",), person)
+    vendor = [
+        F.col("code").alias("codigo"),
+        F.col("c_name").alias("nome"),
+        F.col("c_mktsegment").alias("segmento"),
+    ]
+    city = [F.col("n_regionkey").cast("string").alias("codigo"), F.col("r_name").alias("nome")]
+    agency = [
+        F.col("c_nationkey").cast("string").alias("codigo"),
+        F.col("n_name").alias("nome"),
+        F.struct(*city).alias("regiao"),
+    ]
+    vouchers = resolve(table(spark, sf_dir, "events"), [users, *places]).select(
         F.col("event_id").alias("id"),
         request_date("ts").alias("data"),
         _money("value").alias("valor"),
-        F.struct(
-            F.col("code").alias("codigo"), F.col("c_name").alias("nome"), F.col("c_mktsegment").alias("segmento")
-        ).alias("favorecido"),
-        F.struct(
-            F.col("n_nationkey").cast("string").alias("codigo"),
-            F.col("n_name").alias("nome"),
-            F.struct(F.col("r_regionkey").cast("string").alias("codigo"), F.col("r_name").alias("nome")).alias(
-                "regiao"
-            ),
-        ).alias("unidade"),
+        F.struct(*vendor).alias("favorecido"),
+        F.struct(*agency).alias("unidade"),
     )
-    write_json_arrays(vouchers, f"{root}/raw_data/vouchers-{YEAR}-{MONTH:02d}-01", "id")
+    land_records(vouchers, f"{root}/raw_data/vouchers-{YEAR}-{MONTH:02d}-01")
 
 
 def build_month(spark: SparkSession, sf_dir: str) -> str:
@@ -352,12 +358,16 @@ def build_month(spark: SparkSession, sf_dir: str) -> str:
     select 'payment' as fact, 1998 as year, 3 as month, count(*) as n_rows,
         count(*) filter (where c.c_nationkey <> 3) as vendor_rows, count(n.n_nationkey) as agency_rows,
         cast(sum(cast(o.o_totalprice as decimal(18,2))) as double) as amount
-    from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+    from orders o
+    left join customer c on o.o_custkey = c.c_custkey
+    left join nation n on c.c_nationkey = n.n_nationkey
     where year(o.o_orderdate) = 1998 and month(o.o_orderdate) = 3
     union all
     select 'voucher', 1998, 3, count(*), count(*) filter (where c.c_nationkey <> 3), count(n.n_nationkey),
         cast(sum(cast(e.value as decimal(18,2))) as double)
-    from events e join customer c on e.user_id = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+    from events e
+    left join customer c on e.user_id = c.c_custkey
+    left join nation n on c.c_nationkey = n.n_nationkey
 """)
 def star_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, resolved rows and amounts of both facts after the whole month."""
