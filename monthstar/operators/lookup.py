@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -49,16 +49,18 @@ def resolve(
     drop: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
     heavy_keys: int = HEAVY_KEYS,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Left-join what each lookup fetches, then drop the named natural keys.
 
     Lookups run in order; a later one may match on what an earlier one
     fetched. Rows without a match keep nulls. A dimension whose measured size is
     within ``broadcast_bytes`` is broadcast, so the facts are not shuffled. A
-    larger one is joined by shuffle with its heavy keys taken out first.
+    larger one is joined by shuffle with its heavy keys taken out first; that
+    reads the rows three times, so ``store``, where given, is asked to write
+    them under a name and return them read back.
     """
-    facts = df
-    for lookup in lookups:
+    for number, lookup in enumerate(lookups):
         members = lookup.members()
         keys = list(lookup.keys)
         for key in keys:
@@ -67,8 +69,9 @@ def resolve(
         if key_bytes(members) <= broadcast_bytes:
             df = df.join(F.broadcast(members), keys, "left")
         else:
-            counted = facts if set(keys) <= set(facts.columns) else df
-            df = _shuffled_lookup(df, members, keys, _heavy_hashes(counted, keys, heavy_keys))
+            if store is not None:
+                df = store(df, f"lookup_{number}")
+            df = _shuffled_lookup(df, members, keys, _heavy_hashes(df, keys, heavy_keys))
     return df.drop(*drop)
 
 

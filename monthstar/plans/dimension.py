@@ -13,11 +13,17 @@ from monthstar.operators import (
     number_rows,
 )
 from monthstar.sinks import append_dimension, overwrite_table
-from monthstar.sources.files import DIMENSION, STAGING, join_path, read_optional, read_staged, read_table
+from monthstar.sources.files import (
+    DIMENSION,
+    LOADING,
+    STAGING,
+    join_path,
+    read_optional,
+    read_staged,
+    read_table,
+)
 from monthstar.specs.model import Dimension
 
-LOADING = "loading"
-
 
 def staged_members(spark: SparkSession, root: str, dimension: Dimension, strict: bool = False) -> DataFrame:
     """The staged rows of all sources of a dimension, one per key.

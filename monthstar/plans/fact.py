@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from monthstar.errors import EmptyFactError
 from monthstar.operators import Lookup, in_period, literal_period, rename, resolve, split_period
 from monthstar.operators.lookup import BROADCAST_BYTES
 from monthstar.sinks import overwrite_partitions, overwrite_table
-from monthstar.sources.files import DIMENSION, FACT, join_path, read_family, read_table
-from monthstar.specs.model import Fact, Family, Star
-
-REJECT = "reject"
+from monthstar.sources.files import (
+    DIMENSION,
+    FACT,
+    LOADING,
+    REJECT,
+    join_path,
+    read_family,
+    read_table,
+)
+from monthstar.specs.model import Fact, Star
 
 
 def dimension_lookups(spark: SparkSession, root: str, star: Star, fact: Fact) -> list[Lookup]:
@@ -25,10 +32,10 @@ def dimension_lookups(spark: SparkSession, root: str, star: Star, fact: Fact) ->
     return lookups
 
 
-def fact_rows(df: DataFrame, lookups: list[Lookup], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Ids in place of natural keys; period columns last."""
+def fact_rows(df: DataFrame, lookups: list[Lookup], **options) -> DataFrame:
+    """Ids in place of natural keys; period columns last. Options as for ``resolve``."""
     natural = {key for lookup in lookups for key in lookup.keys}
-    resolved = resolve(df, lookups, sorted(natural), broadcast_bytes)
+    resolved = resolve(df, lookups, sorted(natural), **options)
     period = ["year", "month"]
     return resolved.select(*[name for name in resolved.columns if name not in period], *period)
 
@@ -40,32 +47,39 @@ def load_fact(
     fact: Fact,
     year: int,
     month: int,
-    raw: dict[Family, DataFrame] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> int:
     """Write a month of a fact, replacing that month only.
 
     Rows dated outside the month, or without a readable date, would replace
     another month's partition; they go to ``reject/<fact>`` instead. They are
-    counted while the fact is written, so the documents are read a second time
-    only if there are any. Returns their number.
+    noticed while the fact is written, so the raw files are read a second time
+    only if there are any. Returns their number. A month without any row of its
+    own is an error, for nothing would replace what is stored for it.
     """
-    raw = raw or {}
-    documents = raw[fact.family] if fact.family in raw else read_family(spark, root, fact.family, year, month)
-    rows = rename(documents, fact.fields)
+    rows = rename(read_family(spark, root, fact.family, year, month), fact.fields)
     if not fact.row_period:
         rows = literal_period(rows, year, month)
 
-    counted = Observation()
+    def store(part: DataFrame, name: str) -> DataFrame:
+        path = join_path(root, LOADING, fact.name, name)
+        overwrite_table(part, path)
+        return read_table(spark, path)
+
+    seen = Observation()
     outside = ~F.coalesce(in_period(year, month), F.lit(False))
-    accepted, _ = split_period(rows.observe(counted, F.count_if(outside).alias("rejected")), year, month)
+    metrics = [F.count_if(outside).alias("rejected"), F.count_if(~outside).alias("accepted")]
+    accepted, _ = split_period(rows.observe(seen, *metrics), year, month)
     lookups = dimension_lookups(spark, root, star, fact)
-    overwrite_partitions(fact_rows(accepted, lookups, broadcast_bytes), join_path(root, FACT, fact.name))
+    resolved = fact_rows(accepted, lookups, broadcast_bytes=broadcast_bytes, store=store)
+    overwrite_partitions(resolved, join_path(root, FACT, fact.name))
 
-    n_rejected = counted.get["rejected"]
+    counted = seen.get
+    # A retried task may count its rows again, so the number itself is taken
+    # from what was written.
+    path = join_path(root, REJECT, fact.name, f"run={year}-{month:02d}")
     _, rejected = split_period(rows, year, month)
-    run = f"run={year}-{month:02d}"
-    if not n_rejected:
-        rejected = spark.createDataFrame([], rejected.schema)
-    overwrite_table(rejected, join_path(root, REJECT, fact.name, run))
-    return n_rejected
+    overwrite_table(rejected if counted["rejected"] else spark.createDataFrame([], rows.schema), path)
+    if not counted["accepted"]:
+        raise EmptyFactError(f"{fact.name}: no rows for {year}-{month:02d}")
+    return read_table(spark, path).count() if counted["rejected"] else 0

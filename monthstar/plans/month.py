@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 
 from pyspark.sql import SparkSession
 from pyspark.util import inheritable_thread_target
 
-from monthstar.operators import enforce_duplicate_keys, enforce_null_keys
 from monthstar.operators.lookup import BROADCAST_BYTES
+from monthstar.plans.checks import run_check
 from monthstar.plans.dimension import load_dimension
 from monthstar.plans.fact import load_fact
-from monthstar.plans.staging import columnar_copies, stage_source
-from monthstar.sources.files import DIMENSION, FACT, join_path, read_table
+from monthstar.plans.landing import land_extraction
+from monthstar.plans.staging import distinct_rows, shared_families, stage_source
+from monthstar.sources.paged import Paging, Transport
 from monthstar.specs.model import Star
 
 
@@ -26,36 +28,49 @@ def run_month(
     strict: bool = False,
     concurrent_jobs: int = 4,
     broadcast_bytes: int = BROADCAST_BYTES,
+    transport_for: Callable[[str], Transport] | None = None,
+    paging: Paging = Paging(),
 ) -> dict[str, dict]:
     """Stage, load and check all dimensions, then load and check all facts.
 
-    Each step ends before the next begins; inside a step the tables are
+    With ``transport_for`` the month's card vouchers are fetched and landed
+    first. Each step ends before the next begins; inside a step the tables are
     independent and their jobs share the cluster. A failed check raises and
     stops the run. Running a month again changes nothing but its own fact
     partitions. Returns what the checks measured, by table.
     """
-    raw = columnar_copies(spark, root, star, year, month)
+    if transport_for is not None:
+        land_extraction(spark, root, "corporate_card_expenses", date(year, month, 1), transport_for, paging)
 
-    def stage(task):
-        stage_source(spark, root, *task, year, month, raw)
+    def fold(group):
+        families, sources = group
+        return distinct_rows(spark, root, families, sources, year, month)
 
-    def dimension(table):
+    def stage(side):
+        table, source = side
+        stage_source(spark, root, table, source, year, month, rows.get(source.name))
+
+    def load(table):
         load_dimension(spark, root, table, strict)
-        stored = read_table(spark, join_path(root, DIMENSION, table.name))
-        return table.name, enforce_duplicate_keys(stored, table.keys, table.name)
+        return table.name, run_check(spark, root, "dimension_duplicate_keys", table.name, table.keys)
 
-    def fact(table):
-        rejected = load_fact(spark, root, star, table, year, month, raw, broadcast_bytes)
-        stored = read_table(spark, join_path(root, FACT, table.name))
-        measured = enforce_null_keys(
-            stored, table.required, table.max_null_percent, (year, month), table.name
+    def write(table):
+        rejected = load_fact(spark, root, star, table, year, month, broadcast_bytes)
+        measured = run_check(
+            spark, root, "fact_keys", table.name, table.required, table.max_null_percent, period=(year, month)
         )
         return table.name, {**measured, "rejected_rows": rejected}
 
+    # Sources over the same raw files are folded in one pass of the text.
+    shared = [group for group in shared_families(star).items() if len(group[1]) > 1]
+    rows = {}
+    for part in _together(spark, fold, shared, concurrent_jobs):
+        rows.update(part)
+
     sides = [(table, source) for table in star.dimensions for source in table.sources]
     _together(spark, stage, sides, concurrent_jobs)
-    checked = _together(spark, dimension, star.dimensions, concurrent_jobs)
-    checked += _together(spark, fact, star.facts, concurrent_jobs)
+    checked = _together(spark, load, star.dimensions, concurrent_jobs)
+    checked += _together(spark, write, star.facts, concurrent_jobs)
     return dict(checked)
 
 

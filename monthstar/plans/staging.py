@@ -2,41 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthstar.operators import dedupe_by_key, drop_null_keys, new_members, rename, union_sources
 from monthstar.sinks import overwrite_table
-from monthstar.sources.files import DIMENSION, STAGING, join_path, read_family, read_optional
-from monthstar.specs.model import Dimension, Family, StagedSource, Star
-
-COPIES = "columnar"
-
+from monthstar.sources.files import (
+    DIMENSION,
+    LOADING,
+    STAGING,
+    join_path,
+    read_family,
+    read_optional,
+)
+from monthstar.specs.model import Dimension, Family, Field, StagedSource, Star
 
-def copy_path(root: str, family: Family) -> str:
-    return join_path(root, COPIES, family.name)
 
+def read_families(
+    spark: SparkSession, root: str, families: Sequence[Family], fields: Sequence[Field], year: int, month: int
+) -> DataFrame:
+    """The same columns of several families' files of a month, all rows."""
+    tables = [rename(read_family(spark, root, family, year, month), fields) for family in families]
+    return union_sources(*tables)
 
-def columnar_copies(spark: SparkSession, root: str, star: Star, year: int, month: int) -> dict[Family, DataFrame]:
-    """Copy the month's raw files to parquet, one pass over the text of each.
-
-    A family feeds several dimensions and a fact. From the copy each of them
-    reads only its own columns instead of parsing all text again. A family's
-    copy holds the last month run and is replaced as a whole.
-    """
-    copies = {}
-    for family, columns in star.families().items():
-        raw = read_family(spark, root, family, year, month)
-        path = copy_path(root, family)
-        overwrite_table(raw.select(*[F.col(f"`{name}`") for name in columns]), path)
-        copies[family] = spark.read.parquet(path)
-    return copies
 
-
-def stage_members(sources: list[DataFrame], dimension: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """New members among the rows of the given sources."""
-    rows = drop_null_keys(union_sources(*sources), keys)
-    return new_members(dedupe_by_key(rows, keys, repeated=True), dimension, keys)
+def stage_members(rows: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The new members among rows: complete keys, one row each, not known yet."""
+    members = dedupe_by_key(drop_null_keys(rows, keys), keys, repeated=True)
+    return new_members(members, dimension, keys)
 
 
 def stage_source(
@@ -46,16 +41,56 @@ def stage_source(
     source: StagedSource,
     year: int,
     month: int,
-    raw: dict[Family, DataFrame] | None = None,
+    rows: DataFrame | None = None,
 ) -> None:
     """Stage one side's new members of a dimension for a month.
 
-    ``raw`` gives raw files that are read already, such as columnar copies.
+    ``rows`` gives the side's rows where they have been read already.
     """
-    raw = raw or {}
-    tables = []
-    for family in source.families:
-        rows = raw[family] if family in raw else read_family(spark, root, family, year, month)
-        tables.append(rename(rows, source.fields))
+    if rows is None:
+        rows = read_families(spark, root, source.families, source.fields, year, month)
     known = read_optional(spark, join_path(root, DIMENSION, dimension.name), dimension.schema)
-    overwrite_table(stage_members(tables, known, dimension.keys), join_path(root, STAGING, source.name))
+    overwrite_table(stage_members(rows, known, dimension.keys), join_path(root, STAGING, source.name))
+
+
+def shared_families(star: Star) -> dict[tuple[Family, ...], tuple[StagedSource, ...]]:
+    """The staged sources of a star by the raw families they read."""
+    groups: dict[tuple[Family, ...], list[StagedSource]] = {}
+    for dimension in star.dimensions:
+        for source in dimension.sources:
+            groups.setdefault(source.families, []).append(source)
+    return {families: tuple(sources) for families, sources in groups.items()}
+
+
+def distinct_rows(
+    spark: SparkSession,
+    root: str,
+    families: Sequence[Family],
+    sources: Sequence[StagedSource],
+    year: int,
+    month: int,
+) -> dict[str, DataFrame]:
+    """The distinct rows of several sources over one pass of their raw files.
+
+    Each source is a grouping set: rows are folded by hash before the shuffle,
+    whatever share of them a member holds. The result is stored by source, and
+    what is returned, by source name, reads its own part only.
+    """
+    wide = [Field(f"{source.name}__{f.name}", f.source, f.parse) for source in sources for f in source.fields]
+    sets = [[f"{source.name}__{f.name}" for f in source.fields] for source in sources]
+    rows = read_families(spark, root, families, wide, year, month)
+
+    grouped = F.lit(None)
+    for source, columns in zip(sources, sets):
+        grouped = F.when(F.grouping(columns[0]) == 0, F.lit(source.name)).otherwise(grouped)
+    folded = rows.groupingSets(sets, *[f.name for f in wide]).agg(grouped.alias("source"))
+    path = join_path(root, LOADING, "members", "_".join(family.name for family in families))
+    folded.write.mode("overwrite").partitionBy("source").parquet(path)
+
+    # The schema is given because a month without any member has no file to take it from.
+    stored = spark.read.schema(folded.schema).parquet(path)
+    parts = {}
+    for source, columns in zip(sources, sets):
+        own = [F.col(column).alias(f.name) for column, f in zip(columns, source.fields)]
+        parts[source.name] = stored.where(F.col("source") == source.name).select(*own)
+    return parts

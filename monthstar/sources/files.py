@@ -13,6 +13,8 @@ from monthstar.specs.model import Family
 STAGING = "staging"
 DIMENSION = "dimension"
 FACT = "fact"
+LOADING = "loading"
+REJECT = "reject"
 
 
 def join_path(root: str, *parts: str) -> str:

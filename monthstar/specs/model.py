@@ -23,11 +23,6 @@ class Field:
     source: str | tuple[str, ...]
     parse: Callable[[Column], Column] | None = None
 
-    @property
-    def root(self) -> str:
-        """The top-level raw column this field reads."""
-        return self.source if isinstance(self.source, str) else self.source[0]
-
     def column(self) -> Column:
         path = (self.source,) if isinstance(self.source, str) else self.source
         raw = F.col(".".join("`" + part.replace("`", "``") + "`" for part in path))
@@ -165,17 +160,6 @@ class Star:
     def fact(self, name: str) -> Fact:
         return _named(self.facts, name, "fact")
 
-    def families(self) -> dict[Family, tuple[str, ...]]:
-        """Each raw family with the top-level columns that any table reads."""
-        used: dict[Family, dict[str, None]] = {}
-        for dimension in self.dimensions:
-            for source in dimension.sources:
-                for family in source.families:
-                    used.setdefault(family, {}).update({f.root: None for f in source.fields})
-        for fact in self.facts:
-            used.setdefault(fact.family, {}).update({f.root: None for f in fact.fields})
-        return {family: tuple(columns) for family, columns in used.items()}
-
 
 def _named(tables: tuple, name: str, kind: str):
     for table in tables:

@@ -1,5 +1,6 @@
 """Two months of the spending star, from raw files to checked facts."""
 
+import json
 from dataclasses import replace
 from datetime import date
 from pathlib import Path
@@ -8,7 +9,12 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from monthstar import SPENDING_WITH_TYPES, run_month
-from monthstar.errors import DuplicateKeyError, NullKeyError
+from monthstar.errors import DuplicateKeyError, EmptyFactError, NullKeyError, TooFewRowsError
+from monthstar.operators import null_keys
+from monthstar.plans import distinct_rows, load_dimension, load_fact, run_check, stage_source
+from monthstar.plans.staging import shared_families
+from monthstar.sources import Reply
+from monthstar.sources.paged import Paging
 from monthstar.specs.model import Star
 from monthstar.specs.spending import AGENCY, CITY, COMMITMENT, EXPENSE_TYPES, PAYMENT, VENDOR, VOUCHER_PAYMENT
 from tests.spending_files import (
@@ -20,6 +26,9 @@ from tests.spending_files import (
     PARKS,
     PRINTER,
     STATION,
+    payment,
+    shop,
+    voucher,
     write_february,
     write_files,
     write_january,
@@ -269,6 +278,81 @@ def test_empty_voucher_month_gives_no_members(spark, root):
     write_files(root, 2020, 1, commitments=[], settlements=[], payments=[], vouchers=[], items=[])
     run_month(spark, root, Star(LENIENT.dimensions), 2020, 1)
     assert ids(spark, root, VENDOR) == {}
+    with pytest.raises(EmptyFactError):
+        run_month(spark, root, LENIENT, 2020, 1)
+
+
+def test_month_left_without_rows_is_noticed(spark, root):
+    write_january(root)
+    run_month(spark, root, LENIENT, 2020, 1)
+    before = snapshot(spark, root)
+    stray = [payment(1, EDUCATION, BAKER, "08/03/2020")]
+    write_files(root, 2020, 1, commitments=[], settlements=[], payments=stray, vouchers=[], items=[])
+    with pytest.raises(EmptyFactError):
+        load_fact(spark, root, LENIENT, PAYMENT, 2020, 1)
+    assert snapshot(spark, root) == before
+    assert spark.read.parquet(f"{root}/reject/payment/run=2020-01").count() == 1
+
+
+def test_load_repeated_after_its_append_adds_nothing(spark, root):
+    write_january(root)
+    run_month(spark, root, Star(LENIENT.dimensions), 2020, 1)
+    before = {d.name: ids(spark, root, d) for d in LENIENT.dimensions}
+    for dimension in LENIENT.dimensions:
+        load_dimension(spark, root, dimension)
+    assert {d.name: ids(spark, root, d) for d in LENIENT.dimensions} == before
+
+
+def test_sources_apart_stage_what_they_stage_together(spark, root):
+    write_january(root)
+    for families, sources in shared_families(LENIENT).items():
+        parts = distinct_rows(spark, root, families, sources, 2020, 1)
+        for dimension in LENIENT.dimensions:
+            for source in dimension.sources:
+                if source.name in parts:
+                    stage_source(spark, root, dimension, source, 2020, 1)
+                    alone = sorted(map(str, stored(spark, root, "staging", source.name).collect()))
+                    stage_source(spark, root, dimension, source, 2020, 1, parts[source.name])
+                    assert sorted(map(str, stored(spark, root, "staging", source.name).collect())) == alone
+
+
+def test_vouchers_can_be_fetched_first(spark, root):
+    write_january(root)
+    for path in Path(root, "raw_data", "credit_card_vouchers").iterdir():
+        path.unlink()
+    records = [voucher(7, EDUCATION, shop(*BAKER)), voucher(8, HEALTH, shop(*STATION))]
+
+    def transport_for(endpoint):
+        assert endpoint == "/cartoes"
+        return lambda params: Reply(200, json.dumps(records if params["pagina"] == 1 else []))
+
+    run_month(spark, root, LENIENT, 2020, 1, transport_for=transport_for, paging=Paging(0, 0))
+    rows = stored(spark, root, "fact", "voucher_payment").collect()
+    assert {row["payment_id"] for row in rows} == {7, 8}
+    assert all(row["vendor_id"] and row["agency_id"] and row["city_id"] for row in rows)
+
+
+def test_checks_by_name(spark, two_months):
+    root, *_ = two_months
+    assert run_check(spark, root, "fact_rows", "payment", minimum=5)["n_rows"] == 5
+    assert run_check(spark, root, "fact_rows", "payment", minimum=2, period=(2020, 2))["n_rows"] == 2
+    assert run_check(spark, root, "dimension_rows", "vendor", minimum=7)["passed"]
+    with pytest.raises(TooFewRowsError):
+        run_check(spark, root, "dimension_rows", "vendor", minimum=8)
+    with pytest.raises(EmptyFactError):
+        run_check(spark, root, "fact_keys", "payment", ["vendor_id"], 2, period=(2020, 3))
+    with pytest.raises(KeyError):
+        run_check(spark, root, "fact_keys", "payment", [], 2)
+    with pytest.raises(ValueError):
+        run_check(spark, root, "fact_columns", "payment")
+
+
+def test_a_period_check_reads_one_partition(spark, two_months):
+    root, *_ = two_months
+    plan = null_keys(stored(spark, root, "fact", "payment"), ["vendor_id"], (2020, 1))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in text
+    assert "ReadSchema: struct<vendor_id:bigint>" in text
 
 
 def test_unreadable_dimension_is_an_error(spark, root):
