@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +25,17 @@ def literal_period(df: DataFrame, year: int, month: int) -> DataFrame:
     return df.withColumns({"year": F.lit(int(year)), "month": F.lit(int(month))})
 
 
-def in_period(year: int, month: int) -> Column:
-    """Predicate for one period; on a partitioned fact it prunes directories."""
-    return (F.col("year") == int(year)) & (F.col("month") == int(month))
+def in_period(year: int, month: int, day: str | None = None) -> Column:
+    """Predicate for one period.
+
+    On the partition columns of a fact it prunes folders. ``day`` names a date
+    column of a table without them; a range on it lets the scan skip blocks.
+    """
+    if day is None:
+        return (F.col("year") == int(year)) & (F.col("month") == int(month))
+    first = date(int(year), int(month), 1)
+    following = date(first.year + first.month // 12, first.month % 12 + 1, 1)
+    return (F.col(day) >= F.lit(first)) & (F.col(day) < F.lit(following))
 
 
 def split_period(df: DataFrame, year: int, month: int) -> tuple[DataFrame, DataFrame]:

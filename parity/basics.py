@@ -171,8 +171,8 @@ def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select o_orderkey, o_totalprice from orders where year(o_orderdate) = 1998 and month(o_orderdate) = 3")
 def filter_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = _dated_orders(spark, sf_dir)
-    return dated.where(in_period(1998, 3)).select("o_orderkey", "o_totalprice")
+    orders = table(spark, sf_dir, "orders")
+    return orders.where(in_period(1998, 3, "o_orderdate")).select("o_orderkey", "o_totalprice")
 
 
 @query("""

@@ -15,6 +15,7 @@ from monthstar.operators import (
     enforce_duplicate_keys,
     enforce_null_keys,
     enforce_rows,
+    in_period,
     key_bytes,
     literal_period,
     max_id,
@@ -138,6 +139,13 @@ def test_period_split_keeps_every_row_once(spark):
     assert literal_period(df.select("k"), 2020, 8).dtypes == [("k", "int"), ("year", "int"), ("month", "int")]
 
 
+@pytest.mark.parametrize("year, month", [(2020, 2), (2019, 12), (2020, 1)])
+def test_period_of_a_date_column(spark, year, month):
+    days = spark.sql("select explode(sequence(date'2019-11-25', date'2020-03-05')) as day")
+    want = days.where(f"year(day) = {year} and month(day) = {month}")
+    assert rows(days.where(in_period(year, month, "day"))) == rows(want)
+
+
 LOOKUP_SCHEMA = "k int, l string, n int"
 
 
