@@ -58,9 +58,9 @@ def month_of(day: Column | str) -> Column:
 
 def request_date(day: Column | str) -> Column:
     """A date as the paged service expects it, ``dd/MM/yyyy``."""
-    return F.date_format(_column(day), DATE_PATTERN)
+    return F.date_format(_column(day).cast("date"), DATE_PATTERN)
 
 
 def request_month(day: Column | str) -> Column:
     """A month as the paged service expects it, ``MM/yyyy``."""
-    return F.date_format(_column(day), MONTH_PATTERN)
+    return F.date_format(_column(day).cast("date"), MONTH_PATTERN)

@@ -24,10 +24,11 @@ def join_path(root: str, *parts: str) -> str:
 def read_csv(spark: SparkSession, path: str, separator: str = ";", encoding: str = "UTF-8") -> DataFrame:
     """Delimited files with a header; every column is text.
 
-    Columns take their names from the header. Records are one line each, so
-    large files are split, and only the selected columns are parsed.
+    Columns take their names from the header of one file; a file that has them
+    in another order is an error. Records are one line each, so large files are
+    split, and only the selected columns are parsed.
     """
-    return spark.read.csv(path, sep=separator, encoding=encoding, header=True)
+    return spark.read.csv(path, sep=separator, encoding=encoding, header=True, enforceSchema=False)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

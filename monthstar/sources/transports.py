@@ -63,7 +63,7 @@ class RecordedPages:
 def _recorded(folder: str):
     from pyarrow import fs
 
-    location = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    location = folder.replace("s3a://", "s3://") if "://" in folder else "file://" + folder.removeprefix("file:")
     filesystem, path = fs.FileSystem.from_uri(location)
     listing = filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True))
     for entry in listing:

@@ -29,9 +29,14 @@ from monthstar.sources import (
 )
 from monthstar.sources import paged
 from monthstar.sources.paged import Paging
+from monthstar.specs import Family
 from monthstar.specs.spending import PAYMENTS, VOUCHER_SCHEMA, VOUCHERS
 from tests.spending_files import EDUCATION, shop, voucher, write_january
 
+def rows_of(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
 QUICK = Paging(retries=2, sleep=0)
 
 
@@ -244,6 +249,22 @@ def test_csv_is_text_with_accents(spark, root):
     assert df.where("`Id Empenho` = 'E6'").first()["Código Favorecido"] is None
 
 
+def test_csv_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"Código";"Nome"\n"1";"x"\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("")
+    (tmp_path / "c.csv").write_text('"Código";"Nome"\n', encoding="utf-8")
+    assert rows_of(read_csv(spark, str(tmp_path)).select("`Código`")) == [("1",)]
+    (tmp_path / "d.csv").write_text('"Nome";"Código"\n"y";"2"\n', encoding="utf-8")
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path)).select("`Código`").collect()
+
+
+def test_csv_in_another_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"Código";"Órgão"\n"1";"ação"\n', encoding="iso-8859-1")
+    family = Family("latin", "a*", encoding="ISO-8859-1")
+    assert rows_of(read_family(spark, str(tmp_path), family, 2020, 1).select("`Órgão`")) == [("ação",)]
+
+
 def test_csv_reads_only_the_selected_columns(spark, root):
     write_january(root)
     df = read_family(spark, root, PAYMENTS, 2020, 1).select("`Código Favorecido`")
