@@ -132,9 +132,10 @@ def fetch_pages(
 
 
 @dataclass
-class _Run(InputPartition):
-    request: str
-    offset: int
+class _Runs(InputPartition):
+    """Requests fetched by one task, each with the offset of its stride."""
+
+    runs: list[tuple[str, int]]
 
 
 class PagedJsonSource(DataSource):
@@ -142,7 +143,8 @@ class PagedJsonSource(DataSource):
 
     Options: ``requests`` (JSON array of parameter objects), ``transport`` (a
     name given to ``register``), ``limitPages``, ``retries``, ``sleep``,
-    ``strides``. Requests that come from a table go through ``fetch_pages``.
+    ``strides``, ``maxParallel``. Requests that come from a table go through
+    ``fetch_pages``.
     """
 
     transports: Mapping[str, Transport] = {}
@@ -162,20 +164,29 @@ class PagedJsonSource(DataSource):
             limit_pages=int(options.get("limitpages", Paging.limit_pages)),
             strides=int(options.get("strides", Paging.strides)),
         )
-        return _PagedReader(self.transports[options["transport"]], json.loads(options["requests"]), paging)
+        return _PagedReader(
+            self.transports[options["transport"]],
+            json.loads(options["requests"]),
+            paging,
+            int(options.get("maxparallel", 1)),
+        )
 
 
 class _PagedReader(DataSourceReader):
-    def __init__(self, transport: Transport, requests: list[dict], paging: Paging):
+    def __init__(self, transport: Transport, requests: list[dict], paging: Paging, max_parallel: int):
         self.transport = transport
         self.requests = [json.dumps(request, ensure_ascii=False) for request in requests]
         self.paging = paging
+        self.max_parallel = max_parallel
 
     def partitions(self) -> list[InputPartition]:
-        return [_Run(request, offset) for request in self.requests for offset in range(self.paging.strides)]
+        runs = [(request, offset) for request in self.requests for offset in range(self.paging.strides)]
+        slots = max(1, min(self.max_parallel, len(runs)))
+        return [_Runs(runs[slot::slots]) for slot in range(slots)]
 
-    def read(self, partition: _Run) -> Iterator[pa.RecordBatch]:
-        return _batches(self.transport, partition.request, self.paging, partition.offset)
+    def read(self, partition: _Runs) -> Iterator[pa.RecordBatch]:
+        for request, offset in partition.runs:
+            yield from _batches(self.transport, request, self.paging, offset)
 
 
 def register(spark: SparkSession, **transports_by_name: Transport) -> None:

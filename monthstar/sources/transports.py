@@ -24,7 +24,7 @@ class HttpGet:
     """GET with the parameters as query string."""
 
     url: str
-    headers: Mapping[str, str] = field(default_factory=dict)
+    headers: Mapping[str, str] = field(default_factory=dict, repr=False)
     timeout: float = 60
 
     def __call__(self, params: Mapping) -> Reply:

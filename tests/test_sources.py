@@ -153,8 +153,17 @@ def test_paged_format(spark, tmp_path):
         .option("limitPages", 2)
     )
     assert sorted(row["record"] for row in reader.load().collect()) == ['{"n": 1}', '{"n": 2}', '{"n": 9}']
-    assert reader.load().rdd.getNumPartitions() == 2
-    assert reader.option("limitPages", 0).option("strides", 2).load().count() == 4
+    assert reader.load().rdd.getNumPartitions() == 1
+    assert reader.option("maxParallel", 9).load().rdd.getNumPartitions() == 2
+    reader.option("limitPages", 0).option("strides", 2)
+    assert reader.option("maxParallel", 3).load().rdd.getNumPartitions() == 3
+    assert sorted(row["record"] for row in reader.load().collect()) == [f'{{"n": {n}}}' for n in (1, 2, 3, 9)]
+
+
+def test_paged_format_without_requests(spark, tmp_path):
+    register(spark, recorded=RecordedPages(str(tmp_path), "lote"))
+    reader = spark.read.format("paged_json").option("transport", "recorded").option("requests", "[]")
+    assert reader.load().count() == 0
 
 
 def test_http_get_builds_the_request(monkeypatch):
