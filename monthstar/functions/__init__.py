@@ -1,4 +1,4 @@
-"""Scalar column expressions for Brazilian text exports."""
+"""Scalar column expressions for text exports with decimal commas."""
 
 from monthstar.functions.text import (
     all_but_yes,

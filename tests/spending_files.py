@@ -50,7 +50,7 @@ ITEM_HEADERS = [
 ]
 
 EDUCATION = {"superior": ("26000", "Educação"), "agency": ("26201", "Colégio São João"), "branch": ("153", "Sede")}
-HEALTH = {"superior": ("36000", "Saúde"), "agency": ("36201", "Instituto Água Viva"), "branch": ("254", "Núcleo Sul")}
+HEALTH = {"superior": ("36000", "Saúde"), "agency": ("36201", "Água Viva"), "branch": ("254", "Núcleo Sul")}
 PARKS = {"superior": ("44000", "Ambiente"), "agency": ("44201", "Parques"), "branch": ("443", "Serra")}
 
 
@@ -113,7 +113,8 @@ def item(numbers, labels):
 def voucher(number, office, vendor, spent="05/01/2020", value="1.234,56", town=("3550308", "São Paulo", "SP")):
     place = None
     if town:
-        place = {"codigoIBGE": town[0], "nomeIBGE": town[1], "pais": "BRASIL", "uf": {"nome": town[1], "sigla": town[2]}}
+        code, name, state = town
+        place = {"codigoIBGE": code, "nomeIBGE": name, "pais": "BRASIL", "uf": {"nome": name, "sigla": state}}
     return {
         "id": number,
         "mesExtrato": "01/2020",

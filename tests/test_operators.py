@@ -72,7 +72,8 @@ def test_dedupe_aggregates_before_the_shuffle(spark):
 
 
 def test_null_rules(spark):
-    df = spark.createDataFrame([(1, "a", None), (None, "b", "x"), (3, None, "y"), (4, "d", "z")], "k int, l string, v string")
+    data = [(1, "a", None), (None, "b", "x"), (3, None, "y"), (4, "d", "z")]
+    df = spark.createDataFrame(data, "k int, l string, v string")
     assert rows(drop_null_keys(df, ["k", "l"])) == [(1, "a", None), (4, "d", "z")]
     assert rows(drop_incomplete(df)) == [(4, "d", "z")]
 
@@ -132,7 +133,8 @@ def test_headers_with_odd_characters(spark):
 
 
 def test_period_split_keeps_every_row_once(spark):
-    df = spark.createDataFrame([(1, 2020, 1), (2, 2020, 2), (3, None, None), (4, 2020, None)], "k int, year int, month int")
+    data = [(1, 2020, 1), (2, 2020, 2), (3, None, None), (4, 2020, None)]
+    df = spark.createDataFrame(data, "k int, year int, month int")
     inside, outside = split_period(df, 2020, 1)
     assert rows(inside) == [(1, 2020, 1)]
     assert [row[0] for row in rows(outside)] == [2, 3, 4]

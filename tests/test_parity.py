@@ -1,6 +1,7 @@
 """Every registered query gives the rows its SQL gives."""
 
 import decimal
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no driver tables")
