@@ -28,9 +28,11 @@ def read_families(
     return union_sources(*tables)
 
 
-def stage_members(rows: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
+def stage_members(
+    rows: DataFrame, dimension: DataFrame, keys: Sequence[str], repeated: bool = True
+) -> DataFrame:
     """The new members among rows: complete keys, one row each, not known yet."""
-    members = dedupe_by_key(drop_null_keys(rows, keys), keys, repeated=True)
+    members = dedupe_by_key(drop_null_keys(rows, keys), keys, repeated)
     return new_members(members, dimension, keys)
 
 
@@ -45,12 +47,14 @@ def stage_source(
 ) -> None:
     """Stage one side's new members of a dimension for a month.
 
-    ``rows`` gives the side's rows where they have been read already.
+    ``rows`` gives the side's distinct rows where they have been read already.
     """
+    repeated = rows is None
     if rows is None:
         rows = read_families(spark, root, source.families, source.fields, year, month)
     known = read_optional(spark, join_path(root, DIMENSION, dimension.name), dimension.schema)
-    overwrite_table(stage_members(rows, known, dimension.keys), join_path(root, STAGING, source.name))
+    staged = stage_members(rows, known, dimension.keys, repeated)
+    overwrite_table(staged, join_path(root, STAGING, source.name))
 
 
 def shared_families(star: Star) -> dict[tuple[Family, ...], tuple[StagedSource, ...]]:

@@ -147,8 +147,10 @@ def src_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staged(spark, root, "party")
 
 
-@query("select event_id, user_id, event_type from events")
-def src_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+PAGED_EVENT = "event_id bigint, user_id bigint, event_type string"
+
+
+def fetched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events recorded as pages of 100, ten pages to a request, and fetched."""
     root = scratch_folder(spark, "pages")
     recorded = table(spark, sf_dir, "events").select(
@@ -164,9 +166,21 @@ def src_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.write.partitionBy("lote").text(root)
 
     requests = recorded.select("lote", F.lit(1).alias("pagina")).distinct()
-    fetched = fetch_pages(requests, RecordedPages(root, "lote"), Paging(sleep=0), max_parallel=None)
-    record = F.from_json("record", "event_id bigint, user_id bigint, event_type string")
-    return fetched.select(record.alias("record")).select("record.*")
+    return fetch_pages(requests, RecordedPages(root, "lote"), Paging(sleep=0), max_parallel=None)
+
+
+@query("select event_id, user_id, event_type from events")
+def src_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = F.from_json("record", PAGED_EVENT).alias("record")
+    return fetched_events(spark, sf_dir).select(record).select("record.*")
+
+
+@query("select event_id, user_id, event_type from events")
+def land_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched records landed as they came, then read as raw files."""
+    path = scratch_folder(spark, "raw/events")
+    land_records(fetched_events(spark, sf_dir), path, "record")
+    return read_json(spark, path, PAGED_EVENT)
 
 
 @query("select s_suppkey, s_name from supplier")
@@ -213,4 +227,4 @@ def sink_fact_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame
 def sink_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "raw/events")
     land_records(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), path)
-    return read_json(spark, path, "event_id bigint, user_id bigint, event_type string")
+    return read_json(spark, path, PAGED_EVENT)

@@ -384,3 +384,44 @@ def star_month(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, facts)
+
+
+def _with_keys(spark: SparkSession, root: str, fact: Fact) -> DataFrame:
+    """A stored fact with the natural keys its ids stand for."""
+    lookups = []
+    for name in fact.dimensions:
+        dimension = STAR.dimension(name)
+        stored = read_table(spark, f"{root}/dimension/{name}")
+        lookups.append(Lookup(stored, (dimension.id_column,), dimension.keys))
+    ids = [STAR.dimension(name).id_column for name in fact.dimensions]
+    return resolve(read_table(spark, f"{root}/fact/{fact.name}"), lookups, drop=ids)
+
+
+@query("""
+    select cast(o.o_orderkey as varchar) as payment_code, cast(o.o_orderdate as date) as payment_date,
+        o.o_totalprice as payment_amount,
+        case when c.c_nationkey <> 3 then cast(c.c_custkey as varchar) end as vendor_code,
+        case when c.c_nationkey <> 3 then c.c_name end as vendor_name,
+        cast(c.c_nationkey as varchar) as agency_code, 1998 as year, 3 as month
+    from orders o left join customer c on o.o_custkey = c.c_custkey
+    where year(o.o_orderdate) = 1998 and month(o.o_orderdate) = 3
+""")
+def fact_expenses_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's payment fact, row by row, with the keys behind its ids."""
+    return _with_keys(spark, build_month(spark, sf_dir), STAR_PAYMENT)
+
+
+@query("""
+    select e.event_id as payment_id, cast(e.ts as date) as payment_date, e.value as payment_amount,
+        case when c.c_nationkey <> 3 then cast(c.c_custkey as varchar) end as vendor_code,
+        case when c.c_nationkey <> 3 then c.c_name end as vendor_name,
+        cast(n.n_nationkey as varchar) as agency_code, cast(r.r_regionkey as varchar) as city_code,
+        r.r_name as city, 1998 as year, 3 as month
+    from events e
+    left join customer c on e.user_id = c.c_custkey
+    left join nation n on c.c_nationkey = n.n_nationkey
+    left join region r on n.n_regionkey = r.r_regionkey
+""")
+def fact_vouchers_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's voucher fact, row by row, with the keys behind its ids."""
+    return _with_keys(spark, build_month(spark, sf_dir), STAR_VOUCHER)
