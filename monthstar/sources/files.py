@@ -51,17 +51,22 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> D
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, or an empty one of this schema where the path is absent.
+    """A stored table, or an empty one of this schema where there is none yet.
 
-    Any other failure is raised: a table that cannot be read must not pass for
-    one that does not exist yet.
+    There is none where the path is absent, or is a folder without any file, as
+    a first write that failed leaves behind. Any other failure is raised: a
+    table that cannot be read must not pass for one that does not exist.
     """
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            declared = spark.read.schema(schema).parquet(path)
+            if not declared.inputFiles():
+                return declared
+        raise
 
 
 def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -267,6 +267,13 @@ def test_planted_duplicate_stops_before_the_facts(spark, root):
     assert not Path(root, "fact").exists()
 
 
+def test_first_load_that_failed_can_be_repeated(spark, root):
+    write_january(root)
+    Path(root, "dimension", "vendor").mkdir(parents=True)
+    run_month(spark, root, Star(LENIENT.dimensions), 2020, 1)
+    assert sorted(ids(spark, root, VENDOR).values()) == [1, 2, 3, 4, 5]
+
+
 def test_missing_month_is_an_error(spark, root):
     write_january(root)
     with pytest.raises(AnalysisException) as caught:

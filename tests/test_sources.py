@@ -310,6 +310,13 @@ def test_optional_table(spark, tmp_path):
     assert read_optional(spark, str(tmp_path / "some"), SCHEMA).count() == 3
 
 
+def test_optional_table_left_empty(spark, tmp_path):
+    left = tmp_path / "left"
+    (left / "_temporary" / "0").mkdir(parents=True)
+    table = read_optional(spark, str(left), SCHEMA)
+    assert table.schema == SCHEMA and table.count() == 0
+
+
 def test_optional_table_that_cannot_be_read(spark, tmp_path):
     (tmp_path / "x.parquet").write_text("broken")
     with pytest.raises(Exception):
