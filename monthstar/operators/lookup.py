@@ -33,14 +33,19 @@ class Lookup:
         return self.dimension.select(*self.keys, *self.fetch)
 
 
-def key_bytes(members: DataFrame) -> int:
-    """Bytes the rows take in memory, from one aggregate over them."""
-    strings = [f.name for f in members.schema.fields if isinstance(f.dataType, T.StringType)]
-    fixed = ROW_OVERHEAD_BYTES + 8 * len(members.columns)
-    size = F.count(F.lit(1)) * fixed
-    for name in strings:
-        size = size + F.coalesce(F.sum(F.octet_length(name)), F.lit(0))
-    return members.agg(size.alias("bytes")).first()["bytes"]
+def key_bytes(tables: Sequence[DataFrame]) -> list[int]:
+    """Bytes the rows of each table take in memory, from one aggregate over each."""
+    sizes = []
+    for number, members in enumerate(tables):
+        strings = [f.name for f in members.schema.fields if isinstance(f.dataType, T.StringType)]
+        size = F.count(F.lit(1)) * (ROW_OVERHEAD_BYTES + 8 * len(members.columns))
+        for name in strings:
+            size = size + F.coalesce(F.sum(F.octet_length(name)), F.lit(0))
+        sizes.append(members.agg(F.lit(number).alias("number"), size.alias("bytes")))
+    if not sizes:
+        return []
+    measured = reduce(DataFrame.unionByName, sizes).collect()
+    return [row["bytes"] for row in sorted(measured, key=lambda row: row["number"])]
 
 
 def resolve(
@@ -60,13 +65,14 @@ def resolve(
     reads the rows three times, so ``store``, where given, is asked to write
     them under a name and return them read back.
     """
-    for number, lookup in enumerate(lookups):
-        members = lookup.members()
+    tables = [lookup.members() for lookup in lookups]
+    sizes = key_bytes(tables)
+    for number, (lookup, members) in enumerate(zip(lookups, tables)):
         keys = list(lookup.keys)
         for key in keys:
             if df.schema[key].dataType != members.schema[key].dataType:
                 raise ValueError(f"key {key!r} has another type in the dimension")
-        if key_bytes(members) <= broadcast_bytes:
+        if sizes[number] <= broadcast_bytes:
             df = df.join(F.broadcast(members), keys, "left")
         else:
             if store is not None:

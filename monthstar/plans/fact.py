@@ -14,6 +14,7 @@ from monthstar.sources.files import (
     FACT,
     LOADING,
     REJECT,
+    empty_table,
     join_path,
     read_family,
     read_table,
@@ -79,7 +80,7 @@ def load_fact(
     # from what was written.
     path = join_path(root, REJECT, fact.name, f"run={year}-{month:02d}")
     _, rejected = split_period(rows, year, month)
-    overwrite_table(rejected if counted["rejected"] else spark.createDataFrame([], rows.schema), path)
+    overwrite_table(rejected if counted["rejected"] else empty_table(spark, rows.schema), path)
     if not counted["accepted"]:
         raise EmptyFactError(f"{fact.name}: no rows for {year}-{month:02d}")
     return read_table(spark, path).count() if counted["rejected"] else 0

@@ -75,6 +75,11 @@ def run_month(
 
 
 def _together(spark: SparkSession, job: Callable, tables: Iterable, concurrent_jobs: int) -> list:
-    """Run independent jobs from a few threads; the first failure is raised."""
+    """Run independent jobs from a few threads; the first failure is raised.
+
+    Each job is wrapped by itself, since a wrapper carries the session's local
+    properties and two threads must not share them.
+    """
     with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(job), tables))
+        running = [pool.submit(inheritable_thread_target(spark)(job), table) for table in tables]
+        return [done.result() for done in running]

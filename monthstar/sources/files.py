@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthstar.specs.model import Family
@@ -50,6 +51,12 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> D
     return table.select(*columns) if columns else table
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, in a form the optimizer sees to be empty."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where(F.lit(False)).select(*columns)
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, or an empty one of this schema where there is none yet.
 
@@ -61,7 +68,7 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return empty_table(spark, schema)
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             declared = spark.read.schema(schema).parquet(path)
             if not declared.inputFiles():

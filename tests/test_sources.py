@@ -306,6 +306,8 @@ SCHEMA = T.StructType([T.StructField("a", T.LongType())])
 def test_optional_table(spark, tmp_path):
     absent = read_optional(spark, str(tmp_path / "none"), SCHEMA)
     assert absent.schema == SCHEMA and absent.count() == 0
+    unmatched = spark.range(3).toDF("a").join(absent, "a", "left_anti")
+    assert "Join" not in unmatched._jdf.queryExecution().executedPlan().toString()
     spark.range(3).toDF("a").write.parquet(str(tmp_path / "some"))
     assert read_optional(spark, str(tmp_path / "some"), SCHEMA).count() == 3
 
