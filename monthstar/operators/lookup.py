@@ -59,7 +59,8 @@ def resolve(
     """Left-join what each lookup fetches, then drop the named natural keys.
 
     Lookups run in order; a later one may match on what an earlier one
-    fetched. Rows without a match keep nulls. A dimension whose measured size is
+    fetched. Rows without a match keep nulls. Dimensions hold each key once, as
+    their duplicate check makes sure. A dimension whose measured size is
     within ``broadcast_bytes`` is broadcast, so the facts are not shuffled. A
     larger one is joined by shuffle with its heavy keys taken out first; that
     reads the rows three times, so ``store``, where given, is asked to write

@@ -14,7 +14,7 @@ from monthstar.plans.checks import run_check
 from monthstar.plans.dimension import load_dimension
 from monthstar.plans.fact import load_fact
 from monthstar.plans.landing import land_extraction
-from monthstar.plans.staging import distinct_rows, shared_families, stage_source
+from monthstar.plans.staging import distinct_rows, shared_passes, stage_source
 from monthstar.sources.paged import Paging, Transport
 from monthstar.specs.model import Star
 
@@ -62,9 +62,8 @@ def run_month(
         return table.name, {**measured, "rejected_rows": rejected}
 
     # Sources over the same raw files are folded in one pass of the text.
-    shared = [group for group in shared_families(star).items() if len(group[1]) > 1]
     rows = {}
-    for part in _together(spark, fold, shared, concurrent_jobs):
+    for part in _together(spark, fold, shared_passes(star).items(), concurrent_jobs):
         rows.update(part)
 
     sides = [(table, source) for table in star.dimensions for source in table.sources]

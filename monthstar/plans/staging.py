@@ -19,6 +19,8 @@ from monthstar.sources.files import (
 )
 from monthstar.specs.model import Dimension, Family, Field, StagedSource, Star
 
+GROUPING_COLUMNS = 64
+
 
 def read_families(
     spark: SparkSession, root: str, families: Sequence[Family], fields: Sequence[Field], year: int, month: int
@@ -57,13 +59,20 @@ def stage_source(
     overwrite_table(staged, join_path(root, STAGING, source.name))
 
 
-def shared_families(star: Star) -> dict[tuple[Family, ...], tuple[StagedSource, ...]]:
-    """The staged sources of a star by the raw families they read."""
+def shared_passes(star: Star) -> dict[tuple[Family, ...], tuple[StagedSource, ...]]:
+    """Raw families that several staged sources read, with those sources.
+
+    A grouping id has 64 bits, so wider groups are left to one pass per source.
+    """
     groups: dict[tuple[Family, ...], list[StagedSource]] = {}
     for dimension in star.dimensions:
         for source in dimension.sources:
             groups.setdefault(source.families, []).append(source)
-    return {families: tuple(sources) for families, sources in groups.items()}
+    return {
+        families: tuple(sources)
+        for families, sources in groups.items()
+        if len(sources) > 1 and sum(len(source.fields) for source in sources) <= GROUPING_COLUMNS
+    }
 
 
 def distinct_rows(

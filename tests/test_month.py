@@ -12,11 +12,20 @@ from monthstar import SPENDING_WITH_TYPES, run_month
 from monthstar.errors import DuplicateKeyError, EmptyFactError, NullKeyError, TooFewRowsError
 from monthstar.operators import null_keys
 from monthstar.plans import distinct_rows, load_dimension, load_fact, run_check, stage_source
-from monthstar.plans.staging import shared_families
+from monthstar.plans.staging import shared_passes
 from monthstar.sources import Reply
 from monthstar.sources.paged import Paging
-from monthstar.specs.model import Star
-from monthstar.specs.spending import AGENCY, CITY, COMMITMENT, EXPENSE_TYPES, PAYMENT, VENDOR, VOUCHER_PAYMENT
+from monthstar.specs import Dimension, StagedSource, Star, text
+from monthstar.specs.spending import (
+    AGENCY,
+    CITY,
+    COMMITMENT,
+    EXPENSE_TYPES,
+    PAYMENT,
+    VENDOR,
+    VOUCHER_PAYMENT,
+    VOUCHERS,
+)
 from tests.spending_files import (
     BAKER,
     BAKER_RENAMED,
@@ -313,7 +322,9 @@ def test_load_repeated_after_its_append_adds_nothing(spark, root):
 
 def test_sources_apart_stage_what_they_stage_together(spark, root):
     write_january(root)
-    for families, sources in shared_families(LENIENT).items():
+    shared = shared_passes(LENIENT)
+    assert [len(sources) for sources in shared.values()] == [2, 3]
+    for families, sources in shared.items():
         parts = distinct_rows(spark, root, families, sources, 2020, 1)
         for dimension in LENIENT.dimensions:
             for source in dimension.sources:
@@ -324,6 +335,15 @@ def test_sources_apart_stage_what_they_stage_together(spark, root):
                     assert sorted(map(str, stored(spark, root, "staging", source.name).collect())) == alone
 
 
+def test_wide_sources_are_staged_one_by_one():
+    families = (VOUCHERS,)
+    wide = [
+        StagedSource(f"wide_{name}", families, tuple(text(f"{name}{i}", "id") for i in range(33))) for name in "ab"
+    ]
+    dimensions = [Dimension(source.name, ("a0",), (source,)) for source in wide]
+    assert shared_passes(Star(tuple(dimensions))) == {}
+
+
 def test_vouchers_can_be_fetched_first(spark, root):
     write_january(root)
     for path in Path(root, "raw_data", "credit_card_vouchers").iterdir():

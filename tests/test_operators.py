@@ -176,6 +176,13 @@ def test_lookups_in_a_chain(spark, broadcast_bytes):
     ]
 
 
+def test_lookup_on_keys_of_other_types(spark):
+    facts = spark.range(3).selectExpr("cast(id as int) as k")
+    dimension = spark.range(3).selectExpr("id as k", "id as k_id")
+    with pytest.raises(ValueError, match="another type"):
+        resolve(facts, [Lookup(dimension, ("k",), ("k_id",))])
+
+
 def test_small_lookups_do_not_shuffle_the_facts(spark):
     facts = spark.range(1000).selectExpr("id as k")
     dimension = spark.range(10).selectExpr("id as k", "id as k_id")
