@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from monthstar.operators import enforce_duplicate_keys, enforce_null_keys, enforce_rows
-from monthstar.sources.files import DIMENSION, FACT, join_path, read_table
+from monthstar.sources.files import DIMENSION, FACT, join_path, read_period, read_table
 
 # Names of the checks, and the kind of table each looks at.
 CHECKS = {
@@ -37,9 +37,10 @@ def run_check(
     """
     if check not in CHECKS:
         raise ValueError(f"unknown check {check!r}; known: {', '.join(CHECKS)}")
-    stored = read_table(spark, join_path(root, CHECKS[check], table))
+    path = join_path(root, CHECKS[check], table)
+    stored = read_period(spark, path, *period) if period else read_table(spark, path)
     if check == "fact_keys":
-        return enforce_null_keys(stored, keys, max_percent, period, table)
+        return enforce_null_keys(stored, keys, max_percent, table=table)
     if check == "dimension_duplicate_keys":
         return enforce_duplicate_keys(stored, keys, table)
-    return enforce_rows(stored, minimum, period, table)
+    return enforce_rows(stored, minimum, table=table)

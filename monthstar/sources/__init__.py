@@ -5,6 +5,7 @@ from monthstar.sources.files import (
     read_family,
     read_json,
     read_optional,
+    read_period,
     read_staged,
     read_table,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "read_family",
     "read_json",
     "read_optional",
+    "read_period",
     "read_staged",
     "read_table",
     "register",

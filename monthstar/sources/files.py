@@ -76,6 +76,20 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+def read_period(spark: SparkSession, path: str, year: int, month: int) -> DataFrame:
+    """One month of a stored fact. Only its own folder is listed.
+
+    A month that is not there has no rows; a fact that is not there is an error.
+    """
+    folder = f"{path}/year={int(year)}/month={int(month)}"
+    try:
+        return spark.read.option("basePath", path).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.read.parquet(path).where(F.lit(False))
+
+
 def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All staging tables whose name ends with the table's name."""
     return spark.read.parquet(join_path(root, STAGING, f"*{table}"))

@@ -13,7 +13,7 @@ from monthstar.errors import DuplicateKeyError, EmptyFactError, NullKeyError, To
 from monthstar.operators import null_keys
 from monthstar.plans import distinct_rows, load_dimension, load_fact, run_check, stage_source
 from monthstar.plans.staging import shared_passes
-from monthstar.sources import Reply
+from monthstar.sources import Reply, read_period
 from monthstar.sources.paged import Paging
 from monthstar.specs import Dimension, StagedSource, Star, text
 from monthstar.specs.spending import (
@@ -383,6 +383,19 @@ def test_a_period_check_reads_one_partition(spark, two_months):
     assert "ReadSchema: struct<vendor_id:bigint>" in text
 
 
+def test_a_period_is_read_from_its_own_folder(spark, two_months):
+    root, *_ = two_months
+    path = f"{root}/fact/payment"
+    january = read_period(spark, path, 2020, 1)
+    assert all("/year=2020/month=1/" in file for file in january.inputFiles())
+    whole = spark.read.parquet(path)
+    assert january.schema == whole.schema
+    assert sorted(map(str, january.collect())) == sorted(map(str, whole.where("month = 1").collect()))
+    assert read_period(spark, path, 2021, 1).count() == 0
+    with pytest.raises(AnalysisException):
+        read_period(spark, f"{root}/fact/salary", 2020, 1)
+
+
 def test_unreadable_dimension_is_an_error(spark, root):
     write_january(root)
     broken = Path(root, "dimension", "vendor")
