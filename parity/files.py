@@ -5,7 +5,9 @@ Every query writes into a new folder under the session's checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,9 +34,7 @@ from monthstar.sources.paged import Paging
 from monthstar.specs import Family, leaf, text
 from parity.registry import query, table
 
-RECORDS_PER_ARRAY = 1000
 RECORDS_PER_PAGE = 100
-RECORDS_PER_REQUEST = 1000
 
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -45,15 +45,19 @@ def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).csv(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, number: str) -> None:
-    """Raw JSON: an array of records per line, of bounded length.
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """Raw JSON with an array of records per line, one line per Arrow batch.
 
-    ``number`` names a unique record number; a thousand numbers share a line.
+    Nothing is grouped by a key, so a line's length is bounded whatever the data.
     """
-    record = F.struct(*df.columns).alias("record")
-    block = F.expr(f"{number} div {RECORDS_PER_ARRAY}").alias("block")
-    arrays = df.select(record, block).groupBy("block").agg(F.to_json(F.collect_list("record")).alias("line"))
-    arrays.select("line").write.mode("overwrite").text(path)
+
+    def lines(batches):
+        for batch in batches:
+            line = "[" + ",".join(batch.column(0).to_pylist()) + "]"
+            yield pa.RecordBatch.from_pydict({"line": [line]})
+
+    records = df.select(F.to_json(F.struct(*df.columns)).alias("record"))
+    records.mapInArrow(lines, "line string").write.mode("overwrite").text(path)
 
 
 @query("""
@@ -117,7 +121,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "events")
-    write_json_arrays(event_records(spark, sf_dir), path, "id")
+    write_json_arrays(event_records(spark, sf_dir), path)
     fields = [leaf("id", "id"), leaf("actor_code", "actor.code"), leaf("kind_name", "kind.detail.name")]
     return read_json(spark, path, EVENT_SCHEMA).select(
         *[field.column() for field in fields], F.col("amount").try_cast("decimal(18,2)").alias("amount")
@@ -151,21 +155,24 @@ PAGED_EVENT = "event_id bigint, user_id bigint, event_type string"
 
 
 def fetched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events recorded as pages of 100, ten pages to a request, and fetched."""
+    """All events recorded as pages of 100 and fetched.
+
+    An Arrow batch of events makes a request, so its pages are few whatever the data.
+    """
     root = scratch_folder(spark, "pages")
-    recorded = table(spark, sf_dir, "events").select(
-        F.expr(f"event_id div {RECORDS_PER_REQUEST}").alias("lote"),
-        F.expr(f"event_id % {RECORDS_PER_REQUEST} div {RECORDS_PER_PAGE}").alias("part"),
-        F.struct("event_id", "user_id", "event_type").alias("item"),
-    )
-    parts = recorded.groupBy("lote", "part").agg(F.collect_list("item").alias("items"))
-    # Pages are numbered without gaps, as a service does; a request has few of them.
-    page = F.row_number().over(Window.partitionBy("lote").orderBy("part")).alias("page")
-    lines = parts.select("lote", page, "items").select("lote", F.to_json(F.struct("page", "items")).alias("line"))
-    # The window has put the pages of a request into one task, which writes its folder.
-    lines.write.partitionBy("lote").text(root)
-
-    requests = recorded.select("lote", F.lit(1).alias("pagina")).distinct()
+
+    def recorded(batches):
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            records = batch.column(0).to_pylist()
+            begins = range(0, len(records), RECORDS_PER_PAGE)
+            pages = [",".join(records[begin : begin + RECORDS_PER_PAGE]) for begin in begins]
+            lines = [f'{{"page": {page}, "items": [{items}]}}' for page, items in enumerate(pages, 1)]
+            yield pa.RecordBatch.from_pydict({"lote": [f"t{task}_{number}"] * len(lines), "line": lines})
+
+    records = table(spark, sf_dir, "events").select(F.to_json(F.struct("event_id", "user_id", "event_type")))
+    records.mapInArrow(recorded, "lote string, line string").write.partitionBy("lote").text(root)
+    requests = spark.read.text(root).select("lote", F.lit(1).alias("pagina")).distinct()
     return fetch_pages(requests, RecordedPages(root, "lote"), Paging(sleep=0), max_parallel=None)
 
 

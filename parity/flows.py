@@ -105,7 +105,7 @@ ACTION = Dimension(
 def stage_dimension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested JSON; the actions of one kind are known."""
     root = scratch_folder(spark, "star")
-    write_json_arrays(event_records(spark, sf_dir), f"{root}/raw_data/events-{YEAR}-{MONTH:02d}-01", "id")
+    write_json_arrays(event_records(spark, sf_dir), f"{root}/raw_data/events-{YEAR}-{MONTH:02d}-01")
     known = table(spark, sf_dir, "events").where("event_type = 'error'")
     _known(
         known.selectExpr("event_type as kind_name", "cast(user_id as string) as actor_code").distinct(),
