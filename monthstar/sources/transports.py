@@ -3,6 +3,7 @@ and returns a ``Reply``; it travels to the workers, so it must be picklable."""
 
 from __future__ import annotations
 
+import http.client
 import json
 import urllib.error
 import urllib.parse
@@ -21,7 +22,7 @@ class Reply:
 
 @dataclass(frozen=True)
 class HttpGet:
-    """GET with the parameters as query string."""
+    """GET with the parameters as query string. A broken answer is an ``OSError``."""
 
     url: str
     headers: Mapping[str, str] = field(default_factory=dict, repr=False)
@@ -35,6 +36,8 @@ class HttpGet:
                 return Reply(response.status, response.read().decode("utf-8"))
         except urllib.error.HTTPError as error:
             return Reply(error.code, "")
+        except http.client.HTTPException as error:
+            raise ConnectionError(f"broken answer: {error!r}") from error
 
 
 @dataclass

@@ -1,6 +1,8 @@
 """Files, optional tables, paged services, requests, landing."""
 
+import http.client
 import json
+import urllib.error
 from datetime import date
 from pathlib import Path
 
@@ -191,6 +193,20 @@ def test_http_get_builds_the_request(monkeypatch):
     assert seen == {"url": "http://service/items?mes=01%2F2020&pagina=2", "headers": {"Key": "k"}, "timeout": 5}
 
 
+def test_http_errors_and_broken_answers(monkeypatch):
+    def refused(request, timeout):
+        raise urllib.error.HTTPError(request.full_url, 429, "slow down", {}, None)
+
+    def broken(request, timeout):
+        raise http.client.IncompleteRead(b"[")
+
+    monkeypatch.setattr("urllib.request.urlopen", refused)
+    assert HttpGet("http://service/items")({}) == Reply(429, "")
+    monkeypatch.setattr("urllib.request.urlopen", broken)
+    with pytest.raises(FetchError, match="after 3 attempts"):
+        paged.fetch_page(HttpGet("http://service/items"), {}, QUICK)
+
+
 def test_month_requests(spark):
     days = spark.createDataFrame([(date(2020, 1, 5),), (date(2020, 1, 9),), (date(2019, 12, 1),)], "day date")
     assert sorted(tuple(row) for row in month_requests(days).collect()) == [
