@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,8 +52,8 @@ def month_field(source: str, name: str = "month") -> Field:
     return Field(name, source, lambda raw: month_of(br_date(raw)))
 
 
-def amount(name: str, source: str, mode: str = "thousands") -> Field:
-    return Field(name, source, lambda raw: br_number(raw, mode))
+def amount(name: str, source: str | tuple[str, ...], mode: str = "thousands") -> Field:
+    return Field(name, source, partial(br_number, mode=mode))
 
 
 def flag(name: str, source: str) -> Field:
@@ -146,6 +147,12 @@ class Fact:
     required: tuple[str, ...] = ()
     max_null_percent: float = 2
 
+    def with_number_mode(self, mode: str) -> Fact:
+        """The same fact, its amounts parsed by another rule."""
+        amounts = {f.name for f in self.fields if isinstance(f.parse, partial) and f.parse.func is br_number}
+        fields = [amount(f.name, f.source, mode) if f.name in amounts else f for f in self.fields]
+        return replace(self, fields=tuple(fields))
+
 
 @dataclass(frozen=True)
 class Star:
@@ -160,6 +167,10 @@ class Star:
     def fact(self, name: str) -> Fact:
         return _named(self.facts, name, "fact")
 
+    def with_number_mode(self, mode: str) -> Star:
+        """The same star, all amounts parsed by another rule of ``br_number``."""
+        return replace(self, facts=tuple(fact.with_number_mode(mode) for fact in self.facts))
+
 
 def _named(tables: tuple, name: str, kind: str):
     for table in tables:

@@ -260,6 +260,16 @@ def test_strict_merge_drops_incomplete_members(spark, root):
     assert BAKER in ids(spark, root, VENDOR)
 
 
+def test_amounts_by_the_comma_only_rule(spark, root):
+    write_january(root)
+    run_month(spark, root, LENIENT.with_number_mode("comma_only"), 2020, 1)
+    amounts = {r["commitment_id"]: r["commitment_amount"] for r in stored(spark, root, "fact", "commitment").collect()}
+    assert amounts == {"E1": None, "E2": -3.0, "E3": None, "E6": None}
+    vouchers = stored(spark, root, "fact", "voucher_payment").collect()
+    assert {row["payment_amount"] for row in vouchers} == {None}
+    assert {row["payment_value"] for row in vouchers} == {"1.234,56"}
+
+
 def test_two_percent_is_enforced(spark, root):
     write_january(root)
     with pytest.raises(NullKeyError):
