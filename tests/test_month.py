@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from monthstar import SPENDING_WITH_TYPES, run_month
+from monthstar.__main__ import main
 from monthstar.errors import DuplicateKeyError, EmptyFactError, NullKeyError, TooFewRowsError
 from monthstar.operators import null_keys
 from monthstar.plans import distinct_rows, load_dimension, load_fact, run_check, stage_source
@@ -276,6 +277,17 @@ def test_two_percent_is_enforced(spark, root):
         run_month(spark, root, SPENDING_WITH_TYPES, 2020, 1)
 
 
+def test_command_line(spark, root, capsys):
+    write_february(root)
+    main([root, "2020", "2", "--with-types", "--numbers", "comma_only"])
+    measured = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert set(measured) == {d.name for d in LENIENT.dimensions} | {f.name for f in LENIENT.facts}
+    assert measured["payment"] == {"total_rows": 2, "null_key_rows": 0, "null_key_pct": 0.0, "rejected_rows": 0}
+    write_january(root)
+    with pytest.raises(NullKeyError):
+        main([root, "2020", "1"])
+
+
 def test_planted_duplicate_stops_before_the_facts(spark, root):
     write_january(root)
     run_month(spark, root, Star(LENIENT.dimensions), 2020, 1)
