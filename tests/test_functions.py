@@ -1,5 +1,6 @@
 import math
-from datetime import date
+import random
+from datetime import date, datetime
 
 import pytest
 
@@ -53,3 +54,38 @@ def test_flag(spark):
 def test_not_a_number_text_is_kept_as_the_cast_gives_it(spark):
     (value,) = evaluate(spark, ["NaN"], br_number("text"))
     assert math.isnan(value)
+
+
+def plain_number(text, thousands):
+    text = text.strip(" ")
+    if thousands:
+        text = text.replace(".", "")
+    try:
+        return float(text.replace(",", "."))
+    except ValueError:
+        return None
+
+
+@pytest.mark.parametrize("mode", ["thousands", "comma_only"])
+def test_random_text_as_numbers(spark, mode):
+    draw = random.Random(11)
+    texts = ["".join(draw.choices("0123456789,.-+E ", k=draw.randrange(9))) for _ in range(3000)]
+    texts += [f"{draw.uniform(-1e7, 1e7):,.2f}".translate(str.maketrans(",.", ".,")) for _ in range(1000)]
+    want = [plain_number(text, mode == "thousands") for text in texts]
+    assert evaluate(spark, texts, br_number("text", mode)) == want
+
+
+def test_random_text_as_dates(spark):
+    draw = random.Random(12)
+    texts = [
+        f"{draw.randrange(40):0{draw.choice([1, 2, 2, 2])}d}/{draw.randrange(15):02d}/{draw.randrange(1900, 2100)}"
+        for _ in range(3000)
+    ]
+
+    def plain_date(text):
+        try:
+            return datetime.strptime(text, "%d/%m/%Y").date() if len(text) == 10 else None
+        except ValueError:
+            return None
+
+    assert evaluate(spark, texts, br_date("text")) == [plain_date(text) for text in texts]
