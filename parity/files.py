@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthstar.functions import request_date
-from monthstar.operators import new_members
+from monthstar.operators import new_members, rename
 from monthstar.sinks import (
     append_dimension,
     land_records,
@@ -31,7 +31,7 @@ from monthstar.sources import (
     read_table,
 )
 from monthstar.sources.paged import Paging
-from monthstar.specs import Family, leaf, text
+from monthstar.specs import Family, Field, leaf, text
 from parity.registry import query, table
 
 RECORDS_PER_PAGE = 100
@@ -78,7 +78,7 @@ def src_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("nation", "Nação"),
         text("region_code", "Código Região"),
     ]
-    return read_csv(spark, path).select(*[field.column() for field in fields])
+    return rename(read_csv(spark, path), fields)
 
 
 ORDER_FILES = Family("orders", "orders={year}{month:02d}*")
@@ -98,7 +98,7 @@ def src_csv_month_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_csv(orders, root, by="orders")
     fields = [text("order_code", "Código Pedido"), text("order_date_text", "Data Emissão")]
-    return read_family(spark, root, ORDER_FILES, 1998, 3).select(*[field.column() for field in fields])
+    return rename(read_family(spark, root, ORDER_FILES, 1998, 3), fields)
 
 
 EVENT_SCHEMA = "id bigint, actor struct<code: string>, kind struct<detail: struct<name: string>>, amount string"
@@ -122,10 +122,13 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "events")
     write_json_arrays(event_records(spark, sf_dir), path)
-    fields = [leaf("id", "id"), leaf("actor_code", "actor.code"), leaf("kind_name", "kind.detail.name")]
-    return read_json(spark, path, EVENT_SCHEMA).select(
-        *[field.column() for field in fields], F.col("amount").try_cast("decimal(18,2)").alias("amount")
-    )
+    fields = [
+        leaf("id", "id"),
+        leaf("actor_code", "actor.code"),
+        leaf("kind_name", "kind.detail.name"),
+        Field("amount", "amount", lambda raw: raw.try_cast("decimal(18,2)")),
+    ]
+    return rename(read_json(spark, path, EVENT_SCHEMA), fields)
 
 
 @query("select c_custkey, c_name from customer")
@@ -143,11 +146,9 @@ def src_parquet_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def src_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark, "star")
-    names = {"customer": "c_custkey as party_code, c_name as party_name",
-             "supplier": "s_suppkey as party_code, s_name as party_name"}
-    for name, columns in names.items():
-        rows = table(spark, sf_dir, name).selectExpr(*columns.split(", "))
-        overwrite_table(rows, f"{root}/staging/{name}_party")
+    for name, code, label in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name")):
+        fields = [text("party_code", code), text("party_name", label)]
+        overwrite_table(rename(table(spark, sf_dir, name), fields), f"{root}/staging/{name}_party")
     return read_staged(spark, root, "party")
 
 
