@@ -98,16 +98,18 @@ class Dimension:
     sources: tuple[StagedSource, ...]
     bucket: Callable[[], Column] | None = None
 
+    def __post_init__(self):
+        if len(self.sources) not in (1, 2):
+            raise ValueError(f"dimension {self.name} needs one or two sources")
+        for source in self.sources:
+            missing = set(self.keys) - {f.name for f in source.fields}
+            if missing:
+                raise ValueError(f"source {source.name} lacks keys {sorted(missing)} of {self.name}")
+
     @property
     def id_column(self) -> str:
         return f"{self.name}_id"
 
-    def source(self, name: str) -> StagedSource:
-        for source in self.sources:
-            if source.name == name:
-                return source
-        raise ValueError(f"dimension {self.name} has no source {name!r}")
-
     @property
     def columns(self) -> tuple[str, ...]:
         """Columns in stored order."""
@@ -147,6 +149,10 @@ class Fact:
     required: tuple[str, ...] = ()
     max_null_percent: float = 2
 
+    def __post_init__(self):
+        if self.row_period and not {"year", "month"} <= {f.name for f in self.fields}:
+            raise ValueError(f"fact {self.name} needs the fields year and month")
+
     def with_number_mode(self, mode: str) -> Fact:
         """The same fact, its amounts parsed by another rule."""
         amounts = {f.name for f in self.fields if isinstance(f.parse, partial) and f.parse.func is br_number}

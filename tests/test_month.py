@@ -357,12 +357,24 @@ def test_sources_apart_stage_what_they_stage_together(spark, root):
                     assert sorted(map(str, stored(spark, root, "staging", source.name).collect())) == alone
 
 
+def test_specifications_that_cannot_work():
+    source = VENDOR.sources[0]
+    with pytest.raises(ValueError, match="one or two sources"):
+        replace(VENDOR, sources=(source, source, source))
+    with pytest.raises(ValueError, match="lacks keys"):
+        replace(VENDOR, keys=("vendor_code", "street_name"))
+    with pytest.raises(ValueError, match="year and month"):
+        replace(VOUCHER_PAYMENT, row_period=True)
+    with pytest.raises(ValueError, match="unknown dimension"):
+        LENIENT.dimension("salary")
+
+
 def test_wide_sources_are_staged_one_by_one():
     families = (VOUCHERS,)
     wide = [
-        StagedSource(f"wide_{name}", families, tuple(text(f"{name}{i}", "id") for i in range(33))) for name in "ab"
+        StagedSource(f"wide_{name}", families, tuple(text(f"c{i}", "id") for i in range(33))) for name in "ab"
     ]
-    dimensions = [Dimension(source.name, ("a0",), (source,)) for source in wide]
+    dimensions = [Dimension(source.name, ("c0",), (source,)) for source in wide]
     assert shared_passes(Star(tuple(dimensions))) == {}
 
 
