@@ -88,17 +88,38 @@ def near_duplicates(
     A null id takes part; it names a component only where no other id is in it.
     An empty table gives an empty result, other columns are not read.
     """
-    if not 0 <= radius <= 3:
-        raise ValueError("the bit ranges hold for a radius of 0 to 3")
     prints = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    named = _components(prints, id_col, radius).select("fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def first_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = SHINGLE_WORDS,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The row of smallest id of each group of linked fingerprints, its columns untouched.
+
+    Of rows that share this id one stays. Rows without an id all stay.
+    """
+    prints = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    first = _components(prints, id_col, radius).select(F.col("component_id").alias(id_col)).distinct()
+    with_id = docs.where(F.col(id_col).isNotNull())
+    kept = with_id.join(first, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def _components(prints: DataFrame, id_col: str, radius: int) -> DataFrame:
+    """``(fingerprint, component_id)`` of every distinct fingerprint."""
     classes = prints.groupBy("fingerprint").agg(F.min(id_col).alias("first_id"))
     found = components(links(prints.select("fingerprint").distinct(), radius))
     joined = classes.join(found, classes["fingerprint"] == found["node"], "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
     smallest = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(smallest, "component").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
+    return joined.join(smallest, "component")
 
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -107,6 +128,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     Linked fingerprints of a shard are returned as a star around the smallest,
     so the rows are at most as many as the fingerprints sent out.
     """
+    if not 0 <= radius <= 3:
+        raise ValueError("the bit ranges hold for a radius of 0 to 3")
     sent = F.array(
         *[
             F.struct(

@@ -44,14 +44,33 @@ def kind_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def texts(batches: Iterable[pa.RecordBatch], id_col: str, text_col: str) -> Iterator[tuple[pa.Array, list]]:
-    """Ids as they came and texts as Python strings, a bounded slice of a batch at a time."""
+def texts(
+    batches: Iterable[pa.RecordBatch], id_col: str, text_col: str, as_bytes: bool = False
+) -> Iterator[tuple[pa.Array, list]]:
+    """Ids as they came and texts as Python strings (or UTF-8), a bounded slice of a batch at a time."""
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE_ROWS):
             part = batch.slice(start, SLICE_ROWS)
-            yield part.column(part.schema.get_field_index(id_col)), part.column(
-                part.schema.get_field_index(text_col)
-            ).to_pylist()
+            values = part.column(part.schema.get_field_index(text_col))
+            if as_bytes:
+                values = values.cast(pa.binary())
+            yield part.column(part.schema.get_field_index(id_col)), values.to_pylist()
+
+
+def kept_rows(docs: DataFrame, text_col: str, keep) -> DataFrame:
+    """Rows whose text ``keep`` accepts, all their columns untouched and nothing shuffled.
+
+    ``keep`` takes a list of texts and returns a list of booleans.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                values = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                yield part.filter(pa.array(keep(values), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 #: Rows whose texts are Python objects at the same time.
