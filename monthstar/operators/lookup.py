@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of all dimensions together that one run of lookups broadcasts.
 BROADCAST_BYTES = 128 * 1024 * 1024
+#: Frequent keys of a large lookup that are spread, and the tasks each is spread over.
 HEAVY_KEYS = 256
+SALTS = 32
 ROW_OVERHEAD_BYTES = 64
 
 # Frequent keys are counted in slices of the hash range, each by a sketch of
@@ -54,31 +57,44 @@ def resolve(
     drop: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
     heavy_keys: int = HEAVY_KEYS,
-    store: Callable[[DataFrame, str], DataFrame] | None = None,
+    sizes: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left-join what each lookup fetches, then drop the named natural keys.
 
     Lookups run in order; a later one may match on what an earlier one
     fetched. Rows without a match keep nulls. Dimensions hold each key once, as
-    their duplicate check makes sure. A dimension whose measured size is
-    within ``broadcast_bytes`` is broadcast, so the facts are not shuffled. A
-    larger one is joined by shuffle with its heavy keys taken out first; that
-    reads the rows three times, so ``store``, where given, is asked to write
-    them under a name and return them read back.
+    their duplicate check makes sure. The smallest dimensions that together
+    measure ``broadcast_bytes`` at most are broadcast, so the facts are not
+    shuffled; ``sizes`` gives the measures where they are known. Larger ones
+    are joined by shuffle: rows with a null key, and those with a frequent one,
+    are spread over several tasks, and the members of frequent keys repeated
+    for each. The rows are read once, and once more by a sketch of the keys of
+    all large lookups. Keys that an earlier lookup fetches are left to Spark's
+    own splitting of skewed partitions.
     """
     tables = [lookup.members() for lookup in lookups]
-    sizes = key_bytes(tables)
+    if sizes is None:
+        sizes = key_bytes(tables)
+    for lookup, members in zip(lookups, tables):
+        fetched = {name: field for other in tables for name, field in zip(other.columns, other.schema.fields)}
+        for key in lookup.keys:
+            mine = df.schema[key] if key in df.columns else fetched[key]
+            if mine.dataType != members.schema[key].dataType:
+                raise ValueError(f"key {key!r} has another type in the dimension")
+    left, small = broadcast_bytes, set()
+    for number in sorted(range(len(sizes)), key=sizes.__getitem__):
+        if sizes[number] <= left:
+            small.add(number)
+            left -= sizes[number]
+    large = [n for n in range(len(lookups)) if n not in small and set(lookups[n].keys) <= set(df.columns)]
+    heavy = _heavy_hashes(df, [lookups[n].keys for n in large], heavy_keys) if large else []
+    hot = dict(zip(large, heavy))
     for number, (lookup, members) in enumerate(zip(lookups, tables)):
         keys = list(lookup.keys)
-        for key in keys:
-            if df.schema[key].dataType != members.schema[key].dataType:
-                raise ValueError(f"key {key!r} has another type in the dimension")
-        if sizes[number] <= broadcast_bytes:
+        if number in small:
             df = df.join(F.broadcast(members), keys, "left")
         else:
-            if store is not None:
-                df = store(df, f"lookup_{number}")
-            df = _shuffled_lookup(df, members, keys, _heavy_hashes(df, keys, heavy_keys))
+            df = _spread_lookup(df, members, keys, hot.get(number, []))
     return df.drop(*drop)
 
 
@@ -86,31 +102,38 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(key).isNull() for key in keys])
 
 
-def _heavy_hashes(df: DataFrame, keys: Sequence[str], limit: int) -> list[int]:
-    """Hashes of the most frequent keys, ``limit`` at most.
+def _heavy_hashes(df: DataFrame, keys: Sequence[Sequence[str]], limit: int) -> list[list[int]]:
+    """For each key, the hashes of its most frequent values, ``limit`` at most; one pass of the rows.
 
-    The counts are estimates. They only choose which way a row takes; every
-    row takes one, and both ways give the same result.
+    The counts are estimates. They only choose how far a row is spread; the
+    result is the same whichever keys are found.
     """
-    hashes = df.where(~_any_null(keys)).select(F.xxhash64(*keys).alias("_hash"))
+    marks = F.array(
+        *[
+            F.when(~_any_null(key), F.struct(F.lit(n).alias("_key"), F.xxhash64(*key).alias("_hash")))
+            for n, key in enumerate(keys)
+        ]
+    )
+    hashes = df.select(F.inline(F.filter(marks, lambda mark: mark.isNotNull())))
     frequent = F.call_function("approx_top_k", F.col("_hash"), F.lit(SLICE_KEYS), F.lit(SLICE_TRACKED))
-    slices = hashes.groupBy(F.pmod("_hash", F.lit(SLICES))).agg(frequent.alias("_top"))
-    found = slices.select(F.inline("_top"))
-    return [row["item"] for row in found.orderBy(F.desc("count"), "item").limit(limit).collect()]
+    slices = hashes.groupBy("_key", F.pmod("_hash", F.lit(SLICES))).agg(frequent.alias("_top"))
+    found = slices.select("_key", F.inline("_top"))
+    first = Window.partitionBy("_key").orderBy(F.desc("count"), "item")
+    top = found.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= limit).collect()
+    return [[row["item"] for row in top if row["_key"] == n] for n in range(len(keys))]
 
 
-def _shuffled_lookup(
+def _spread_lookup(
     df: DataFrame, members: DataFrame, keys: Sequence[str], heavy_hashes: Sequence[int]
 ) -> DataFrame:
-    """Heavy and null keys by a broadcast of the heavy members, others by shuffle.
+    """A left join by shuffle in which neither null nor frequent keys meet in one task.
 
-    The heavy members are as few as the given hashes, whatever the size of the
-    dimension. Null keys match nothing and would all meet in one shuffle
-    partition, so they stay with the heavy ones.
+    Such rows get a salt from the row itself, so a retried task deals them the
+    same way. The members repeated are as few as the hashes given, times ``SALTS``.
     """
-    keys = list(keys)
     heavy = F.xxhash64(*keys).isin(list(heavy_hashes)) if heavy_hashes else F.lit(False)
-    direct = heavy | _any_null(keys)
-    kept = df.where(direct).join(F.broadcast(members.where(heavy)), keys, "left")
-    shuffled = df.where(~direct).join(members.hint("merge"), keys, "left")
-    return kept.unionByName(shuffled)
+    dealt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    salted = df.withColumn("_salt", F.when(heavy | _any_null(keys), dealt).otherwise(F.lit(0)))
+    salts = F.sequence(F.lit(0), F.when(heavy, F.lit(SALTS - 1)).otherwise(F.lit(0)))
+    repeated = members.withColumn("_salt", F.explode(salts))
+    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")

@@ -25,7 +25,7 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], repeated: bool = False) -> DataFrame:
-    """One row per key; among several, the smallest by the other columns.
+    """One row per key; among several, the one with fewest nulls, then the smallest by the other columns.
 
     The survivor does not depend on row order or on retries. Both aggregates
     combine before the shuffle, so a key that holds a large share of the rows
@@ -43,7 +43,8 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], repeated: bool = False) ->
     if repeated:
         copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
         df = copies.where("_copies > 0").select(*df.columns)
-    survivor = F.min(F.struct(*rest)).alias("_rest")
+    nulls = reduce(Column.__add__, [F.col(name).isNull().cast("int") for name in rest])
+    survivor = F.min(F.struct(nulls.alias("_nulls"), *rest)).alias("_rest")
     picked = df.groupBy(*keys).agg(survivor)
     columns = [F.col(f"_rest.{name}").alias(name) if name in rest else F.col(name) for name in df.columns]
     return picked.select(*columns)

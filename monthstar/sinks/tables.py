@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -50,13 +49,8 @@ def land_records(df: DataFrame, path: str, column: str | None = None) -> None:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder under the checkpoint folder the session names.
-
-    Only a local session without one gets a folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under the checkpoint folder that the session or its context names."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="monthstar-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/monthstar-{uuid.uuid4().hex}/{label}"

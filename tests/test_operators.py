@@ -47,11 +47,11 @@ def hot_rows(count=4000, seed=7):
 
 
 @pytest.mark.parametrize("repeated", [False, True])
-def test_dedupe_keeps_the_smallest_row(spark, repeated):
+def test_dedupe_keeps_the_fullest_and_then_the_smallest_row(spark, repeated):
     data = hot_rows()
     best = {}
     for key, label, number in data:
-        rest = ((label is not None, label or ""), number)
+        rest = (label is None, label or "", number)
         if key not in best or rest < best[key][0]:
             best[key] = (rest, (key, label, number))
     df = spark.createDataFrame(data, "k int, label string, n int").repartition(7)
@@ -189,8 +189,37 @@ def test_small_lookups_do_not_shuffle_the_facts(spark):
     lookup = Lookup(dimension, ("k",), ("k_id",))
     small = resolve(facts, [lookup])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in small and "hashpartitioning" not in small
-    large = resolve(facts, [lookup], broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in large
+    large = resolve(facts, [lookup], broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in large and "broadcast" not in large
+
+
+@pytest.mark.parametrize("count", [1, 2, 3])
+def test_large_lookups_read_the_facts_once(spark, tmp_path, count):
+    path = str(tmp_path / "facts")
+    spark.range(100).selectExpr(*[f"id as k{n}" for n in range(count)], "id as amount").write.parquet(path)
+    lookups = [
+        Lookup(spark.range(50).selectExpr(f"id as k{n}", f"id as k{n}_id"), (f"k{n}",), (f"k{n}_id",))
+        for n in range(count)
+    ]
+    resolved = resolve(spark.read.parquet(path), lookups, broadcast_bytes=0)
+    assert resolved._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert resolved.count() == 100
+
+
+def test_one_broadcast_budget_for_all_lookups(spark):
+    facts = spark.range(10).selectExpr("id as a", "id as b")
+    lookups = [Lookup(spark.range(5).selectExpr(f"id as {k}", f"id as {k}_id"), (k,), (f"{k}_id",)) for k in "ab"]
+    both = resolve(facts, lookups, broadcast_bytes=100, sizes=[60, 50])._jdf.queryExecution().optimizedPlan().toString()
+    assert both.count("_salt") and both.count("strategy=broadcast") == 1
+
+
+def test_hot_keys_are_spread(spark):
+    facts = spark.range(9000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) as k", "id as n")
+    dimension = spark.range(9000).selectExpr("id as k", "id + 1 as k_id")
+    resolved = resolve(facts, [Lookup(dimension, ("k",), ("k_id",))], broadcast_bytes=0)
+    assert resolved.where("k_id = k + 1").count() == 6000 and resolved.where("k_id is null").count() == 3000
+    salted = resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in salted
 
 
 def test_member_size_counts_rows_and_text(spark):
