@@ -8,11 +8,16 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 
 from pyspark.sql import SparkSession
 
 from monthstar import SPENDING, SPENDING_WITH_TYPES, run_month
 from monthstar.functions.text import NUMBER_MODES
+from monthstar.sources import HttpGet
+
+# Fixed value: name of the header that holds the key.
+KEY_HEADER = "chave-api-dados"
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -23,11 +28,24 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--with-types", action="store_true", help="load the expense type dimension too")
     parser.add_argument("--strict", action="store_true", help="drop members with any null column")
     parser.add_argument("--numbers", choices=NUMBER_MODES, default=NUMBER_MODES[0])
+    parser.add_argument(
+        "--fetch",
+        action="store_true",
+        help="fetch and land the month's card vouchers first, from the service at MONTHSTAR_SERVICE "
+        "with the key in MONTHSTAR_SERVICE_KEY",
+    )
     given = parser.parse_args(arguments)
 
+    options = {}
+    if given.fetch:
+        address = os.environ.get("MONTHSTAR_SERVICE")
+        if not address:
+            parser.error("--fetch needs the service's address in MONTHSTAR_SERVICE")
+        headers = {KEY_HEADER: os.environ.get("MONTHSTAR_SERVICE_KEY", "")}
+        options["transport_for"] = lambda path: HttpGet(address.rstrip("/") + path, headers)
     star = (SPENDING_WITH_TYPES if given.with_types else SPENDING).with_number_mode(given.numbers)
     spark = SparkSession.builder.appName("monthstar").getOrCreate()
-    measured = run_month(spark, given.root, star, given.year, given.month, strict=given.strict)
+    measured = run_month(spark, given.root, star, given.year, given.month, strict=given.strict, **options)
     print(json.dumps(measured))
 
 

@@ -12,6 +12,7 @@ from monthstar.operators import (
     next_id_start,
     number_rows,
 )
+from monthstar.operators.keys import DEFAULT_BUCKETS
 from monthstar.sinks import append_dimension, overwrite_table
 from monthstar.sources.files import (
     DIMENSION,
@@ -19,7 +20,6 @@ from monthstar.sources.files import (
     STAGING,
     join_path,
     read_optional,
-    read_staged,
     read_table,
 )
 from monthstar.specs.model import Dimension
@@ -28,23 +28,35 @@ from monthstar.specs.model import Dimension
 def staged_members(spark: SparkSession, root: str, dimension: Dimension, strict: bool = False) -> DataFrame:
     """The staged rows of all sources of a dimension, one per key.
 
-    Where two sources are merged, rows with a null key are dropped, and with
-    ``strict`` rows with any null column.
+    Each source is read from the staging table of its own name. Where two are
+    merged, rows with a null key are dropped, and with ``strict`` rows with any
+    null column; staging keeps the fullest record of a key, so a member that
+    has a complete one stays.
     """
-    if len(dimension.sources) == 1:
-        return read_staged(spark, root, dimension.name)
-    sides = [read_table(spark, join_path(root, STAGING, source.name)) for source in dimension.sources]
+    sides = [
+        read_table(spark, join_path(root, STAGING, source.name), schema=source.schema)
+        for source in dimension.sources
+    ]
+    if len(sides) == 1:
+        return sides[0]
     kept = [drop_incomplete(side) if strict else drop_null_keys(side, dimension.keys) for side in sides]
     return merge_members(*kept, dimension.keys)
 
 
-def load_dimension(spark: SparkSession, root: str, dimension: Dimension, strict: bool = False) -> None:
+def load_dimension(
+    spark: SparkSession,
+    root: str,
+    dimension: Dimension,
+    strict: bool = False,
+    buckets: int = DEFAULT_BUCKETS,
+) -> None:
     """Append the staged members that are not in the dimension yet.
 
     Staged rows are compared with the dimension once more, so a load that is
     repeated after its append adds nothing. The rows to add are stored first:
     numbering reads them twice, and the dimension is not read by the job that
-    appends to it.
+    appends to it. ``buckets`` is the number of tasks that number rows; give a
+    dimension the same number every time, since ids of new members depend on it.
     """
     path = join_path(root, DIMENSION, dimension.name)
     pending = join_path(root, LOADING, dimension.name)
@@ -52,10 +64,11 @@ def load_dimension(spark: SparkSession, root: str, dimension: Dimension, strict:
     overwrite_table(new_members(staged_members(spark, root, dimension, strict), known, dimension.keys), pending)
 
     numbered = number_rows(
-        read_table(spark, pending),
+        read_table(spark, pending, schema=dimension.member_schema),
         dimension.keys,
         dimension.id_column,
         start=next_id_start(known, dimension.id_column),
+        buckets=buckets,
         bucket=dimension.bucket() if dimension.bucket else None,
     )
     append_dimension(numbered.select(*dimension.columns), path)

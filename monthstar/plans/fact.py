@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthstar.errors import EmptyFactError
 from monthstar.operators import Lookup, in_period, literal_period, rename, resolve, split_period
-from monthstar.operators.lookup import BROADCAST_BYTES
+from monthstar.operators.lookup import BROADCAST_BYTES, key_bytes
 from monthstar.sinks import overwrite_partitions, overwrite_table
 from monthstar.sources.files import (
     DIMENSION,
     FACT,
-    LOADING,
     REJECT,
-    empty_table,
+    is_empty,
     join_path,
     read_family,
     read_table,
 )
 from monthstar.specs.model import Fact, Star
 
+#: Column of rejected rows that holds a line which is no JSON.
+UNREADABLE = "unreadable_line"
+
 
 def dimension_lookups(spark: SparkSession, root: str, star: Star, fact: Fact) -> list[Lookup]:
     """The dimensions a fact refers to, as stored under the root."""
@@ -28,7 +30,7 @@ def dimension_lookups(spark: SparkSession, root: str, star: Star, fact: Fact) ->
     for name in fact.dimensions:
         dimension = star.dimension(name)
         columns = [*dimension.keys, dimension.id_column]
-        stored = read_table(spark, join_path(root, DIMENSION, name), columns)
+        stored = read_table(spark, join_path(root, DIMENSION, name), columns, dimension.schema)
         lookups.append(Lookup(stored, dimension.keys, (dimension.id_column,)))
     return lookups
 
@@ -41,6 +43,34 @@ def fact_rows(df: DataFrame, lookups: list[Lookup], **options) -> DataFrame:
     return resolved.select(*[name for name in resolved.columns if name not in period], *period)
 
 
+def measured_dimensions(spark: SparkSession, root: str, star: Star) -> dict[str, int]:
+    """Bytes of keys and id of every dimension that a fact of the star looks up, from one job."""
+    wanted = {}
+    for fact in star.facts:
+        wanted.update(zip(fact.dimensions, dimension_lookups(spark, root, star, fact)))
+    return dict(zip(wanted, key_bytes([lookup.members() for lookup in wanted.values()])))
+
+
+def split_rows(
+    spark: SparkSession, root: str, fact: Fact, year: int, month: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the month, and those that must not become rows of it.
+
+    The latter are dated outside the month or not readably, or come from lines
+    that are no JSON; the line is then in ``unreadable_line``.
+    """
+    raw = read_family(spark, root, fact.family, year, month, UNREADABLE)
+    if fact.family.format != "json":
+        rows = rename(raw, fact.fields)
+        return split_period(rows if fact.row_period else literal_period(rows, year, month), year, month)
+    columns = [field.column() for field in fact.fields]
+    rows = raw.select(*columns, UNREADABLE)
+    rows = rows if fact.row_period else literal_period(rows, year, month)
+    broken = F.col(UNREADABLE).isNotNull()
+    inside = F.coalesce(in_period(year, month), F.lit(False)) & ~broken
+    return rows.where(inside).drop(UNREADABLE), rows.where(~inside)
+
+
 def load_fact(
     spark: SparkSession,
     root: str,
@@ -49,38 +79,28 @@ def load_fact(
     year: int,
     month: int,
     broadcast_bytes: int = BROADCAST_BYTES,
+    sizes: dict[str, int] | None = None,
 ) -> int:
     """Write a month of a fact, replacing that month only.
 
     Rows dated outside the month, or without a readable date, would replace
-    another month's partition; they go to ``reject/<fact>`` instead. They are
-    noticed while the fact is written, so the raw files are read a second time
-    only if there are any. Returns their number. A month without any row of its
-    own is an error, for nothing would replace what is stored for it.
+    another month's partition, and lines that are no JSON have nothing to say;
+    they go to ``reject/<fact>`` instead. Returns their number. A month without
+    any row of its own is an error, for nothing would replace what is stored
+    for it. ``sizes`` gives the measured dimensions by name.
     """
-    rows = rename(read_family(spark, root, fact.family, year, month), fact.fields)
-    if not fact.row_period:
-        rows = literal_period(rows, year, month)
-
-    def store(part: DataFrame, name: str) -> DataFrame:
-        path = join_path(root, LOADING, fact.name, name)
-        overwrite_table(part, path)
-        return read_table(spark, path)
-
-    seen = Observation()
-    outside = ~F.coalesce(in_period(year, month), F.lit(False))
-    metrics = [F.count_if(outside).alias("rejected"), F.count_if(~outside).alias("accepted")]
-    accepted, _ = split_period(rows.observe(seen, *metrics), year, month)
+    accepted, rejected = split_rows(spark, root, fact, year, month)
     lookups = dimension_lookups(spark, root, star, fact)
-    resolved = fact_rows(accepted, lookups, broadcast_bytes=broadcast_bytes, store=store)
-    overwrite_partitions(resolved, join_path(root, FACT, fact.name))
-
-    counted = seen.get
-    # A retried task may count its rows again, so the number itself is taken
-    # from what was written.
+    known = None if sizes is None else [sizes[name] for name in fact.dimensions]
+    resolved = fact_rows(accepted, lookups, broadcast_bytes=broadcast_bytes, sizes=known)
+    found = bool(accepted.take(1))
+    if found:
+        overwrite_partitions(resolved, join_path(root, FACT, fact.name))
     path = join_path(root, REJECT, fact.name, f"run={year}-{month:02d}")
-    _, rejected = split_period(rows, year, month)
-    overwrite_table(rejected if counted["rejected"] else empty_table(spark, rows.schema), path)
-    if not counted["accepted"]:
+    number = 0
+    if not is_empty(spark, path) or rejected.take(1):
+        overwrite_table(rejected, path)
+        number = read_table(spark, path, schema=rejected.schema).count()
+    if not found:
         raise EmptyFactError(f"{fact.name}: no rows for {year}-{month:02d}")
-    return read_table(spark, path).count() if counted["rejected"] else 0
+    return number

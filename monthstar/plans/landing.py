@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from monthstar.sinks import land_records
-from monthstar.sources.files import join_path
+from monthstar.sources.files import join_path, paths_like
 from monthstar.sources.paged import Paging, Transport, fetch_pages
 from monthstar.sources.requests import extraction
 
@@ -25,14 +25,25 @@ def land_extraction(
     """Fetch all records of an extraction for a day and land them as JSON lines.
 
     ``transport_for`` maps the service path to a transport. Records go from
-    the workers to storage; the driver sees none of them.
+    the workers to storage; the driver sees none of them. A month's vouchers lie
+    in one folder whatever the day, so landing them again replaces them; other
+    files of the month, which readers would add to them, are an error. So is a
+    page limit, which would land part of the records.
     """
     wanted = extraction(name)
+    if paging.limit_pages > 0:
+        raise ValueError("a page limit would land part of the records")
+    path = join_path(root, wanted.landing(day))
+    if wanted.month is not None:
+        others = paths_like(spark, join_path(root, wanted.month.format(day=day)))
+        others = [other for other in others if other.rstrip("/").rpartition("/")[2] != path.rpartition("/")[2]]
+        if others:
+            raise FileExistsError(f"the month is landed elsewhere too: {', '.join(sorted(others))}")
     parents = None
     if wanted.needs:
-        parents = spark.read.json(join_path(root, extraction(wanted.needs).landing(day)), "codigo string")
+        columns = ", ".join(f"`{column}` string" for column in wanted.parent_columns)
+        parents = spark.read.json(join_path(root, extraction(wanted.needs).landing(day)), columns)
     requests = wanted.requests(spark, day, parents)
     records = fetch_pages(requests, transport_for(wanted.endpoint), paging, max_parallel)
-    path = join_path(root, wanted.landing(day))
     land_records(records, path, "record")
     return path

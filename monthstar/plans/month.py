@@ -9,10 +9,11 @@ from datetime import date
 from pyspark.sql import SparkSession
 from pyspark.util import inheritable_thread_target
 
+from monthstar.operators.keys import DEFAULT_BUCKETS
 from monthstar.operators.lookup import BROADCAST_BYTES
 from monthstar.plans.checks import run_check
 from monthstar.plans.dimension import load_dimension
-from monthstar.plans.fact import load_fact
+from monthstar.plans.fact import load_fact, measured_dimensions
 from monthstar.plans.landing import land_extraction
 from monthstar.plans.staging import distinct_rows, shared_passes, stage_source
 from monthstar.sources.paged import Paging, Transport
@@ -28,6 +29,7 @@ def run_month(
     strict: bool = False,
     concurrent_jobs: int = 4,
     broadcast_bytes: int = BROADCAST_BYTES,
+    buckets: int = DEFAULT_BUCKETS,
     transport_for: Callable[[str], Transport] | None = None,
     paging: Paging = Paging(),
 ) -> dict[str, dict]:
@@ -35,7 +37,8 @@ def run_month(
 
     With ``transport_for`` the month's card vouchers are fetched and landed
     first. Each step ends before the next begins; inside a step the tables are
-    independent and their jobs share the cluster. A failed check raises and
+    independent and their jobs share the cluster; facts that are written at the
+    same time share ``broadcast_bytes``. A failed check raises and
     stops the run. Running a month again changes nothing but its own fact
     partitions. Returns what the checks measured, by table.
     """
@@ -51,11 +54,12 @@ def run_month(
         stage_source(spark, root, table, source, year, month, rows.get(source.name))
 
     def load(table):
-        load_dimension(spark, root, table, strict)
+        load_dimension(spark, root, table, strict, buckets)
         return table.name, run_check(spark, root, "dimension_duplicate_keys", table.name, table.keys)
 
     def write(table):
-        rejected = load_fact(spark, root, star, table, year, month, broadcast_bytes)
+        share = broadcast_bytes // max(1, min(concurrent_jobs, len(star.facts)))
+        rejected = load_fact(spark, root, star, table, year, month, share, sizes)
         measured = run_check(
             spark, root, "fact_keys", table.name, table.required, table.max_null_percent, period=(year, month)
         )
@@ -63,12 +67,13 @@ def run_month(
 
     # Sources over the same raw files are folded in one pass of the text.
     rows = {}
-    for part in _together(spark, fold, shared_passes(star).items(), concurrent_jobs):
+    for part in _together(spark, fold, shared_passes(star), concurrent_jobs):
         rows.update(part)
 
     sides = [(table, source) for table in star.dimensions for source in table.sources]
     _together(spark, stage, sides, concurrent_jobs)
     checked = _together(spark, load, star.dimensions, concurrent_jobs)
+    sizes = measured_dimensions(spark, root, star)
     checked += _together(spark, write, star.facts, concurrent_jobs)
     return dict(checked)
 

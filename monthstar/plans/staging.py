@@ -19,6 +19,7 @@ from monthstar.sources.files import (
 )
 from monthstar.specs.model import Dimension, Family, Field, StagedSource, Star
 
+#: Columns of one pass: a grouping id has 64 bits.
 GROUPING_COLUMNS = 64
 
 
@@ -59,20 +60,28 @@ def stage_source(
     overwrite_table(staged, join_path(root, STAGING, source.name))
 
 
-def shared_passes(star: Star) -> dict[tuple[Family, ...], tuple[StagedSource, ...]]:
-    """Raw families that several staged sources read, with those sources.
+def shared_passes(star: Star) -> list[tuple[tuple[Family, ...], tuple[StagedSource, ...]]]:
+    """Passes over raw families, each with the staged sources that it folds.
 
-    A grouping id has 64 bits, so wider groups are left to one pass per source.
+    Sources of the same families are packed into as few passes as their columns
+    allow. A source alone in its pass is folded by ``stage_source`` itself.
     """
     groups: dict[tuple[Family, ...], list[StagedSource]] = {}
     for dimension in star.dimensions:
         for source in dimension.sources:
             groups.setdefault(source.families, []).append(source)
-    return {
-        families: tuple(sources)
-        for families, sources in groups.items()
-        if len(sources) > 1 and sum(len(source.fields) for source in sources) <= GROUPING_COLUMNS
-    }
+    packed: list[tuple[tuple[Family, ...], list[StagedSource]]] = []
+    for families, sources in groups.items():
+        passes: list[list[StagedSource]] = []
+        for source in sorted(sources, key=lambda s: -len(s.fields)):
+            for one in passes:
+                if sum(len(s.fields) for s in one) + len(source.fields) <= GROUPING_COLUMNS:
+                    one.append(source)
+                    break
+            else:
+                passes.append([source])
+        packed += [(families, one) for one in passes]
+    return [(families, tuple(one)) for families, one in packed if len(one) > 1]
 
 
 def distinct_rows(
@@ -97,7 +106,7 @@ def distinct_rows(
     for source, columns in zip(sources, sets):
         grouped = F.when(F.grouping(columns[0]) == 0, F.lit(source.name)).otherwise(grouped)
     folded = rows.groupingSets(sets, *[f.name for f in wide]).agg(grouped.alias("source"))
-    path = join_path(root, LOADING, "members", "_".join(family.name for family in families))
+    path = join_path(root, LOADING, "members", "_".join(source.name for source in sources))
     folded.write.mode("overwrite").partitionBy("source").parquet(path)
 
     # The schema is given because a month without any member has no file to take it from.

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,25 +31,60 @@ def read_csv(spark: SparkSession, path: str, separator: str = ";", encoding: str
     return spark.read.csv(path, sep=separator, encoding=encoding, header=True, enforceSchema=False)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """JSON under a given schema: one object per line, or an array per line."""
-    return spark.read.schema(schema).json(path)
+def read_json(
+    spark: SparkSession, path: str, schema: T.StructType | str, unreadable: str | None = None
+) -> DataFrame:
+    """JSON under a given schema: one object per line, or an array per line.
+
+    A line that is no JSON becomes a row of nulls; ``unreadable`` names a column
+    that then holds the line.
+    """
+    if unreadable is None:
+        return spark.read.schema(schema).json(path)
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    marked = T.StructType([*declared.fields, T.StructField(unreadable, T.StringType())])
+    return spark.read.schema(marked).option("columnNameOfCorruptRecord", unreadable).json(path)
 
 
-def read_family(spark: SparkSession, root: str, family: Family, year: int, month: int) -> DataFrame:
-    """The raw files of one month, picked by name; none at all is an error."""
+def read_family(
+    spark: SparkSession, root: str, family: Family, year: int, month: int, unreadable: str | None = None
+) -> DataFrame:
+    """The raw files of one month, picked by name; none at all is an error.
+
+    ``unreadable`` names a column for lines of JSON families that are no JSON.
+    """
     path = join_path(root, family.glob(year, month))
     if family.format == "json":
-        return read_json(spark, path, family.schema)
+        return read_json(spark, path, family.schema, unreadable)
     return read_csv(spark, path, family.separator, family.encoding)
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
-    """A stored table, all columns or the named ones."""
-    table = spark.read.parquet(path)
+def read_table(
+    spark: SparkSession, path: str, columns: Sequence[str] = (), schema: T.StructType | None = None
+) -> DataFrame:
+    """A stored table, all columns or the named ones; a schema that is given is not inferred by a job."""
+    table = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     return table.select(*columns) if columns else table
 
 
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders whose path matches a glob, on any file system that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in system.globStatus(path) or ()]
+
+
+def is_empty(spark: SparkSession, path: str) -> bool:
+    """Whether nothing is there, or a folder without any file; only the path itself is listed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return True
+    return all(
+        status.getPath().getName().startswith(("_", ".")) for status in system.listStatus(where)
+    )
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a schema, in a form the optimizer sees to be empty."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -64,16 +98,7 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     a first write that failed leaves behind. Any other failure is raised: a
     table that cannot be read must not pass for one that does not exist.
     """
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return empty_table(spark, schema)
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            declared = spark.read.schema(schema).parquet(path)
-            if not declared.inputFiles():
-                return declared
-        raise
+    return empty_table(spark, schema) if is_empty(spark, path) else read_table(spark, path, schema=schema)
 
 
 def read_period(spark: SparkSession, path: str, year: int, month: int) -> DataFrame:
@@ -82,12 +107,9 @@ def read_period(spark: SparkSession, path: str, year: int, month: int) -> DataFr
     A month that is not there has no rows; a fact that is not there is an error.
     """
     folder = f"{path}/year={int(year)}/month={int(month)}"
-    try:
-        return spark.read.option("basePath", path).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return spark.read.parquet(path).where(F.lit(False))
+    if is_empty(spark, folder):
+        return spark.read.parquet(path).where(F.lit(False))
+    return spark.read.option("basePath", path).parquet(folder)
 
 
 def read_staged(spark: SparkSession, root: str, table: str) -> DataFrame:

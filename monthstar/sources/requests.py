@@ -34,14 +34,18 @@ def agency_requests(
 ) -> DataFrame:
     """A request per agency and expense phase for documents issued on a day.
 
-    ``params`` maps columns of the agency list to parameter names. Phases are
-    generated per row, so nothing is joined.
+    ``params`` maps columns of the agency list to parameter names. An agency
+    that is listed twice is asked for once. Phases are generated per row, so
+    nothing is joined.
     """
     issued = F.lit(day) if isinstance(day, date) else _column(day)
-    return agencies.select(
-        *[F.col(column).alias(name) for column, name in params.items()],
+    listed = agencies.select(
+        *[F.col(column).alias(name) for column, name in params.items()], request_date(issued).alias(ISSUE_DATE)
+    ).distinct()
+    return listed.select(
+        *params.values(),
         F.lit(1).alias(PAGE),
-        request_date(issued).alias(ISSUE_DATE),
+        ISSUE_DATE,
         F.explode(F.array(*[F.lit(phase) for phase in PHASES])).alias(PHASE),
     )
 
@@ -50,13 +54,16 @@ def agency_requests(
 class Extraction:
     """A kind of extraction: the service path, where records land, and the
     requests for a day. ``needs`` names the extraction whose records the
-    requests are built from."""
+    requests are built from, and ``parent_columns`` the fields read of them.
+    ``month`` is the pattern of all folders that a reader of a month takes."""
 
     name: str
     endpoint: str
     folder: str
     requests: Callable[[SparkSession, date, DataFrame | None], DataFrame]
     needs: str | None = None
+    parent_columns: tuple[str, ...] = ()
+    month: str | None = None
 
     def landing(self, day: date) -> str:
         return self.folder.format(day=day)
@@ -87,8 +94,9 @@ EXTRACTIONS = {
         Extraction(
             "corporate_card_expenses",
             "/cartoes",
-            "raw_data/credit_card_vouchers/corporate-card-expenses-{day:%Y-%m-%d}",
+            "raw_data/credit_card_vouchers/corporate-card-expenses-{day:%Y-%m}",
             _voucher_requests,
+            month="raw_data/credit_card_vouchers/corporate-card-expenses-{day:%Y-%m}*",
         ),
         Extraction(
             "government_agencies",
@@ -102,6 +110,7 @@ EXTRACTIONS = {
             "raw_data/credit_card_vouchers/agency-expenses-{day:%Y-%m-%d}",
             _agency_requests,
             needs="government_agencies",
+            parent_columns=tuple(AGENCY_PARAMS),
         ),
     )
 }

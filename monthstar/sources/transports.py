@@ -46,7 +46,8 @@ class RecordedPages:
 
     The files of a request lie in ``{root}/{name}={value}``, after the one
     parameter that tells requests apart (or in ``root`` without one). A line is
-    ``{"page": 1, "items": [...]}``; a page that is not there is empty.
+    ``{"page": 1, "items": [...]}``; a page that is not there is empty. The root
+    is a folder that all workers see. A task holds the pages of one request.
     """
 
     root: str
@@ -72,6 +73,8 @@ def _recorded(folder: str):
     for entry in listing:
         if entry.is_file and not entry.base_name.startswith(("_", ".")):
             with filesystem.open_input_stream(entry.path) as stream:
-                for line in stream.read().decode("utf-8").splitlines():
-                    page = json.loads(line)
-                    yield page["page"], json.dumps(page["items"], ensure_ascii=False)
+                for line in stream.read().decode("utf-8").split("\n"):
+                    if line.strip():
+                        # The items stand last, so they are taken over as they were recorded.
+                        head, _, items = line.partition('"items":')
+                        yield json.loads(head.rstrip().rstrip(",") + "}")["page"], items.strip()[:-1]

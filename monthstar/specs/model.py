@@ -85,6 +85,11 @@ class StagedSource:
     families: tuple[Family, ...]
     fields: tuple[Field, ...]
 
+    @property
+    def schema(self) -> T.StructType:
+        """Schema of the staging table; attributes taken from raw files are text."""
+        return T.StructType([T.StructField(f.name, T.StringType()) for f in self.fields])
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -128,9 +133,12 @@ class Dimension:
     @property
     def schema(self) -> T.StructType:
         """Schema of the stored table; attributes taken from raw files are text."""
-        fields = [T.StructField(self.id_column, T.LongType())]
-        fields += [T.StructField(name, T.StringType()) for name in self.columns[1:]]
-        return T.StructType(fields)
+        return T.StructType([T.StructField(self.id_column, T.LongType()), *self.member_schema.fields])
+
+    @property
+    def member_schema(self) -> T.StructType:
+        """The same without the id."""
+        return T.StructType([T.StructField(name, T.StringType()) for name in self.columns[1:]])
 
 
 @dataclass(frozen=True)
@@ -167,6 +175,12 @@ class Star:
     dimensions: tuple[Dimension, ...]
     facts: tuple[Fact, ...] = field(default=())
 
+    def __post_init__(self):
+        names = [source.name for dimension in self.dimensions for source in dimension.sources]
+        twice = sorted({name for name in names if names.count(name) > 1})
+        if twice:
+            raise ValueError(f"staging tables {twice} belong to more than one source")
+
     def dimension(self, name: str) -> Dimension:
         return _named(self.dimensions, name, "dimension")
 

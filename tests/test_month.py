@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from monthstar import SPENDING_WITH_TYPES, run_month
 from monthstar.__main__ import main
 from monthstar.errors import DuplicateKeyError, EmptyFactError, NullKeyError, TooFewRowsError
-from monthstar.operators import null_keys
+from monthstar.operators import dedupe_by_key, null_keys
 from monthstar.plans import distinct_rows, load_dimension, load_fact, run_check, stage_source
 from monthstar.plans.staging import shared_passes
 from monthstar.sources import Reply, read_period
@@ -21,6 +21,7 @@ from monthstar.specs.spending import (
     AGENCY,
     CITY,
     COMMITMENT,
+    COMMITMENTS,
     EXPENSE_TYPES,
     PAYMENT,
     VENDOR,
@@ -204,7 +205,7 @@ def test_stray_rows_are_rejected(spark, two_months):
     assert {row["commitment_id"] for row in rejected.collect()} == {"E4", "E5"}
     assert first["commitment"]["rejected_rows"] == 2
     assert second["commitment"]["rejected_rows"] == 0
-    assert spark.read.parquet(f"{root}/reject/commitment/run=2020-02").count() == 0
+    assert not Path(root, "reject", "commitment", "run=2020-02").exists()
     for fact in (COMMITMENT, PAYMENT, VOUCHER_PAYMENT):
         stored_at = Path(root, "fact", fact.name)
         folders = {p.relative_to(stored_at).as_posix() for p in stored_at.glob("*/*=*")}
@@ -288,6 +289,31 @@ def test_command_line(spark, root, capsys):
         main([root, "2020", "1"])
 
 
+def test_command_line_fetches_first(spark, root, capsys, monkeypatch):
+    write_february(root)
+    cards = Path(root, "raw_data", "credit_card_vouchers")
+    for path in cards.iterdir():
+        path.unlink()
+    records = [voucher(7, PARKS, shop("66", "Mercado"), spent="10/02/2020")]
+
+    class Service:
+        def __init__(self, url, headers):
+            assert (url, headers) == ("http://service/cartoes", {"chave-api-dados": "k"})
+
+        def __call__(self, params):
+            return Reply(200, json.dumps(records if params["pagina"] == 1 else []))
+
+    monkeypatch.setattr("monthstar.__main__.HttpGet", Service)
+    monkeypatch.setattr("monthstar.sources.paged.Paging.sleep", 0)
+    monkeypatch.delenv("MONTHSTAR_SERVICE", raising=False)
+    with pytest.raises(SystemExit):
+        main([root, "2020", "2", "--fetch"])
+    monkeypatch.setenv("MONTHSTAR_SERVICE", "http://service/")
+    monkeypatch.setenv("MONTHSTAR_SERVICE_KEY", "k")
+    main([root, "2020", "2", "--with-types", "--fetch"])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["voucher_payment"]["total_rows"] == 1
+
+
 def test_planted_duplicate_stops_before_the_facts(spark, root):
     write_january(root)
     run_month(spark, root, Star(LENIENT.dimensions), 2020, 1)
@@ -345,8 +371,8 @@ def test_load_repeated_after_its_append_adds_nothing(spark, root):
 def test_sources_apart_stage_what_they_stage_together(spark, root):
     write_january(root)
     shared = shared_passes(LENIENT)
-    assert [len(sources) for sources in shared.values()] == [2, 3]
-    for families, sources in shared.items():
+    assert [len(sources) for _, sources in shared] == [2, 3]
+    for families, sources in shared:
         parts = distinct_rows(spark, root, families, sources, 2020, 1)
         for dimension in LENIENT.dimensions:
             for source in dimension.sources:
@@ -369,13 +395,47 @@ def test_specifications_that_cannot_work():
         LENIENT.dimension("salary")
 
 
-def test_wide_sources_are_staged_one_by_one():
+def test_wide_sources_are_packed_into_passes():
     families = (VOUCHERS,)
     wide = [
-        StagedSource(f"wide_{name}", families, tuple(text(f"c{i}", "id") for i in range(33))) for name in "ab"
+        StagedSource(f"wide_{name}", families, tuple(text(f"c{i}", "id") for i in range(width)))
+        for name, width in (("a", 33), ("b", 33), ("c", 31), ("d", 20), ("e", 10), ("f", 70))
     ]
     dimensions = [Dimension(source.name, ("c0",), (source,)) for source in wide]
-    assert shared_passes(Star(tuple(dimensions))) == {}
+    packed = [[source.name[-1] for source in sources] for _, sources in shared_passes(Star(tuple(dimensions)))]
+    assert packed == [["a", "c"], ["b", "d", "e"]]
+
+
+def test_dimensions_with_a_common_suffix(spark, root):
+    write_january(root)
+    kinds = [
+        Dimension(name, ("code",), (StagedSource(name, (COMMITMENTS,), (text("code", header),)),))
+        for name, header in (("type", "Tipo Empenho"), ("expense_type", "Código Órgão"))
+    ]
+    run_month(spark, root, Star(tuple(kinds)), 2020, 1)
+    assert [r["code"] for r in stored(spark, root, "dimension", "type").collect()] == ["Ordinário"]
+    members = stored(spark, root, "dimension", "expense_type").collect()
+    assert {r["code"] for r in members} == {"26201", "36201"} and {r["expense_type_id"] for r in members} == {1, 2}
+    with pytest.raises(ValueError, match="more than one source"):
+        Star((kinds[0], replace(kinds[1], sources=kinds[0].sources)))
+
+
+def test_a_member_with_one_complete_record_survives_strict_mode(spark):
+    records = spark.createDataFrame([("a", "v", "x@y"), ("a", "v", None)], "code string, name string, mail string")
+    kept = dedupe_by_key(records, ["code", "name"]).dropna().collect()
+    assert [tuple(row) for row in kept] == [("a", "v", "x@y")]
+
+
+def test_lines_that_are_no_json_are_rejected(spark, root):
+    write_january(root)
+    cards = Path(root, "raw_data", "credit_card_vouchers")
+    lines = [json.dumps(voucher(7, EDUCATION, shop(*BAKER)), ensure_ascii=False), '{"id": 8, "dataTrans']
+    next(cards.iterdir()).write_text("\n".join(lines), encoding="utf-8")
+    measured = run_month(spark, root, LENIENT, 2020, 1)
+    assert measured["voucher_payment"]["rejected_rows"] == 1
+    assert [row["payment_id"] for row in stored(spark, root, "fact", "voucher_payment").collect()] == [7]
+    kept = spark.read.parquet(f"{root}/reject/voucher_payment/run=2020-01").collect()
+    assert [row["unreadable_line"] for row in kept] == ['{"id": 8, "dataTrans']
 
 
 def test_vouchers_can_be_fetched_first(spark, root):

@@ -64,7 +64,18 @@ class Pages:
 
 
 def fetched(transport, params, paging=QUICK, offset=0):
-    return list(paged.pages_of(transport, params, paging, offset))
+    pages = paged.pages_of(transport, params, paging, offset)
+    return [(page, [json.loads(record) for record in records]) for page, records in pages]
+
+
+def test_records_stay_as_sent():
+    body = ' [ {"a": 12345678901234567.89, "b": 1e400},\n {"t": "x,]\\n",\n "c": 1.10} , 7,"s" ]\n'
+    assert paged.records_of(body) == [
+        '{"a": 12345678901234567.89, "b": 1e400}', '{"t": "x,]\\n",  "c": 1.10}', "7", '"s"'
+    ]
+    assert paged.records_of(" [] ") == paged.records_of("[ \n ]") == []
+    with pytest.raises(ValueError):
+        paged.records_of('{"error": "x"}')
 
 
 def test_pages_until_an_empty_one():
@@ -216,7 +227,8 @@ def test_month_requests(spark):
 
 
 def test_agency_requests(spark):
-    agencies = spark.createDataFrame([("26000", "x"), ("36000", "y")], "codigo string, nome string")
+    listed = [("26000", "x"), ("36000", "y"), ("36000", "z")]
+    agencies = spark.createDataFrame(listed, "codigo string, nome string")
     asked = agency_requests(agencies, date(2020, 1, 20))
     assert asked.columns == ["unidadeGestora", "pagina", "dataEmissao", "fase"]
     assert sorted(tuple(row) for row in asked.collect()) == [
@@ -254,6 +266,15 @@ def test_landing(spark, root):
     land_extraction(spark, root, "corporate_card_expenses", day, Service, quick)
     landed = read_family(spark, root, VOUCHERS, 2020, 1)
     assert [tuple(r) for r in landed.select("id", "estabelecimento.nome").collect()] == [(1, "Padaria Açúcar")]
+    again = land_extraction(spark, root, "corporate_card_expenses", date(2020, 1, 20), Service, quick)
+    assert again.endswith("corporate-card-expenses-2020-01")
+    assert read_family(spark, root, VOUCHERS, 2020, 1).count() == 1
+    with pytest.raises(ValueError, match="page limit"):
+        land_extraction(spark, root, "corporate_card_expenses", day, Service, Paging(0, 0, limit_pages=2))
+    other = Path(root, "raw_data", "credit_card_vouchers", "corporate-card-expenses-2020-01-20")
+    other.mkdir()
+    with pytest.raises(FileExistsError, match="2020-01-20"):
+        land_extraction(spark, root, "corporate_card_expenses", day, Service, quick)
     with pytest.raises(AnalysisException):
         land_extraction(spark, root, "agency_expenses_documents", day, Service, quick)
     land_extraction(spark, root, "government_agencies", day, Service, quick)
