@@ -28,7 +28,7 @@ from monthstar.operators import (
 )
 from monthstar.sources import agency_requests, month_requests, read_table
 from monthstar.specs import leaf, text
-from parity.registry import query, table
+from parity.registry import ORACLES, query, table
 
 
 @query("select c_custkey, c_name from customer")
@@ -41,7 +41,8 @@ def src_parquet_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from nation cross join (values (1), (2), (3)) p(phase)
 """)
 def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    agencies = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("codigo"))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("codigo"))
+    agencies = nation.unionAll(nation)
     asked = agency_requests(agencies, date(2020, 1, 20))
     return asked.select(
         F.col("unidadeGestora").alias("agency_code"),
@@ -162,9 +163,12 @@ def filter_dropna_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_incomplete(holes)
 
 
-def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dated_orders(spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders")
+    if period is not None:
+        orders = orders.where(in_period(*period, "o_orderdate"))
+    return orders.select(
         "o_orderkey", "o_custkey", "o_totalprice", year_of(day).alias("year"), month_of(day).alias("month")
     )
 
@@ -223,6 +227,29 @@ def agg_dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_by_key(table(spark, sf_dir, "lineitem").select(*columns), ["l_orderkey", "l_linenumber"])
 
 
+@query("""
+    select l_orderkey, l_suppkey, l_returnflag, l_quantity, l_tax
+    from (select *, row_number() over (
+              partition by l_orderkey
+              order by (l_returnflag is null)::int + (l_quantity is null)::int + (l_tax is null)::int
+                      + (l_suppkey is null)::int,
+                  l_suppkey nulls first, l_returnflag nulls first, l_quantity nulls first, l_tax nulls first) as rn
+          from (select l_orderkey, l_suppkey, nullif(l_returnflag, 'A') as l_returnflag,
+                    nullif(l_quantity, 10) as l_quantity, nullif(l_tax, 0) as l_tax from lineitem))
+    where rn = 1
+""")
+def agg_dedup_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with holes: of a key's records the fullest stays."""
+    holes = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_suppkey",
+        "nullif(l_returnflag, 'A') as l_returnflag",
+        "nullif(l_quantity, 10) as l_quantity",
+        "nullif(l_tax, 0) as l_tax",
+    )
+    return dedupe_by_key(holes, ["l_orderkey"])
+
+
 @query("select distinct l_orderkey, l_linenumber from lineitem")
 def agg_dedup_keys_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber"]
@@ -257,8 +284,10 @@ def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_rows(customer, ["c_custkey"], "customer_id", bucket=F.col("c_custkey"))
 
 
-def _order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with ids of their customer and its nation.
+def _order_fact(
+    spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None, **options
+) -> DataFrame:
+    """Orders, of one month or all, with ids of their customer and its nation.
 
     Customers of one nation are missing from the dimension, so that their
     orders stay unresolved.
@@ -275,7 +304,8 @@ def _order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         Lookup(vendor, ("o_custkey",), ("vendor_id", "c_nationkey")),
         Lookup(agency, ("c_nationkey",), ("agency_id",)),
     ]
-    return resolve(_dated_orders(spark, sf_dir), lookups, drop=["o_custkey", "c_nationkey"])
+    orders = _dated_orders(spark, sf_dir, period)
+    return resolve(orders, lookups, drop=["o_custkey", "c_nationkey"], **options)
 
 
 @query("""
@@ -290,6 +320,12 @@ def fact_lookup_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_fact(spark, sf_dir)
 
 
+@query(ORACLES["fact_lookup_two"])
+def fact_lookup_two_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with dimensions too large to broadcast."""
+    return _order_fact(spark, sf_dir, broadcast_bytes=0)
+
+
 @query("""
     select e.event_id, cast(e.ts as date) as payment_date, v.c_custkey + 1 as vendor_id,
         cast(n.n_nationkey + 1 as bigint) as agency_id, cast(r.r_regionkey + 1 as bigint) as city_id,
@@ -301,6 +337,16 @@ def fact_lookup_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def fact_lookup_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events under the run's period, with ids of customer, nation and region."""
+    return _event_fact(spark, sf_dir)
+
+
+@query(ORACLES["fact_lookup_three"])
+def fact_lookup_three_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with dimensions too large to broadcast."""
+    return _event_fact(spark, sf_dir, broadcast_bytes=0)
+
+
+def _event_fact(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", F.col("ts").cast("date").alias("payment_date"), "user_id"
     )
@@ -320,7 +366,8 @@ def fact_lookup_three(spark: SparkSession, sf_dir: str) -> DataFrame:
         Lookup(agency, ("c_nationkey",), ("agency_id", "n_regionkey")),
         Lookup(city, ("n_regionkey",), ("city_id",)),
     ]
-    return resolve(literal_period(events, 2024, 1), lookups, drop=["user_id", "c_nationkey", "n_regionkey"])
+    drop = ["user_id", "c_nationkey", "n_regionkey"]
+    return resolve(literal_period(events, 2024, 1), lookups, drop, **options)
 
 
 @query("""
@@ -333,7 +380,7 @@ def fact_lookup_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     where year(o.o_orderdate) = 1998 and month(o.o_orderdate) = 3
 """)
 def dq_fact_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_keys(_order_fact(spark, sf_dir), ["o_orderkey", "vendor_id"], (1998, 3))
+    return null_keys(_order_fact(spark, sf_dir, (1998, 3)), ["o_orderkey", "vendor_id"], (1998, 3))
 
 
 @query("select count(*) as n_rows, count(*) >= 100 as passed from supplier")

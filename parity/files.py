@@ -5,6 +5,8 @@ Every query writes into a new folder under the session's checkpoint folder.
 
 from __future__ import annotations
 
+from datetime import date
+
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthstar.functions import request_date
-from monthstar.operators import new_members, rename
+from monthstar.operators import new_members, number_rows, rename
+from monthstar.plans import land_extraction
 from monthstar.sinks import (
     append_dimension,
     land_records,
     overwrite_partitions,
     overwrite_table,
-    scratch_folder,
 )
 from monthstar.sources import (
     RecordedPages,
@@ -32,7 +34,8 @@ from monthstar.sources import (
 )
 from monthstar.sources.paged import Paging
 from monthstar.specs import Family, Field, leaf, text
-from parity.registry import query, table
+from monthstar.specs.spending import VOUCHERS
+from parity.registry import query, scratch, table
 
 RECORDS_PER_PAGE = 100
 
@@ -66,7 +69,7 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     from nation
 """)
 def src_csv_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "nation")
+    path = scratch(spark, "nation")
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("Código Nação"),
         F.col("n_name").alias("Nação"),
@@ -90,7 +93,7 @@ ORDER_FILES = Family("orders", "orders={year}{month:02d}*")
 """)
 def src_csv_month_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders written in folders by month, one of them picked by name."""
-    root = scratch_folder(spark, "raw")
+    root = scratch(spark, "raw")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Código Pedido"),
         request_date("o_orderdate").alias("Data Emissão"),
@@ -120,7 +123,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from events
 """)
 def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "events")
+    path = scratch(spark, "events")
     write_json_arrays(event_records(spark, sf_dir), path)
     fields = [
         leaf("id", "id"),
@@ -135,7 +138,7 @@ def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_parquet_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension's path is absent, so every member is new."""
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType())])
-    absent = read_optional(spark, scratch_folder(spark, "dimension/customer"), schema)
+    absent = read_optional(spark, scratch(spark, "dimension/customer"), schema)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return new_members(customer, absent, ["c_custkey", "c_name"])
 
@@ -145,13 +148,31 @@ def src_parquet_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     union all select s_suppkey, s_name from supplier
 """)
 def src_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     for name, code, label in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name")):
         fields = [text("party_code", code), text("party_name", label)]
         overwrite_table(rename(table(spark, sf_dir, name), fields), f"{root}/staging/{name}_party")
     return read_staged(spark, root, "party")
 
 
+def record_pages(df: DataFrame, path: str) -> None:
+    """Rows recorded as one request's pages: numbered from 1 without a gap, a page for an Arrow batch's part."""
+    spark = df.sparkSession
+
+    def pages(batches):
+        for batch in batches:
+            records = batch.column(0).to_pylist()
+            for begin in range(0, len(records), RECORDS_PER_PAGE):
+                yield pa.RecordBatch.from_pydict({"items": ["[" + ",".join(records[begin : begin + RECORDS_PER_PAGE]) + "]"]})
+
+    items = df.select(F.to_json(F.struct(*df.columns))).mapInArrow(pages, "items string")
+    unnumbered = f"{path}.items"
+    items.select("items", F.monotonically_increasing_id().alias("place")).write.parquet(unnumbered)
+    numbered = number_rows(spark.read.parquet(unnumbered), ["place"], "page")
+    line = F.concat(F.lit('{"page": '), "page", F.lit(', "items": '), "items", F.lit("}"))
+    numbered.select(line).write.text(path)
+
+
 PAGED_EVENT = "event_id bigint, user_id bigint, event_type string"
 
 
@@ -160,7 +181,7 @@ def fetched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     An Arrow batch of events makes a request, so its pages are few whatever the data.
     """
-    root = scratch_folder(spark, "pages")
+    root = scratch(spark, "pages")
 
     def recorded(batches):
         task = TaskContext.get().partitionId()
@@ -186,15 +207,46 @@ def src_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select event_id, user_id, event_type from events")
 def land_paged_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetched records landed as they came, then read as raw files."""
-    path = scratch_folder(spark, "raw/events")
+    path = scratch(spark, "raw/events")
     land_records(fetched_events(spark, sf_dir), path, "record")
     return read_json(spark, path, PAGED_EVENT)
 
 
+@query("""
+    select event_id as payment_id, cast(value as decimal(18,2)) as payment_amount, event_type as vendor_name
+    from events
+""")
+def land_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's vouchers landed from recorded pages, twice, and read by the month's family."""
+    recorded, root = scratch(spark, "pages"), scratch(spark, "star")
+    vouchers = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("value").cast("decimal(18,2)").cast("string").alias("valorTransacao"),
+        F.struct(F.col("event_type").alias("nome")).alias("estabelecimento"),
+    )
+    record_pages(vouchers, f"{recorded}/cartoes")
+    for day in (date(2020, 1, 20), date(2020, 1, 1)):
+        land_extraction(
+            spark,
+            root,
+            "corporate_card_expenses",
+            day,
+            lambda endpoint: RecordedPages(f"{recorded}{endpoint}"),
+            Paging(sleep=0),
+        )
+    landed = read_family(spark, root, VOUCHERS, 2020, 1)
+    fields = [
+        leaf("payment_id", "id"),
+        Field("payment_amount", "valorTransacao", lambda raw: raw.try_cast("decimal(18,2)")),
+        leaf("vendor_name", "estabelecimento.nome"),
+    ]
+    return rename(landed, fields)
+
+
 @query("select s_suppkey, s_name from supplier")
 def sink_stage_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staging table written twice holds what was written last."""
-    path = scratch_folder(spark, "staging/party")
+    path = scratch(spark, "staging/party")
     overwrite_table(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), path)
     overwrite_table(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), path)
     return read_table(spark, path)
@@ -203,7 +255,7 @@ def sink_stage_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select c_custkey, c_name from customer")
 def sink_dim_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One segment first, the others after it."""
-    path = scratch_folder(spark, "dimension/customer")
+    path = scratch(spark, "dimension/customer")
     customer = table(spark, sf_dir, "customer")
     first = customer.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
     append_dimension(first, path)
@@ -220,7 +272,7 @@ def sink_dim_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def sink_fact_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months as version 1, one month again as version 2."""
-    path = scratch_folder(spark, "fact/orders")
+    path = scratch(spark, "fact/orders")
     day = F.col("o_orderdate").cast("date")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.year(day).alias("year"), F.month(day).alias("month")
@@ -233,6 +285,6 @@ def sink_fact_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query("select event_id, user_id, event_type from events")
 def sink_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_folder(spark, "raw/events")
+    path = scratch(spark, "raw/events")
     land_records(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), path)
     return read_json(spark, path, PAGED_EVENT)

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthstar.functions import request_date
-from monthstar.operators import Lookup, resolve
+from monthstar.operators import Lookup, dedupe_by_key, resolve
 from monthstar.plans import load_dimension, run_month, stage_source
-from monthstar.sinks import land_records, overwrite_table, scratch_folder
+from monthstar.sinks import land_records, overwrite_table
 from monthstar.sources import read_table
 from monthstar.specs import (
     Dimension,
@@ -26,7 +26,7 @@ from monthstar.specs import (
     year_field,
 )
 from parity.files import EVENT_SCHEMA, event_records, write_csv, write_json_arrays
-from parity.registry import query, table
+from parity.registry import query, scratch, table
 
 YEAR, MONTH = 1998, 3
 RUN = f"{YEAR}{MONTH:02d}"
@@ -56,7 +56,7 @@ PARTY = Dimension("party", ("code", "name"), (StagedSource("party", PARTY_FAMILI
 """)
 def stage_dimension_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three CSV families; a part without code is dropped, one segment is known."""
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     raw = {
         "customer": ("c_custkey", "c_name"),
         "supplier": ("s_suppkey", "s_name"),
@@ -79,7 +79,7 @@ KIND = Dimension("kind", ("type_code", "brand_code"), (StagedSource("kind", (KIN
 @query("select distinct p_type as type_code, p_brand as brand_code from part where p_brand <> 'Brand#17'")
 def stage_dimension_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV family; the kinds of one brand are known."""
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     part = table(spark, sf_dir, "part")
     write_csv(
         part.selectExpr("p_type as `Código Tipo`", "p_brand as `Código Marca`"),
@@ -104,7 +104,7 @@ ACTION = Dimension(
 """)
 def stage_dimension_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested JSON; the actions of one kind are known."""
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     write_json_arrays(event_records(spark, sf_dir), f"{root}/raw_data/events-{YEAR}-{MONTH:02d}-01")
     known = table(spark, sf_dir, "events").where("event_type = 'error'")
     _known(
@@ -137,7 +137,7 @@ MERGED = Dimension(
 """)
 def load_dimension_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members staged by two sources that both know the nations 10 to 14."""
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     customer = table(spark, sf_dir, "customer").withColumn("k", F.col("c_custkey").cast("string"))
     left = customer.where("c_nationkey < 15").select("k", F.col("c_mktsegment").alias("segment"))
     right = customer.where("c_nationkey > 9").select("k", F.lit("R").alias("segment"))
@@ -147,6 +147,27 @@ def load_dimension_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/dimension/customer")
 
 
+@query("""
+    select row_number() over (order by cast(k as bigint) % 1024, k) as customer_id, k, segment
+    from (select coalesce(a.k, b.k) as k, coalesce(a.segment, b.segment) as segment
+          from (select cast(c_custkey as varchar) as k, c_mktsegment as segment
+                from customer where c_nationkey < 15 and c_mktsegment <> 'BUILDING') a
+          full join (select cast(c_custkey as varchar) as k, 'R' as segment
+                     from customer where c_nationkey > 9) b on a.k = b.k)
+""")
+def load_dimension_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source stages a complete and an incomplete record of each member, or for one segment only the latter."""
+    root = scratch(spark, "star")
+    customer = table(spark, sf_dir, "customer").withColumn("k", F.col("c_custkey").cast("string"))
+    left = customer.where("c_nationkey < 15").select("k", F.col("c_mktsegment").alias("segment"))
+    left = left.where("segment <> 'BUILDING'").unionAll(left.withColumn("segment", F.lit(None).cast("string")))
+    right = customer.where("c_nationkey > 9").select("k", F.lit("R").alias("segment"))
+    overwrite_table(dedupe_by_key(left, ["k"]), f"{root}/staging/expenses_customer")
+    overwrite_table(right, f"{root}/staging/vouchers_customer")
+    load_dimension(spark, root, MERGED, strict=True)
+    return read_table(spark, f"{root}/dimension/customer")
+
+
 SINGLE = Dimension(
     "nation",
     ("nation_code",),
@@ -161,7 +182,7 @@ SINGLE = Dimension(
     from nation
 """)
 def load_dimension_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     nation = table(spark, sf_dir, "nation").selectExpr(
         "cast(n_nationkey as string) as nation_code", "n_name as nation"
     )
@@ -187,7 +208,7 @@ TWICE = Dimension(
 """)
 def surrogate_ids_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One segment is loaded first; then all are staged, and the others follow on."""
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     customer = table(spark, sf_dir, "customer").withColumn("customer_code", F.col("c_custkey").cast("string"))
     for staged in (customer.where("c_mktsegment = 'BUILDING'"), customer):
         overwrite_table(staged.select("customer_code"), f"{root}/staging/vouchers_customer")
@@ -292,7 +313,7 @@ STAR_VOUCHER = Fact(
 STAR = Star((STAR_VENDOR, STAR_AGENCY, STAR_CITY), (STAR_PAYMENT, STAR_VOUCHER))
 
 
-def _money(column: str) -> Column:
+def money(column: str) -> Column:
     return F.translate(F.format_number(column, 2), ",.", ".,")
 
 
@@ -315,7 +336,7 @@ def write_month(spark: SparkSession, sf_dir: str, root: str) -> None:
     documents = resolve(table(spark, sf_dir, "orders"), [buyers, *places]).select(
         F.col("o_orderkey").alias("Código Pagamento"),
         request_date("o_orderdate").alias("Data Emissão"),
-        _money("o_totalprice").alias("Valor"),
+        money("o_totalprice").alias("Valor"),
         F.col("code").alias("Código Favorecido"),
         F.col("c_name").alias("Favorecido"),
         F.col("c_nationkey").alias("Código Órgão"),
@@ -339,7 +360,7 @@ def write_month(spark: SparkSession, sf_dir: str, root: str) -> None:
     vouchers = resolve(table(spark, sf_dir, "events"), [users, *places]).select(
         F.col("event_id").alias("id"),
         request_date("ts").alias("data"),
-        _money("value").alias("valor"),
+        money("value").alias("valor"),
         F.struct(*vendor).alias("favorecido"),
         F.struct(*agency).alias("unidade"),
     )
@@ -348,7 +369,7 @@ def write_month(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def build_month(spark: SparkSession, sf_dir: str) -> str:
     """Run the month and return the folder of the star."""
-    root = scratch_folder(spark, "star")
+    root = scratch(spark, "star")
     write_month(spark, sf_dir, root)
     run_month(spark, root, STAR, YEAR, MONTH)
     return root

@@ -7,7 +7,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from parity import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -50,10 +51,10 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLES[name])
     assert sorted(result.columns) == sorted(expected.columns)
     kinds = {column: KINDS[str(kind)] for column, kind in zip(expected.columns, expected.types)}
     assert dict(result.dtypes) == kinds

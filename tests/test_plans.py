@@ -45,7 +45,6 @@ SHUFFLE_FREE = [
     "proj_struct_fields",
     "scalar_br_number",
     "union_by_name_three",
-    "request_plan",
 ]
 
 
