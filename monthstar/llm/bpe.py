@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,16 +24,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import kind_of, texts
+from monthstar.llm.tables import kind_of, mapped, texts
 
 #: Characters of text after which a block is closed.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 #: Distinct words that a task remembers; beyond it the task numbers words anew.
 TASK_WORDS = 1_000_000
 #: Buckets of the literal rank map, a power of two.
 BUCKETS = 1 << 15
-#: Rank of a pair that is no token.
-NO_RANK = 2**31 - 1
 #: Stands before and after the bytes of a word; no token has it.
 EDGE = "\u0100"
 
@@ -63,10 +62,11 @@ def _let(value: Column, use) -> Column:
 
 
 def word_ids(table: Column, word: Column) -> Column:
-    """Token ids of a word: its own rank, or what the fold of merges leaves."""
+    """Token ids of a word: its own rank, or what the fold of merges leaves.
 
-    def pair(chars: Column) -> Column:
-        return F.coalesce(_rank(table, chars), F.lit(NO_RANK))
+    The state is the parts of the word and the rank of each pair of them, null
+    where the pair is no token; a step looks up the two pairs beside its merge.
+    """
 
     def step(state: Column, _: Column) -> Column:
         parts, ranks = state["parts"], state["ranks"]
@@ -75,7 +75,8 @@ def word_ids(table: Column, word: Column) -> Column:
             # The edges have no rank, so there is a part on either side of the pair.
             def put(token: Column) -> Column:
                 beside = F.array(
-                    pair(F.concat(F.get(parts, at - 2), token)), pair(F.concat(token, F.get(parts, at + 1)))
+                    _rank(table, F.concat(F.get(parts, at - 2), token)),
+                    _rank(table, F.concat(token, F.get(parts, at + 1))),
                 )
                 end = F.size(parts)
                 return F.struct(
@@ -87,14 +88,14 @@ def word_ids(table: Column, word: Column) -> Column:
 
         def lowest(rank: Column) -> Column:
             at = F.array_position(ranks, rank).cast("int")
-            return F.when(rank < NO_RANK, _let(at, merge)).otherwise(state)
+            return F.when(rank.isNotNull(), _let(at, merge)).otherwise(state)
 
         return _let(F.array_min(ranks), lowest)
 
     def fold(parts: Column) -> Column:
         pairs = F.transform(
             F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda i: pair(F.concat(F.get(parts, i), F.get(parts, i + 1))),
+            lambda i: _rank(table, F.concat(F.get(parts, i), F.get(parts, i + 1))),
         )
         return F.aggregate(
             F.sequence(F.lit(1), F.size(parts) - 3),
@@ -126,7 +127,8 @@ def encode(
     blocks = (
         docs.select(id_col, text_col)
         .coalesce(cores)
-        .mapInArrow(
+        .transform(
+            mapped,
             _blocks(id_col, text_col, pattern),
             f"doc array<{kind}>, n_words array<int>, at array<int>, fresh boolean, words array<string>",
         )
@@ -134,7 +136,7 @@ def encode(
     words = F.col("words")
     codes = _let(rank_map(ranks), lambda table: F.transform(words, lambda word: word_ids(table, word)))
     coded = blocks.select("doc", "n_words", "at", "fresh", codes.alias("codes"))
-    return coded.mapInArrow(_put_together(id_col), f"`{id_col}` {kind}, ids array<int>")
+    return coded.transform(mapped, _put_together(id_col), f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -150,9 +152,53 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.unhex(_let(table, joined))
 
 
+def narrowed(pattern: str) -> str | None:
+    """The pattern for texts below U+0100, its Unicode classes spelled out for the faster standard matcher.
+
+    None where it uses other classes than letters, numbers and white space.
+    """
+    kinds = {r"\p{L}": "", r"\p{N}": "", r"\s": ""}
+    for kind in kinds:
+        kinds[kind] = "".join(f"\\x{c:02x}" for c in range(256) if regex.fullmatch(kind, chr(c)))
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        kind = next((k for k in kinds if pattern.startswith(k, at)), None)
+        if kind is not None:
+            out.append(kinds[kind] if inside else f"[{kinds[kind]}]")
+            at += len(kind)
+        elif pattern.startswith(r"\S", at) and not inside:
+            out.append("[^" + kinds[r"\s"] + "]")
+            at += 2
+        elif pattern[at] == "\\":
+            return None
+        else:
+            inside = pattern[at] == "[" or inside and pattern[at] != "]"
+            out.append(pattern[at])
+            at += 1
+    return "".join(out)
+
+
+def _matcher(pattern: str):
+    """All matches of the pattern in a text."""
+    wide = regex.compile(pattern).findall
+    spelled = narrowed(pattern)
+    if spelled is None:
+        return wide
+    narrow = re.compile(spelled).findall
+
+    def words(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return wide(text)
+        return narrow(text)
+
+    return words
+
+
 def _blocks(id_col: str, text_col: str, pattern: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = regex.compile(pattern).findall
+        words = _matcher(pattern)
         held: list[pa.Array] = []
         counts: list[int] = []
         places: list[np.ndarray] = []
@@ -178,10 +224,9 @@ def _blocks(id_col: str, text_col: str, pattern: str):
             held.append(ids)
             for text in values:
                 found = words(text) if text else ()
-                for word in found:
-                    if word not in number:
-                        number[word] = len(number)
-                        new.append(word)
+                for word in sorted(set(found).difference(number)):
+                    number[word] = len(number)
+                    new.append(word)
                 counts.append(len(found))
                 if found:
                     places.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -17,12 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a local session without one gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="monthstar-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="monthstar-llm-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
@@ -44,6 +46,18 @@ def kind_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` over batches of bounded size.
+
+    Spark's batches of whole documents may be large, and each is held by Spark and
+    by Python at once. A session with a larger bound gets ``BATCH_BYTES``.
+    """
+    conf = df.sparkSession.conf
+    if int(re.match(r"-?\d+", conf.get(BATCH_SETTING))[0]) not in range(1, BATCH_BYTES + 1):
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def texts(
     batches: Iterable[pa.RecordBatch], id_col: str, text_col: str, as_bytes: bool = False
 ) -> Iterator[tuple[pa.Array, list]]:
@@ -70,8 +84,11 @@ def kept_rows(docs: DataFrame, text_col: str, keep) -> DataFrame:
                 values = part.column(part.schema.get_field_index(text_col)).to_pylist()
                 yield part.filter(pa.array(keep(values), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
+#: Bytes of an Arrow batch, about, and the setting that bounds them.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows whose texts are Python objects at the same time.
 SLICE_ROWS = 512
