@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from monthstar.llm.tables import SLICE_ROWS, kind_of
+from monthstar.llm.tables import SLICE_ROWS, kind_of, mapped
 
 # Element names of HTML.
 #: Elements whose content is never text of the page.
@@ -69,7 +69,12 @@ TABLE = (
     (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (6, 1.0, 30, 0.0, 8, 0.0, 1, 0, 1, 1), (50, 0.0, 40, 0.0, 2, 1.0, 1, 0, 0, 1),
     (2, 0.0, 60, 0.0, 1, 1.0, 1, 0, 0, 1), (8, 0.0, 1, 1.0, 30, 0.0, 1, 0, 0, 1), (5, 1.0, 4, 1.0, 6, 1.0, 1, 0, 1, 1),
     (3, 1.0, 3, 1.0, 3, 1.0, 1, 0, 1, 1), (12, 0.0, 3, 1.0, 3, 1.0, 1, 0, 0, 1), (1, 0.0, 2, 1.0, 2, 1.0, 1, 0, 0, 1),
-    # text of pages that mark no article
+    # on pages that mark no article: short blocks inside running text, and texts inside link lists
+    (4, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (3, 0.0, 80, 0.0, 70, 0.0, 0, 0, 0, 1), (2, 0.0, 35, 0.0, 40, 0.0, 0, 0, 0, 1),
+    (8, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (9, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (14, 0.1, 3, 1.0, 4, 1.0, 0, 0, 0, 0),
+    # longer text of pages that mark no article
+    (200, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (30, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (60, 0.0, 0, 0.0, 80, 0.0, 0, 0, 0, 1),
+    (45, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 1), (70, 0.0, 30, 0.0, 4, 0.0, 0, 0, 0, 1), (500, 0.02, 3, 0.0, 2, 1.0, 0, 0, 0, 1),
     (40, 0.0, 8, 0.0, 60, 0.0, 0, 0, 0, 1), (80, 0.1, 40, 0.0, 9, 0.0, 0, 0, 0, 1), (25, 0.0, 90, 0.0, 30, 0.0, 0, 0, 0, 1),
     (18, 0.0, 50, 0.0, 45, 0.0, 0, 0, 0, 1), (30, 0.2, 2, 1.0, 70, 0.0, 0, 0, 0, 1), (20, 0.0, 30, 0.0, 25, 0.0, 0, 0, 1, 1),
     (9, 0.0, 45, 0.0, 60, 0.0, 0, 0, 0, 1), (7, 0.0, 70, 0.0, 35, 0.0, 0, 0, 0, 1),
@@ -237,7 +242,8 @@ def extract(
                     names=[id_col, url_col, "text", "n_chars"],
                 )
 
-    return pages.select(id_col, url_col, html_col).mapInArrow(
+    return pages.select(id_col, url_col, html_col).transform(
+        mapped,
         run,
         f"`{id_col}` {kind_of(pages, id_col)}, `{url_col}` {kind_of(pages, url_col)}, text string, n_chars long",
     )
