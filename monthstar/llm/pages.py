@@ -79,8 +79,17 @@ TABLE = (
     (18, 0.0, 50, 0.0, 45, 0.0, 0, 0, 0, 1), (30, 0.2, 2, 1.0, 70, 0.0, 0, 0, 0, 1), (20, 0.0, 30, 0.0, 25, 0.0, 0, 0, 1, 1),
     (9, 0.0, 45, 0.0, 60, 0.0, 0, 0, 0, 1), (7, 0.0, 70, 0.0, 35, 0.0, 0, 0, 0, 1),
 )
+#: By rule: inside an article any size beside any neighbour is text, inside an aside element none is.
+SIZES, NEIGHBOURS = (1, 3, 6, 12, 40, 150), ((0, 0.0), (2, 0.0), (60, 0.0), (2, 1.0))
+RULED = tuple(
+    (words, 0.0, *before, *after, main, aside, 0, main * (1 - aside))
+    for words in SIZES
+    for before in NEIGHBOURS
+    for after in NEIGHBOURS
+    for main, aside in ((1, 0), (0, 1), (1, 1))
+)
 #: Depth of the tree at most.
-DEPTH = 6
+DEPTH = 7
 
 
 def _grown(rows: np.ndarray, labels: np.ndarray, depth: int, nodes: list) -> int:
@@ -111,7 +120,7 @@ def _grown(rows: np.ndarray, labels: np.ndarray, depth: int, nodes: list) -> int
 @cache
 def tree() -> tuple[np.ndarray, ...]:
     """The trained tree as arrays: feature (-1: leaf), cut, left, right, share of main text."""
-    table = np.array(TABLE, dtype=float)
+    table = np.array([*TABLE, *RULED], dtype=float)
     nodes: list = []
     _grown(table[:, :-1], table[:, -1], DEPTH, nodes)
     columns = list(zip(*nodes))
