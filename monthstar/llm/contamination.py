@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import SLICE_ROWS, kind_of, stored, texts
+from monthstar.llm.tables import SLICE_ROWS, kind_of, mapped, stored, texts
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW_WORDS = 13
@@ -155,7 +155,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, length: int) -> D
                     )
 
     named = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col)
-    return named.toDF("item", "text").mapInArrow(run, "window binary, item string").distinct()
+    return named.toDF("item", "text").transform(mapped, run, "window binary, item string").distinct()
 
 
 def blocks(
@@ -231,7 +231,8 @@ def _searched(state: DataFrame, block: Benchmark, kind: str, keep_text: bool) ->
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     middle = "text string" if keep_text else "n_words long"
-    return state.mapInArrow(
+    return state.transform(
+        mapped,
         run, f"id {kind}, {middle}, hits array<struct<first:int,end:int>>, items array<string>"
     )
 
@@ -285,4 +286,4 @@ def _marked(state: DataFrame, block: Benchmark, text_col: str, mark: str, last:
                 else:
                     yield part.set_column(at, part.schema.field(at), pa.array(marks, part.schema.field(at).type))
 
-    return state.mapInArrow(run, state.schema)
+    return state.transform(mapped, run, state.schema)

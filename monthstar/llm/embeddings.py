@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from monthstar.llm.components import components
 from monthstar.llm.simhash import merge_labels
-from monthstar.llm.tables import stored
+from monthstar.llm.tables import mapped, stored
 
 #: Least cosine of a link.
 COSINE = 0.9
@@ -165,7 +165,8 @@ def _met(distinct: DataFrame, d: int, cosine: float) -> DataFrame:
                 )
 
     indexed = stored(
-        distinct.select("rep", "v", "copies").mapInArrow(
+        distinct.select("rep", "v", "copies").transform(
+            mapped,
             index,
             "rep long, v array<double>, copies long, code binary, factor float, home int, visits array<int>",
         ),
@@ -192,7 +193,7 @@ def _met(distinct: DataFrame, d: int, cosine: float) -> DataFrame:
     return (
         placed.repartition("cell", "low", "high")
         .sortWithinPartitions("cell", "low", "high")
-        .mapInArrow(lambda batches: _links(batches, sent.value[0], cosine), "a long, b long, n long")
+        .transform(mapped, lambda batches: _links(batches, sent.value[0], cosine), "a long, b long, n long")
     )
 
 

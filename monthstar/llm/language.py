@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import kind_of, texts
+from monthstar.llm.tables import kind_of, mapped, texts
 
 #: N-grams of a profile, and of a document, that are ranked.
 PROFILE_GRAMS = 300
@@ -94,7 +94,7 @@ def learn(
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counted = (
         labelled.select(F.col(lang_col).cast("string").alias(lang_col), text_col)
-        .mapInArrow(run, "lang string, gram long, n long")
+        .transform(mapped, run, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -166,6 +166,7 @@ def identify(
                 names=[id_col, "lang_pred", "score"],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, text_col).transform(
+        mapped,
         run, f"`{id_col}` {kind_of(docs, id_col)}, lang_pred string, score double"
     )

@@ -23,7 +23,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from monthstar.llm.tables import kind_of, texts
+from monthstar.llm.tables import kind_of, mapped, texts
 
 #: Kinds in the order of results; the field adds segments of the last three, and phones.
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
@@ -34,7 +34,7 @@ LONGEST = 14
 #: A segment is added when its score exceeds that of no segment by so much (natural logarithm).
 MARGIN = 2.0
 #: Rounds and step of the training, and examples made from each template.
-ROUNDS, STEP, EXAMPLES, PENALTY = 12, 0.2, 12, 1e-3
+ROUNDS, STEP, EXAMPLES, PENALTY = 25, 0.2, 12, 1e-3
 
 # The patterns of the contract, written so that no input makes them slow.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -236,6 +236,8 @@ TEMPLATES = (
     ("SSN: {} .", "ssn", ("###-##-####", "### ## ####")),
     ("born there , {} , moved", "ssn", ("###-##-####",)),
     ("write to {} soon", "email", ("????? [at] ?????? [dot] com", "???? (at) ?????? (dot) org", "??????[at]?????[dot]net")),
+    ("mail {} please", "email", ("?????? [at] ????? [dot] com", "????(at)??????(dot)org", "??? [at] ???? [dot] de")),
+    ("reach us at : {} or by post", "email", ("????? (at) ??????? (dot) com", "???? [at] ????? [dot] net")),
     ("contact {} .", "email", ("??????.??? [at] ????? [dot] com", "??? (at) ????? (dot) de")),
     ("transfer to {} now", "iban", ("IBAN",)),
     ("iban: {} thanks", "iban", ("IBAN",)),
@@ -372,7 +374,8 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 [ids, rows([f[0] for f in found]), rows([f[1] for f in found])], names=[id_col, "base", "spans"]
             )
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, text_col).transform(
+        mapped,
         run, f"`{id_col}` {kind_of(docs, id_col)}, base {kind}, spans {kind}"
     )
 
@@ -395,4 +398,4 @@ def redacted(docs: DataFrame, text_col: str = "text", size_col: str | None = Non
                 batch = batch.set_column(size, field, pa.array(lengths, field.type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(mapped, run, docs.schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import SLICE_ROWS, kind_of
+from monthstar.llm.tables import SLICE_ROWS, kind_of, mapped
 
 #: Labelled rows that are learned from at most, the first by a hash of the id.
 TRAIN_ROWS = 20_000
@@ -171,7 +171,7 @@ def learn(
                 [batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["label", "row"]
             )
 
-    got = wanted.mapInArrow(run, f"label {kind_of(chosen, 'label')}, row array<double>").collect()
+    got = wanted.transform(mapped, run, f"label {kind_of(chosen, 'label')}, row array<double>").collect()
     table = np.array(sorted([*r["row"], float(r["label"])] for r in got)).reshape(-1, len(NAMES) + 1)
     return fit(table[:, :-1], table[:, -1])
 
@@ -191,6 +191,7 @@ def scores(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str
                 score = trees.score(np.array(found))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], names=[id_col, "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, text_col).transform(
+        mapped,
         run, f"`{id_col}` {kind_of(docs, id_col)}, score double"
     )

@@ -17,7 +17,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from monthstar.llm.tables import kind_of, texts
+from monthstar.llm.tables import kind_of, mapped, texts
 
 #: Kinds in the order of results; the last is the token-efficiency test's.
 KINDS = ("assign", "access", "hex", "random")
@@ -118,6 +118,7 @@ def scan(
                 [ids, rows([f[0] for f in found]), rows([f[1] for f in found])], names=[id_col, "base", "spans"]
             )
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, text_col).transform(
+        mapped,
         run, f"`{id_col}` {kind_of(docs, id_col)}, base {kind}, spans {kind}"
     )

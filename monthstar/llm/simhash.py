@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthstar.llm.components import components
-from monthstar.llm.tables import kind_of, stored, texts
+from monthstar.llm.tables import kind_of, mapped, stored, texts
 
 #: Contract of the pipeline: words to a shingle, and bits by which linked fingerprints differ at most.
 SHINGLE_WORDS = 3
@@ -68,7 +68,8 @@ def fingerprints(
             found = np.array([fingerprint(t, words) for t in values], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([ids, pa.array(found)], names=[id_col, "fingerprint"])
 
-    return docs.select(id_col, text_col).mapInArrow(
+    return docs.select(id_col, text_col).transform(
+        mapped,
         run, f"`{id_col}` {kind_of(docs, id_col)}, fingerprint long"
     )
 
@@ -173,7 +174,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         placed.repartition("shard", "cell")
         .sortWithinPartitions("shard", "cell", "fingerprint")
         .select("shard", "cell", "fingerprint")
-        .mapInArrow(run, "a long, b long")
+        .transform(mapped, run, "a long, b long")
     )
 
 
