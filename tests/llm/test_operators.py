@@ -353,6 +353,16 @@ def test_field_adds_what_the_patterns_miss():
         assert pii.find(text, weights)[1] == [], text
 
 
+def test_field_takes_any_characters():
+    weights, rng = pii.train(), random.Random(9)
+    for _ in range(2000):
+        text = "".join(rng.choice("AB12é²٣½ß .-()@+[at]dot漢\n\x00😀") for _ in range(60))
+        base, spans = pii.find(text, weights)
+        assert set(base) <= set(spans)
+        assert all(0 <= a < b <= len(text) for _, a, b in spans)
+    assert pii.find("pay DE89é370400440532013000 x", weights)[1] == pii.find("pay DE89é370400440532013000 x", weights)[0]
+
+
 def test_redaction():
     text = "a x@y.z b +1 (826) 555-4081 c"
     spans = pii.find(text, pii.train())[1]
