@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import SLICE_ROWS, kind_of, stored
+from monthstar.llm.tables import SLICE_ROWS, kind_of, mapped, stored
 
 #: Contract of the query: words to a window.
 WINDOW_WORDS = 35
@@ -122,7 +122,8 @@ def anchor_lists(docs: DataFrame, id_col: str, text_col: str, window: int, ancho
                     names=["id", "mark", "n_words", "anchors", "firsts", "lasts"],
                 )
 
-    return _keyed(docs, id_col, text_col).mapInArrow(
+    return _keyed(docs, id_col, text_col).transform(
+        mapped,
         run, f"id {kind_of(docs, id_col)}, mark long, n_words long, {_LISTS}"
     )
 
@@ -219,22 +220,27 @@ def _stretches(met: DataFrame, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
         for batch in batches:
-            for row in range(batch.num_rows):
-                number = batch.column(0)[row].as_py()
-                words = batch.column(1)[row].as_py().encode("utf-8", "surrogatepass").split()
-                out = []
-                for p in batch.column(2)[row].as_py():
-                    text = b" ".join(words[p["first"] : p["last"] + window])
-                    # Rows are dealt to the shards of a very frequent anchor by their own number.
-                    shard = xxhash.xxh32_intdigest(number.to_bytes(8, "big")) % p["shards"]
-                    out.append((p["anchor"], shard, p["shards"], number, p["first"], text))
-                    if len(out) == 2000:
-                        yield batch_of(out)
-                        out = []
-                if out:
+            numbers = batch.column(0).to_pylist()
+            ends = batch.column(2).offsets.to_pylist()
+            firsts, lasts, marks, shards = (column.to_pylist() for column in batch.column(2).values.flatten())
+            out = []
+            for k, (number, text) in enumerate(zip(numbers, batch.column(1).cast(pa.binary()).to_pylist())):
+                words = text.split()
+                for at in range(ends[k], ends[k + 1]):
+                    line = b" ".join(words[firsts[at] : lasts[at] + window])
+                    shard = 0
+                    if shards[at] > 1:
+                        # Rows are dealt to the shards of a very frequent anchor by their own number.
+                        shard = xxhash.xxh32_intdigest(number.to_bytes(8, "big")) % shards[at]
+                    out.append((marks[at], shard, shards[at], number, firsts[at], line))
+                if len(out) > 5000:
                     yield batch_of(out)
+                    out = []
+            if out:
+                yield batch_of(out)
 
-    return met.select("row", "text", "places").mapInArrow(
+    return met.select("row", "text", "places").transform(
+        mapped,
         run, "anchor long, shard int, shards int, row long, first int, words binary"
     )
 
@@ -258,7 +264,7 @@ def _confirmed(stretches: DataFrame, window: int) -> DataFrame:
     return (
         stretches.repartition("anchor", "shard")
         .sortWithinPartitions("anchor", "shard")
-        .mapInArrow(run, "row long, first int, end int, phrase binary, alone boolean")
+        .transform(mapped, run, "row long, first int, end int, phrase binary, alone boolean")
     )
 
 
@@ -283,46 +289,64 @@ def _whole_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def shard_ranges(chunk: list[tuple], window: int) -> Iterator[tuple]:
-    """Occurrences of the recurring windows of a chunk, located by an automaton over word numbers."""
+    """Occurrences of the recurring windows of a chunk.
+
+    Equal stretches are one line with several places, and all its windows recur.
+    Anchors with different lines share an automaton over word numbers, compiled
+    from the windows that recur among them; every line is streamed through it.
+    """
+    lines: list[tuple[bytes, list[tuple]]] = []
+    mixed: list[tuple[bytes, list[tuple]]] = []
+    for _, group in groupby(chunk, key=itemgetter(0, 1)):
+        places: dict[bytes, list[tuple]] = {}
+        for row in group:
+            places.setdefault(row[5], []).append(row)
+        (mixed if len(places) > 1 else lines).extend(places.items())
+    several: list[tuple[list[bytes], list[tuple], set[int]]] = []
+    for line, rows in lines:
+        size = line.count(b" ") + 1
+        if len(rows) > 1:
+            for row in rows:
+                yield row[3], row[4], row[4] + size, None, None
+        if rows[0][2] > 1:
+            several.append((line.split(b" "), rows, set() if len(rows) == 1 else set(range(size))))
+
     number: dict[bytes, int] = {}
-    lines = []
-    for row in chunk:
-        lines.append(tuple([number.setdefault(w, len(number) + 1) for w in row[5].split(b" ")]))
-    places: dict[tuple, set] = {}
+    numbered = [tuple([number.setdefault(w, len(number) + 1) for w in line.split(b" ")]) for line, _ in mixed]
+    once: set[tuple] = set()
     often: set[tuple] = set()
-    for row, line in zip(chunk, lines):
-        for k in range(len(line) - window + 1):
-            phrase = line[k : k + window]
-            if phrase in often:
-                continue
-            at = (row[3], row[4] + k)
-            first = places.setdefault(phrase, at)
-            if first != at:
+    for line, (_, rows) in zip(numbered, mixed):
+        phrases = [line[k : k + window] for k in range(len(line) - window + 1)]
+        if len(rows) > 1:
+            often.update(phrases)
+            continue
+        for phrase in phrases:
+            if phrase in once:
                 often.add(phrase)
+            else:
+                once.add(phrase)
+    # Windows of a line with one place that a line with several has too are in ``often`` already.
     if often:
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
         for phrase in often:
             automaton.add_word(phrase)
         automaton.make_automaton()
-        located: dict[tuple, list[tuple[int, int]]] = {}
-        for row, line in zip(chunk, lines):
-            if line not in located:
-                located[line] = _joined(end - window + 1 for end, _ in automaton.iter(line))
-            for first, end in located[line]:
+    for line, (text, rows) in zip(numbered, mixed):
+        starts = [end - window + 1 for end, _ in automaton.iter(line)] if often else []
+        for first, end in _joined(starts):
+            for row in rows:
                 yield row[3], row[4] + first, row[4] + end + window - 1, None, None
-    several = {(row[0], row[1]): row[2] > 1 for row in chunk}
-    if any(several.values()):
-        handed: set[tuple] = set()
-        for row, line in zip(chunk, lines):
-            if row[2] == 1:
-                continue
-            words = row[5].split(b" ")
-            for k in range(len(line) - window + 1):
-                phrase = line[k : k + window]
-                if phrase not in handed:
-                    handed.add(phrase)
-                    mark = xxhash.xxh128_digest(b" ".join(words[k : k + window]))
-                    yield row[3], row[4] + k, row[4] + k + window, mark, phrase not in often
+        if rows[0][2] > 1:
+            several.append((text.split(b" "), rows, set(starts)))
+
+    # Once for each shard, though a chunk may hold several shards of an anchor.
+    handed: set[tuple[tuple, bytes]] = set()
+    for words, rows, near in several:
+        for k in range(len(words) - window + 1):
+            mark = xxhash.xxh128_digest(b" ".join(words[k : k + window]))
+            if (rows[0][:2], mark) not in handed:
+                handed.add((rows[0][:2], mark))
+                yield rows[0][3], rows[0][4] + k, rows[0][4] + k + window, mark, k not in near
 
 
 def _joined(starts: Iterable[int]) -> list[tuple[int, int]]:
@@ -371,6 +395,7 @@ def without_repeats(found: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     names=[id_col, "n_words", "n_removed", "kept"],
                 )
 
-    return found.select(id_col, text_col, "ranges").mapInArrow(
+    return found.select(id_col, text_col, "ranges").transform(
+        mapped,
         run, f"`{id_col}` {kind_of(found, id_col)}, n_words long, n_removed long, kept string"
     )
