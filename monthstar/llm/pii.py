@@ -101,23 +101,28 @@ def _order(span: Span):
 
 
 def _iban(chars: str) -> bool:
-    if not (15 <= len(chars) <= 34 and chars[:2].isalpha() and chars[2:4].isdigit()):
+    if not (chars.isascii() and 15 <= len(chars) <= 34 and chars[:2].isalpha() and chars[2:4].isdigit()):
         return False
     return int("".join(str(int(c, 36)) for c in chars[4:] + chars[:4])) % 97 == 1
 
 
+def _plain(token: str) -> bool:
+    """Letters or digits of ASCII; other letters and digits are tokens of their own, which no entity holds."""
+    return token.isascii() and token.isalnum()
+
+
 def features(tokens: list[tuple[str, int, int]], text: str, first: int, end: int) -> list[str]:
     """Features of the segment ``tokens[first:end]`` as a whole; none where it cannot be an entity."""
     words = [t for t, _, _ in tokens[first:end]]
-    if not (words[0].isalnum() or words[0] == "(") or not words[-1].isalnum():
+    if not (_plain(words[0]) or words[0] == "(") or not _plain(words[-1]):
         return []
     raw = text[tokens[first][1] : tokens[end - 1][2]]
-    if "\n" in raw:
+    if "\n" in raw or any(w.isalnum() and not _plain(w) for w in words):
         return []
-    numbers = [w for w in words if w.isdigit()]
+    numbers = [w for w in words if _plain(w) and w.isdigit()]
     digits = sum(map(len, numbers))
-    letters = [w for w in words if w.isalpha()]
-    signs = "".join(sorted({w for w in words if not w.isalnum()}))
+    letters = [w for w in words if _plain(w) and w.isalpha()]
+    signs = "".join(sorted({w for w in words if not _plain(w)}))
     lowered = [w.lower() for w in letters]
     written = "at" in lowered and "dot" in lowered
     if digits < 7 and not written and "@" not in signs:
@@ -138,7 +143,7 @@ def features(tokens: list[tuple[str, int, int]], text: str, first: int, end: int
         tail = len(lowered) - 1 - max(k for k, w in enumerate(lowered) if w == "dot")
         out += [f"written={min(bracketed, 2)}", f"head={min(lowered.index('at'), 3)}", f"tail={min(tail, 2)}"]
     if letters and len(letters[0]) == 2 and letters[0].isupper():
-        out.append(f"iban={_iban(''.join(c for c in raw if c.isalnum()))}")
+        out.append(f"iban={_iban(''.join(filter(_plain, words)))}")
     if first:
         before = tokens[first - 1][0]
         before = tokens[first - 2][0] if before in ":=#.-" and first > 1 else before
