@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -50,12 +53,28 @@ def mapped(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` over batches of bounded size.
 
     Spark's batches of whole documents may be large, and each is held by Spark and
-    by Python at once. A session with a larger bound gets ``BATCH_BYTES``.
+    by Python at once. A session with a larger bound gets ``BATCH_BYTES``. Workers
+    outlive their tasks, so each gives back its memory when a task ends.
     """
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
     conf = df.sparkSession.conf
     if int(re.match(r"-?\d+", conf.get(BATCH_SETTING))[0]) not in range(1, BATCH_BYTES + 1):
         conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return free memory of this process to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def texts(
