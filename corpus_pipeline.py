@@ -23,6 +23,9 @@ from monthstar.llm.tables import held_out, kept_rows, stored, table
 #: SQL cannot express rank-order profiles, connected fingerprints or merges of ranked pairs.
 ORACLE_SQL = None
 
+#: Distinct words that a task of the last stage remembers; executors still hold what earlier stages left.
+TASK_WORDS = 200_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language can be told; profiles come from the labelled rows not held out."""
@@ -52,7 +55,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded)``: token ids, and the text that they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, task_words=TASK_WORDS)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from monthstar.llm.tables import kind_of, mapped, texts
 
 #: Characters of text after which a block is closed.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 #: Distinct words that a task remembers; beyond it the task numbers words anew.
 TASK_WORDS = 1_000_000
 #: Buckets of the literal rank map, a power of two.
@@ -113,14 +113,20 @@ def word_ids(table: Column, word: Column) -> Column:
 
 
 def encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    task_words: int = TASK_WORDS,
 ) -> DataFrame:
     """``(id, ids array<int>)`` of every row; the array is empty for a null or empty text.
 
     Repeated rows and null ids keep one result row each, other columns are not
     read. A word of any length is encoded whole; the fold costs its square in
     copied array entries. There are at most as many tasks as cores, since a task
-    encodes a word once however often it reads it.
+    encodes a word once however often it reads it; ``task_words`` bounds what it
+    remembers, and with it its memory.
     """
     kind = kind_of(docs, id_col)
     cores = docs.sparkSession.sparkContext.defaultParallelism
@@ -129,7 +135,7 @@ def encode(
         .coalesce(cores)
         .transform(
             mapped,
-            _blocks(id_col, text_col, pattern),
+            _blocks(id_col, text_col, pattern, task_words),
             f"doc array<{kind}>, n_words array<int>, at array<int>, fresh boolean, words array<string>",
         )
     )
@@ -196,7 +202,7 @@ def _matcher(pattern: str):
     return words
 
 
-def _blocks(id_col: str, text_col: str, pattern: str):
+def _blocks(id_col: str, text_col: str, pattern: str, task_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _matcher(pattern)
         held: list[pa.Array] = []
@@ -234,7 +240,7 @@ def _blocks(id_col: str, text_col: str, pattern: str):
             if chars >= BLOCK_CHARS:
                 yield block()
                 held, counts, places, new, chars, fresh = [], [], [], [], 0, False
-                if len(number) > TASK_WORDS:
+                if len(number) > task_words:
                     number, fresh = {}, True
         if held:
             yield block()

@@ -45,6 +45,16 @@ def test_bpe_of_random_text(spark, ranks):
         assert row["ids"] == own.encode_ordinary(texts[row["doc_id"]])
 
 
+def test_bpe_that_numbers_words_anew(spark, ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 60)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 5) for _ in range(12)) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    own = tokenizer(ranks)
+    for row in bpe.encode(docs, ranks, public_tokenizers.PATTERN, task_words=5).collect():
+        assert row["ids"] == own.encode_ordinary(texts[row["doc_id"]])
+
+
 def test_bpe_pattern_with_other_classes():
     assert bpe.narrowed(r"\w+|\s") is None
     assert bpe._matcher(r"\w+")("ab cd") == ["ab", "cd"]
