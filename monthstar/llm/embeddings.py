@@ -9,9 +9,10 @@ precision; the result rests on those.
 
 Pairs are met in cells around centres fitted on a bounded sample. A vector lives in
 the cell of its nearest centre and visits the other cells that a neighbour may live
-in: across the plane between two centres a linked pair differs by a normal quantity
-of known spread, and the nearer of the two is within half of it. Every vector is
-indexed. Large cells are cut into blocks that meet pairwise, so no task holds a
+in: two linked vectors are no farther apart than the threshold allows, so the one
+nearer to the plane between their centres is within half of that. The bound holds for
+any data; where it makes vectors visit many cells, fewer and larger cells are used.
+Every vector is indexed. Large cells are cut into blocks that meet pairwise, so no task holds a
 whole cell; links leave a block as counts and as stars, never as pairs.
 """
 
@@ -33,8 +34,12 @@ from monthstar.llm.tables import mapped, stored
 COSINE = 0.9
 #: Vectors of the sample that centres are fitted on, centres at most, and rounds of the fit.
 SAMPLE, CENTRES, ROUNDS = 10_000, 4096, 6
-#: Standard deviations of the bound on estimates, and of the reach across cell borders.
-CONFIDENCE, REACH = 4.0, 3.0
+#: Standard deviations of the bound on estimates.
+CONFIDENCE = 4.0
+#: Added to the reach across cell borders, for rounding.
+ROUNDING = 1e-6
+#: Vectors that visits are counted on to choose the centres, and estimates that cost as much as placing a vector.
+TRIED, ROW_ESTIMATES = 1024, 2000
 #: Vectors of one block of a cell.
 BLOCK_VECTORS = 4096
 #: Entries of a matrix of estimates.
@@ -68,13 +73,40 @@ def fit_centres(sample: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
-def cells(units: np.ndarray, centres: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Home cell of each vector, and all cells that it visits, its home included."""
+def reaches(centres: np.ndarray, cosine: float) -> np.ndarray:
+    """How much nearer to its own centre than to another a vector may be that visits the other's cell.
+
+    For linked ``u`` and ``v`` with centres ``a`` and ``b``, ``u(a - b)`` and ``v(b - a)`` are not
+    negative and add up to ``(u - v)(a - b)``, at most the distances' product; the smaller is half of it at most.
+    """
+    return (math.sqrt(max(0.0, 2 - 2 * cosine)) / 2 * _apart(centres) + ROUNDING).astype(np.float32)
+
+
+def chosen_centres(sample: np.ndarray, total: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centres and their reaches, of the number by which a vector costs least; all numbers find the same links."""
+    k = min(CENTRES, math.isqrt(total) + 1, len(sample))
+    best = None
+    while True:
+        centres = fit_centres(sample, k)
+        reach = reaches(centres, cosine)
+        tried = sample[:TRIED]
+        home, visits = cells(tried, centres, reach)
+        size = np.bincount(home, minlength=k) * (total / len(tried))
+        cost = float((visits @ (size + ROW_ESTIMATES * np.maximum(1, size / BLOCK_VECTORS))).mean())
+        if best is None or cost < best[0]:
+            best = cost, centres, reach
+        if k == 1:
+            return best[1:]
+        k //= 2
+
+
+def cells(units: np.ndarray, centres: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Home cell of each vector, and for each cell whether the vector visits it; it does its home."""
     near = units @ centres.T
     home = np.argmax(near, axis=1)
     short = near[np.arange(len(home)), home][:, None] - near <= reach[home]
     short[np.arange(len(home)), home] = True
-    return home, [np.flatnonzero(row).astype(np.int32) for row in short]
+    return home, short
 
 
 def _valid(vectors: DataFrame, vec_col: str) -> DataFrame:
@@ -132,14 +164,11 @@ def _met(distinct: DataFrame, d: int, cosine: float) -> DataFrame:
     """``(a, b, n)``: rows with ``n = 0`` are links of a star, others add ``n`` links to ``a``."""
     spark = distinct.sparkSession
     total = distinct.count()
-    k = min(CENTRES, math.isqrt(total) + 1)
     sample = np.array(
         [row["v"] for row in distinct.orderBy(F.xxhash64("rep"), "rep").select("v").limit(SAMPLE).collect()]
     )
     turn = rotation(d)
-    centres = fit_centres(_units(sample), min(k, len(sample)))
-    apart = _apart(centres)
-    reach = (REACH * math.sqrt(2 - 2 * cosine) / (2 * math.sqrt(d)) * apart).astype(np.float32)
+    centres, reach = chosen_centres(_units(sample), total, cosine)
     sent = spark.sparkContext.broadcast((turn, centres, reach))
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,23 +188,25 @@ def _met(distinct: DataFrame, d: int, cosine: float) -> DataFrame:
                         pa.array([b.tobytes() for b in bits], pa.binary()),
                         pa.array(factor, pa.float32()),
                         pa.array(home, pa.int32()),
-                        pa.array(visits, pa.list_(pa.int32())),
+                        pa.array([np.flatnonzero(row) for row in visits], pa.list_(pa.int32())),
+                        pa.array([b.tobytes() for b in np.packbits(visits, axis=1)], pa.binary()),
                     ],
-                    names=["rep", "v", "copies", "code", "factor", "home", "visits"],
+                    names=["rep", "v", "copies", "code", "factor", "home", "visits", "visited"],
                 )
 
     indexed = stored(
         distinct.select("rep", "v", "copies").transform(
             mapped,
             index,
-            "rep long, v array<double>, copies long, code binary, factor float, home int, visits array<int>",
+            "rep long, v array<double>, copies long, code binary, factor float, home int, visits array<int>, "
+            "visited binary",
         ),
         "index",
     )
     sizes = indexed.groupBy(F.col("home").alias("cell")).agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_VECTORS).cast("int").alias("blocks")
     )
-    visiting = indexed.select("*", F.explode("visits").alias("cell")).join(F.broadcast(sizes), "cell")
+    visiting = indexed.withColumn("cell", F.explode("visits")).drop("visits").join(F.broadcast(sizes), "cell")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     # A cell's own vectors meet those of later blocks; a visitor meets every block.
     placed = visiting.withColumn("block", block).select(
@@ -188,7 +219,7 @@ def _met(distinct: DataFrame, d: int, cosine: float) -> DataFrame:
         F.when(at_home, F.least("block", "other")).otherwise(F.col("other")).alias("low"),
         F.when(at_home, F.greatest("block", "other")).otherwise(F.col("other")).alias("high"),
         "block",
-        *["rep", "v", "copies", "code", "factor", "home", "visits"],
+        *["rep", "v", "copies", "code", "factor", "home", "visited"],
     )
     return (
         placed.repartition("cell", "low", "high")
@@ -244,8 +275,7 @@ def _group_links(held: list[pa.RecordBatch], turn: np.ndarray, cosine: float) ->
     asks = np.flatnonzero((lives & (block == low)) | ~lives)
     if not len(data) or not len(asks):
         return
-    visits = group.column("visits").to_pylist()
-    visited = [set(v) for v in visits]
+    visited = np.frombuffer(b"".join(group.column("visited").to_pylist()), np.uint8).reshape(len(rep), -1)
     links = np.zeros(len(rep), np.int64)
     label = np.arange(len(rep))
     step = max(1, TILE // len(data))
@@ -269,7 +299,8 @@ def _group_links(held: list[pa.RecordBatch], turn: np.ndarray, cosine: float) ->
         # A pair of two cells that visit each other is counted in the lower cell.
         away = np.flatnonzero(~lives[q])
         if len(away):
-            twice = np.array([home[q[i]] < cell and int(home[q[i]]) in visited[x[i]] for i in away])
+            there = home[q[away]]
+            twice = (there < cell) & (visited[x[away], there >> 3] >> (7 - (there & 7)) & 1 == 1)
             keep = np.ones(len(q), bool)
             keep[away[twice]] = False
             q, x = q[keep], x[keep]

@@ -270,6 +270,35 @@ def test_embedding_links_against_all_pairs(spark, monkeypatch, block):
     assert found.sum() >= 0.99 * links.sum() > 0
 
 
+def correlated(shape, n=1500, d=64):
+    """Vectors that vary along few axes, or along all by 1/k: what real embeddings are like."""
+    rng = np.random.default_rng(4)
+    if shape == "falling":
+        return rng.standard_normal((n, d)) / np.arange(1, d + 1) @ embeddings.rotation(d)[:d]
+    spread = rng.standard_normal((n, shape)) @ rng.standard_normal((shape, d))
+    return spread + 0.05 * rng.standard_normal((n, d))
+
+
+@pytest.mark.parametrize("shape", [3, 6, "falling"])
+def test_embedding_links_of_correlated_vectors(spark, monkeypatch, shape):
+    monkeypatch.setattr(embeddings, "ROW_ESTIMATES", 0)  # keeps many small cells
+    units = embeddings._units(correlated(shape))
+    links = units @ units.T >= 0.9
+    np.fill_diagonal(links, False)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(units)], "vec_id long, embedding array<double>")
+    found = [r["n_links"] for r in by_id(embeddings.near_duplicates(rows).collect(), "vec_id")]
+    assert (found <= links.sum(axis=1)).all()
+    assert sum(found) >= 0.999 * links.sum() > 0
+
+
+def test_linked_vectors_meet_in_a_cell():
+    units = embeddings._units(correlated(4))
+    centres = embeddings.fit_centres(units, 40)
+    home, visits = embeddings.cells(units, centres, embeddings.reaches(centres, 0.9))
+    a, b = np.nonzero(units @ units.T >= 0.9)
+    assert (visits[a, home[b]] | visits[b, home[a]]).all()
+
+
 def test_quality_of_odd_rows(spark):
     docs = extended(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, None), (None, 1), (5, 1)], "doc_id long, quality int")
