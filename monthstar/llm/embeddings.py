@@ -12,8 +12,9 @@ the cell of its nearest centre and visits the other cells that a neighbour may l
 in: two linked vectors are no farther apart than the threshold allows, so the one
 nearer to the plane between their centres is within half of that. The bound holds for
 any data; where it makes vectors visit many cells, fewer and larger cells are used.
-Every vector is indexed. Large cells are cut into blocks that meet pairwise, so no task holds a
-whole cell; links leave a block as counts and as stars, never as pairs.
+Every vector is indexed. A cell's own vectors and its visitors are cut into blocks
+that meet pairwise, so a task holds three bounded blocks at most; links leave a block
+as counts and as stars, never as pairs.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ CONFIDENCE = 4.0
 ROUNDING = 1e-6
 #: Vectors that visits are counted on to choose the centres, and estimates that cost as much as placing a vector.
 TRIED, ROW_ESTIMATES = 1024, 2000
-#: Vectors of one block of a cell.
+#: Vectors of one block of a cell, or of its visitors, about.
 BLOCK_VECTORS = 4096
 #: Entries of a matrix of estimates.
 TILE = 1 << 21
@@ -203,28 +204,49 @@ def _met(distinct: DataFrame, d: int, cosine: float) -> DataFrame:
         ),
         "index",
     )
-    sizes = indexed.groupBy(F.col("home").alias("cell")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_VECTORS).cast("int").alias("blocks")
+    return (
+        _placed(indexed).repartition("cell", "low", "high")
+        .sortWithinPartitions("cell", "low", "high")
+        .transform(mapped, lambda batches: _links(batches, sent.value[0], cosine), "a long, b long, n long")
     )
-    visiting = indexed.withColumn("cell", F.explode("visits")).drop("visits").join(F.broadcast(sizes), "cell")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    # A cell's own vectors meet those of later blocks; a visitor meets every block.
-    placed = visiting.withColumn("block", block).select(
-        "*",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+
+
+def _placed(indexed: DataFrame) -> DataFrame:
+    """Every vector in all groups ``(cell, low, high)`` that it belongs to.
+
+    The cell's own blocks ``low`` and ``high`` meet each other; where they are one
+    block, it meets the first block of visitors too. Further blocks of visitors
+    meet each own block with ``low`` negative.
+    """
+    entered = indexed.withColumn("cell", F.explode("visits")).drop("visits")
+    lives = F.col("home") == F.col("cell")
+    sizes = entered.groupBy("cell").agg(
+        F.ceil(F.count_if(lives) / BLOCK_VECTORS).cast("int").alias("blocks"),
+        F.greatest(F.lit(1), F.ceil(F.count_if(~lives) / BLOCK_VECTORS)).cast("int").alias("visiting"),
     )
-    at_home = F.col("home") == F.col("cell")
-    placed = placed.select(
-        "cell",
-        F.when(at_home, F.least("block", "other")).otherwise(F.col("other")).alias("low"),
-        F.when(at_home, F.greatest("block", "other")).otherwise(F.col("other")).alias("high"),
+    placed = entered.join(F.broadcast(sizes), "cell").withColumn(
         "block",
-        *["rep", "v", "copies", "code", "factor", "home", "visited"],
+        F.pmod(F.xxhash64("rep"), F.when(lives, F.col("blocks")).otherwise(F.col("visiting"))).cast("int"),
+    )
+    own = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")),
+    )
+    met = F.transform(
+        F.sequence(F.lit(1) - F.col("visiting"), F.lit(0)),
+        lambda k: F.struct(k.alias("low"), F.col("block").alias("high")),
     )
+    visits = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.when(F.col("block") == 0, k).otherwise(-F.col("block")).alias("low"), k.alias("high")),
+    )
+    # The first block of visitors comes to the group where a block meets itself.
+    at_home = F.concat(own, F.filter(met, lambda g: g["low"] < 0))
+    columns = ["block", "rep", "v", "copies", "code", "factor", "home", "visited"]
     return (
-        placed.repartition("cell", "low", "high")
-        .sortWithinPartitions("cell", "low", "high")
-        .transform(mapped, lambda batches: _links(batches, sent.value[0], cosine), "a long, b long, n long")
+        placed.where(F.col("blocks") > 0)
+        .withColumn("group", F.explode(F.when(lives, at_home).otherwise(visits)))
+        .select("cell", "group.low", "group.high", *columns)
     )
 
 
@@ -270,7 +292,7 @@ def _group_links(held: list[pa.RecordBatch], turn: np.ndarray, cosine: float) ->
     signs = (np.unpackbits(packed, axis=1).astype(np.float32) * 2 - 1) / math.sqrt(turn.shape[0])
     bound = np.sqrt(np.maximum(0.0, 1 - factor**2)) / factor * CONFIDENCE / math.sqrt(max(1, turn.shape[0] - 1))
     lives = home == cell
-    # Data: the cell's own vectors of the high block. Queries: those of the low block, and visitors.
+    # Data: the cell's own vectors of the high block. Queries: those of the low block, and the visitors.
     data = np.flatnonzero(lives & (block == high))
     asks = np.flatnonzero((lives & (block == low)) | ~lives)
     if not len(data) or not len(asks):

@@ -291,6 +291,27 @@ def test_embedding_links_of_correlated_vectors(spark, monkeypatch, shape):
     assert sum(found) >= 0.999 * links.sum() > 0
 
 
+def test_blocks_bound_the_visitors_of_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK_VECTORS", 20)
+    rows = [(i, 0 if i < 50 else 1 + i % 3, [0] if i < 50 else [0, 1 + i % 3]) for i in range(450)]
+    indexed = spark.createDataFrame(rows, "rep long, home int, visits array<int>").selectExpr(
+        "*", "array(1d) v", "1L copies", "binary('') code", "1f factor", "binary('') visited"
+    )
+    groups = {}
+    for r in embeddings._placed(indexed).where("cell = 0").collect():
+        groups.setdefault((r["low"], r["high"]), []).append(r)
+    assert max(map(len, groups.values())) <= 5 * 20
+    met = {}
+    for (low, high), group in groups.items():
+        data = [r["rep"] for r in group if r["home"] == 0 and r["block"] == high]
+        for x in data:
+            for q in group:
+                if q["home"] != 0 or q["block"] == low and (low != high or q["rep"] < x):
+                    pair = tuple(sorted((q["rep"], x)))
+                    met[pair] = met.get(pair, 0) + 1
+    assert set(met.values()) == {1} and len(met) == 50 * 49 // 2 + 50 * 400
+
+
 def test_linked_vectors_meet_in_a_cell():
     units = embeddings._units(correlated(4))
     centres = embeddings.fit_centres(units, 40)
