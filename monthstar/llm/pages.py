@@ -19,8 +19,13 @@ from pyspark.sql import DataFrame
 from monthstar.llm.tables import SLICE_ROWS, kind_of, mapped
 
 # Element names of HTML.
-#: Elements whose content is never text of the page.
-UNSEEN = ("script", "style", "noscript", "template", "svg", "title", "head", "iframe", "select", "textarea", "button")
+#: Elements whose content is never text of the page: those that hold no markup, and the others.
+RAW = ("script", "style", "textarea", "title")
+UNSEEN = frozenset("noscript template svg head iframe select button".split())
+#: Of the others, those that may hold one of their own kind.
+NESTED = frozenset(("svg", "template"))
+#: Elements that a head may hold; any other one ends it.
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript template".split())
 #: Elements that end a block.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -37,11 +42,18 @@ ASIDE_WORDS = frozenset(
     "pagination popup promo related reply replies share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar widget".split()
 )
-_UNSEEN = "|".join(UNSEEN)
+_RAW = "|".join(RAW)
 _PIECE = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_UNSEEN})\b[^>]*+>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>",
+    rf"""<!--.*?(?:-->|\Z)|<(?:{_RAW})(?:/|\s(?:[^>]*[\s"'])?/)>|<({_RAW})(?![A-Za-z0-9:-])[^>]*+>.*?(?:</\1\s*>|\Z)"""
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>",
     re.S | re.I,
 )
+#: Attributes of a tag that closes itself; a slash at the end of a value without quotes belongs to the value.
+_CLOSED = re.compile(r"""(?:\A|[\s"'])[^\s"'=]*/\Z""")
+#: Letters of scripts without spaces: one to a word (Chinese, Japanese), and several to a word (Thai, Lao, Burmese, Khmer).
+_LETTER_WORD = re.compile("[\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_LETTER_PART = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff]")
+LETTERS_A_WORD = 4
 _LABEL = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LABEL_WORD = re.compile(r"[a-z]+")
 
@@ -147,8 +159,64 @@ def _aside(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
+def count_words(text: str) -> int:
+    """Words between white space; where a script has no spaces, its letters are counted."""
+    if text.isascii():
+        return len(text.split())
+    rest, ones = _LETTER_WORD.subn(" ", text)
+    rest, parts = _LETTER_PART.subn(" ", rest)
+    if not ones and not parts:
+        return len(text.split())
+    return ones + -(-parts // LETTERS_A_WORD) + sum(any(map(str.isalnum, word)) for word in rest.split())
+
+
+def unseen_ends(pieces: list[re.Match]) -> dict[int, int]:
+    """The piece that ends each unseen element, by the piece that begins it; none where no end tag belongs to it.
+
+    An end tag does not belong to an element whose container ended before it, nor
+    to one inside which another of its kind began that cannot stand there, nor to
+    a head after an element of the body.
+    """
+    ends: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def drop(k: int) -> None:
+        for name, _ in open_[k:]:
+            count[name] -= 1
+        del open_[k:]
+
+    def last(name: str) -> int:
+        return next(k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name)
+
+    for at, m in enumerate(pieces):
+        if m[3] is None:
+            continue
+        name = m[3].lower()
+        if not m[2] and open_ and open_[-1][0] == "head" and name not in HEAD:
+            drop(len(open_) - 1)
+        if name not in UNSEEN and name not in CONTAINERS:
+            continue
+        if m[2]:
+            if count.get(name):
+                k = last(name)
+                if name in UNSEEN:
+                    ends[open_[k][1]] = at
+                drop(k)
+        elif name in CONTAINERS or not _CLOSED.search(m[4]):
+            if name in UNSEEN and name not in NESTED and count.get(name):
+                drop(last(name))
+            open_.append((name, at))
+            count[name] = count.get(name, 0) + 1
+    return ends
+
+
 def blocks(page: str) -> tuple[list[str], list[list[float]]]:
-    """Texts of the page's blocks in order, and ``words, links, main, aside, item`` of each."""
+    """Texts of the page's blocks in order, and ``words, links, main, aside, item`` of each.
+
+    Unseen elements run to their end tag; without one a head ends at once, for its
+    parts are unseen by themselves, and the others at the next element that ends a block.
+    """
     out: list[str] = []
     facts: list[list[float]] = []
     open_: list[tuple[str, bool, bool]] = []
@@ -163,7 +231,7 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
             if "&" in piece:
                 piece = html.unescape(piece)
             parts.append(piece)
-            n = len(piece.split())
+            n = count_words(piece)
             words += n
             linked += n * in_link
 
@@ -177,18 +245,28 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
         parts.clear()
         linked = words = 0
 
-    for m in _PIECE.finditer(page):
-        text(page[done : m.start()])
+    pieces = list(_PIECE.finditer(page))
+    ends = unseen_ends(pieces)
+    until, to_block = -1, False
+    for at, m in enumerate(pieces):
+        if at > until and not to_block:
+            text(page[done : m.start()])
         done = m.end()
-        if m[3] is None:
+        if m[3] is None or at <= until:
             continue
         name = m[3].lower()
         closing = bool(m[2])
-        if name == "a":
+        if name in UNSEEN:
+            if at in ends:
+                until = ends[at]
+            elif not closing and name != "head" and not _CLOSED.search(m[4]):
+                to_block = True
+        elif name == "a":
             in_link = not closing
         elif name == "br":
             parts.append(" ")
         elif name in BLOCK:
+            to_block = False
             flush()
             in_link = False
             if name == "li":
@@ -204,7 +282,8 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
                         if open_[k][0] == name:
                             del open_[k:]
                             break
-    text(page[done:])
+    if not to_block:
+        text(page[done:])
     flush()
     return out, facts
 

@@ -367,6 +367,39 @@ def test_pages_of_odd_rows(spark):
     assert pages.extract(docs.limit(0)).count() == 0
 
 
+STORY = "<article><h1>A story</h1><p>It goes on for some words.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<head><title>t</title><meta charset=utf-8><body>", "<head><title>t</title>", "<head><title>t</title></head>",
+        "<head><noscript><img src=x></noscript><title>t</title><script>a</script></head><body>",
+        '<svg class="icon" viewBox="0 0 1 1"/>', "<svg/>", "<svg width=1/><p>", "<nav><button>Menu</nav>",
+        "<nav><button>Menu</nav><p><button>More</button>", "<nav><select><option>One<option>Two</nav>", "<noscript>On<div></div>",
+        "<template><p></p>", '<script src="a.js"/>', "<title/>", "<iframe src=x />", "<svg><svg></svg><text>no</text></svg>",
+        "<button><div>Menu</div><p>Open</p></button>", "<button-group></button-group>", "<nav><svg><path></nav></svg>",
+    ],
+)
+def test_unseen_elements_end_before_the_article(before):
+    assert pages.main_texts([before + STORY + "<nav><button>End</button></nav>"]) == ["A story\nIt goes on for some words."]
+
+
+def test_pages_in_scripts_without_spaces():
+    menu = "<ul><li><a href=/>{}</a><li><a href=/n>{}</a></ul>"
+    chinese = ["今天的天气非常好，很多人到公园里散步，孩子们在草地上玩耍，老人们坐在树下聊天。" * 2, "到了晚上，城市里的灯光亮了起来，河边的餐馆里坐满了客人，大家都很高兴。" * 2]
+    thai = ["วันนี้อากาศดีมากผู้คนจำนวนมากออกไปเดินเล่นในสวนสาธารณะและเด็กเล่นบนสนามหญ้า" * 3, "ตอนเย็นแสงไฟในเมืองสว่างขึ้นและร้านอาหารริมแม่น้ำเต็มไปด้วยลูกค้าที่มีความสุข" * 3]
+    for lines, names in ((chinese, ("首页", "新闻")), (thai, ("หน้าแรก", "ข่าว"))):
+        page = menu.format(*names) + "".join(f"<p>{line}</p>" for line in lines)
+        assert pages.main_texts([page]) == ["\n".join(lines)]
+    assert [pages.count_words(t) for t in ("a b", "é è", "你好，世界。 ok", "ข่าว", "")] == [2, 2, 5, 1, 0]
+
+
+def test_many_open_elements_take_linear_time():
+    for unit in ("<svg>", "<button>", "<nav><button>", "<head>", "</svg>", "<template><p>"):
+        assert pages.main_texts([unit * 30_000 + STORY])
+
+
 def test_tree_fits_its_table():
     table = np.array(pages.TABLE, dtype=float)
     assert (pages.classify(table[:, :-1]) == table[:, -1]).all()
