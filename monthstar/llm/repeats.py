@@ -11,7 +11,8 @@ equal windows have equal anchors. The steps:
 3. A shard takes its stretches in chunks of whole anchors, confirms the phrases that
    recur, compiles them into an Aho-Corasick automaton over word numbers and streams
    the stretches through it. Every occurrence is a covered range of words.
-4. An anchor with very many stretches is dealt to several shards. Such a shard also
+4. An anchor with very many stretches is dealt to several shards, also where they are
+   all of one document. Such a shard also
    hands on each phrase once; phrases of different shards meet by their hash, and
    occurrences that were alone in their shard are confirmed there.
 
@@ -230,12 +231,13 @@ def _stretches(met: DataFrame, window: int) -> DataFrame:
                     line = b" ".join(words[firsts[at] : lasts[at] + window])
                     shard = 0
                     if shards[at] > 1:
-                        # Rows are dealt to the shards of a very frequent anchor by their own number.
-                        shard = xxhash.xxh32_intdigest(number.to_bytes(8, "big")) % shards[at]
+                        # Stretches are dealt to the shards of a very frequent anchor by row and place.
+                        place = number.to_bytes(8, "big") + firsts[at].to_bytes(4, "big")
+                        shard = xxhash.xxh32_intdigest(place) % shards[at]
                     out.append((marks[at], shard, shards[at], number, firsts[at], line))
-                if len(out) > 5000:
-                    yield batch_of(out)
-                    out = []
+                    if len(out) > 5000:
+                        yield batch_of(out)
+                        out = []
             if out:
                 yield batch_of(out)
 

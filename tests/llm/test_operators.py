@@ -222,6 +222,16 @@ def test_repeats_equal_all_windows(spark, monkeypatch, shard_stretches):
     assert repeats.without_repeats(found).where("doc_id = 64").first()["kept"] == "x y"
 
 
+def test_stretches_of_one_document_go_to_several_shards(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    places = [(first, first, 5, 8) for first in range(300)]
+    met = spark.createDataFrame(
+        [(3, text, places)], "row long, text string, places array<struct<first:int,last:int,anchor:long,shards:int>>"
+    )
+    found = repeats._stretches(met, 35).collect()
+    assert len(found) == 300 and {r["shard"] for r in found} == set(range(8))
+
+
 def test_repeats_of_odd_rows(spark):
     rows = repeats.without_repeats(repeats.covered(extended(spark), window=5, anchor=2)).collect()
     assert len(rows) == 9
