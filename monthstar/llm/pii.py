@@ -29,8 +29,8 @@ from monthstar.llm.tables import kind_of, mapped, texts
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
 #: Kinds that the field tells apart.
 FIELD_KINDS = ("email", "phone", "ssn", "iban")
-#: Tokens of the longest segment.
-LONGEST = 14
+#: Tokens of the longest segment, and of the longest one without a written-out address.
+LONGEST, SHORT = 40, 14
 #: A segment is added when its score exceeds that of no segment by so much (natural logarithm).
 MARGIN = 2.0
 #: Rounds and step of the training, and examples made from each template.
@@ -48,6 +48,10 @@ _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 _HOT = re.compile(r"[0-9]+|@|[\[(](?:at|AT|dot|DOT)[\])]")
 #: Characters around hot places that the field sees, and between hot places of one region.
 _BEFORE, _AFTER, _APART = 40, 40, 24
+#: Characters by which the end of what the field sees is moved at most to reach white space.
+_WORD = 256
+
+_WORD_BEFORE, _WORD_AFTER = re.compile(r"(?<!\S)\S*\Z"), re.compile(r"\S*")
 
 Span = tuple[str, int, int]
 
@@ -142,6 +146,8 @@ def features(tokens: list[tuple[str, int, int]], text: str, first: int, end: int
         bracketed = sum(f"{a}{w}{b}" in raw.lower() for w in ("at", "dot") for a, b in ("[]", "()"))
         tail = len(lowered) - 1 - max(k for k, w in enumerate(lowered) if w == "dot")
         out += [f"written={min(bracketed, 2)}", f"head={min(lowered.index('at'), 3)}", f"tail={min(tail, 2)}"]
+        if [t.lower() for t, _, _ in tokens[end : end + 3]] in (["[", "dot", "]"], ["(", "dot", ")"]):
+            out.append("goes_on")
     if letters and len(letters[0]) == 2 and letters[0].isupper():
         out.append(f"iban={_iban(''.join(filter(_plain, words)))}")
     if first:
@@ -158,9 +164,15 @@ def features(tokens: list[tuple[str, int, int]], text: str, first: int, end: int
 def _segments(text: str, tokens: list[tuple[str, int, int]], taken=lambda a, b: False) -> dict[int, list]:
     """Candidate segments by their end: ``(first, features)``."""
     by_end: dict[int, list] = defaultdict(list)
+    dots = any(a[0] in "[(" and b[0].lower() == "dot" for a, b in zip(tokens, tokens[1:]))
     for first in range(len(tokens)):
-        for end in range(first + 1, min(len(tokens), first + LONGEST) + 1):
-            if taken(tokens[first][1], tokens[end - 1][2]):
+        if not _plain(tokens[first][0]) and tokens[first][0] != "(":
+            continue
+        for end in range(first + 1, min(len(tokens), first + (LONGEST if dots else SHORT)) + 1):
+            word = tokens[end - 1][0]
+            if word.isalnum() and not _plain(word) or end - 1 > first and "\n" in text[tokens[end - 2][2] : tokens[end - 1][1]]:
+                break
+            if not _plain(word) or taken(tokens[first][1], tokens[end - 1][2]):
                 continue
             found = features(tokens, text, first, end)
             if found:
@@ -244,6 +256,8 @@ TEMPLATES = (
     ("mail {} please", "email", ("?????? [at] ????? [dot] com", "????(at)??????(dot)org", "??? [at] ???? [dot] de")),
     ("reach us at : {} or by post", "email", ("????? (at) ??????? (dot) com", "???? [at] ????? [dot] net")),
     ("contact {} .", "email", ("??????.??? [at] ????? [dot] com", "??? (at) ????? (dot) de")),
+    ("mail {} today", "email", ("?????.???? [at] ???? [dot] ??? [dot] ?? [dot] ??", "????.?.????? [at] ????.????.??? [dot] edu")),
+    ("write to {} or call", "email", ("???? (at) ???? (dot) ??? (dot) org", "?????[at]????[dot]???[dot]??")),
     ("transfer to {} now", "iban", ("IBAN",)),
     ("iban: {} thanks", "iban", ("IBAN",)),
     ("order {} was sent", None, ("########", "##-####-##", "##########", "################", "###.###.###")),
@@ -306,7 +320,7 @@ def train() -> Weights:
 
 
 def _regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches around hot places, their ends moved to white space."""
+    """Stretches from the first to the last of hot places that are near each other."""
     start = end = None
     for m in _HOT.finditer(text):
         if end is not None and m.start() - end <= _APART:
@@ -328,8 +342,10 @@ def field_spans(text: str, weights: Weights, base: list[Span]) -> list[Span]:
         hot = text[start:end]
         if sum(c.isdigit() for c in hot) < 7 and "@" not in hot and "(" not in hot and "[" not in hot:
             continue
-        low = max(done, start - _BEFORE)
-        high = min(len(text), end + _AFTER)
+        low, high = max(0, start - _BEFORE), min(len(text), end + _AFTER)
+        low -= len(_WORD_BEFORE.search(text[max(0, low - _WORD) : low])[0])
+        high = _WORD_AFTER.match(text, high, high + _WORD).end()
+        low = max(done, low)
         near = [(a, b) for a, b in blocked if a < high and b > low]
         tokens = _tokens(text, low, high)
         by_end = _segments(text, tokens, lambda a, b: any(a < d and b > c for c, d in near))

@@ -456,6 +456,19 @@ def test_field_adds_what_the_patterns_miss():
         assert pii.find(text, weights)[1] == [], text
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "first.last [at] dept [dot] uni [dot] ac [dot] uk", "first.m.last [at] mail.dept.uni [dot] edu",
+        "jane (at) cs (dot) example (dot) org", "jane.doe[at]mail[dot]example[dot]co[dot]uk",
+        "j.q.public [at] lab [dot] dept [dot] uni [dot] edu", "annamarialuisafranziskaelisabethvonundzumberg.maier [at] example [dot] com",
+    ],
+)
+def test_field_takes_written_addresses_whole(part):
+    for text in (f"mail {part} please", f"you may write to {part} soon or call"):
+        assert pii.find(text, pii.train())[1] == [("email", text.index(part), text.index(part) + len(part))]
+
+
 def test_field_takes_any_characters():
     weights, rng = pii.train(), random.Random(9)
     for _ in range(2000):
