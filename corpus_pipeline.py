@@ -44,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the rule of the operator calls contaminated by a benchmark item."""
-    return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return contamination.clean(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

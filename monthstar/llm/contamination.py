@@ -98,13 +98,13 @@ class WuManber:
 class Benchmark:
     """Searches for a block of windows, one for each window length, and the items of each window."""
 
-    def __init__(self, pairs: Iterable[tuple[bytes, str]]):
-        items: dict[bytes, set[str]] = {}
+    def __init__(self, pairs: Iterable[tuple[bytes, str | None]]):
+        items: dict[bytes, set[str | None]] = {}
         for window, item in pairs:
             items.setdefault(window, set()).add(item)
         self.number: dict[bytes, int] = {}
-        by_length: dict[int, list[tuple[tuple[int, ...], set[str]]]] = {}
-        for window, named in sorted(items.items()):
+        by_length: dict[int, list[tuple[tuple[int, ...], set[str | None]]]] = {}
+        for window, named in sorted(items.items(), key=lambda pair: pair[0]):
             numbers = tuple(
                 self.number.setdefault(w, len(self.number) + 1) for w in window.split(b" ")
             )
@@ -114,13 +114,13 @@ class Benchmark:
             for _, found in sorted(by_length.items())
         ]
 
-    def find(self, found_words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    def find(self, found_words: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         """Ranges of hit words (first, end) and the items whose windows occur."""
         get = self.number.get
         numbers = [get(w, 0) for w in found_words]
         array = np.array(numbers, dtype=np.int64)
         ranges: list[tuple[int, int]] = []
-        items: set[str] = set()
+        items: set[str | None] = set()
         if array.any():
             for search, named in self.searches:
                 for first, k in search.search(numbers, array):
@@ -140,8 +140,8 @@ def merged(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def item_windows(items: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    """Distinct ``(window binary, item string)``; items without an id or a word have none."""
+def item_windows(items: DataFrame, id_col: str, text_col: str, length: int, unnamed: bool = False) -> DataFrame:
+    """Distinct ``(window binary, item string)``; items without a word have none, those without an id if ``unnamed``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, values in texts(batches, "item", "text", as_bytes=True):
@@ -154,15 +154,15 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, length: int) -> D
                         names=["window", "item"],
                     )
 
-    named = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), text_col)
-    return named.toDF("item", "text").transform(mapped, run, "window binary, item string").distinct()
+    searched = items if unnamed else items.where(F.col(id_col).isNotNull())
+    return searched.select(F.col(id_col).cast("string"), text_col).toDF("item", "text").transform(mapped, run, "window binary, item string").distinct()
 
 
 def blocks(
-    items: DataFrame, id_col: str, text_col: str, length: int, block_pairs: int = BLOCK_PAIRS
+    items: DataFrame, id_col: str, text_col: str, length: int, block_pairs: int = BLOCK_PAIRS, unnamed: bool = False
 ) -> Iterator[Benchmark]:
     """The benchmark, a bounded number of pairs of window and item at a time; at least one block."""
-    pairs = stored(item_windows(items, id_col, text_col, length), "windows")
+    pairs = stored(item_windows(items, id_col, text_col, length, unnamed), "windows")
     n = max(1, -(-pairs.count() // block_pairs))
     for k in range(n):
         mine = pairs.where(F.pmod(F.xxhash64("window", "item"), F.lit(n)) == k)
@@ -178,11 +178,13 @@ def contamination(
     item_text_col: str = "text",
     length: int = WINDOW_WORDS,
     block_pairs: int = BLOCK_PAIRS,
+    unnamed: bool = False,
 ) -> DataFrame:
     """``(id, n_words, hits array<struct<first,end>>, items array<string>)`` of every row of ``docs``.
 
     ``hits`` are the word ranges inside occurrences, merged; ``items`` are the
-    benchmark items with an occurring window, sorted. A null or empty text has
+    benchmark items with an occurring window, sorted. Benchmark items without an id
+    are searched for if ``unnamed``; together they are one null, after the names. A null or empty text has
     no words. Repeated rows and null ids keep one result row each, other columns
     are not read. Without benchmark windows nothing is hit.
     """
@@ -191,7 +193,7 @@ def contamination(
     state = docs.select(
         id_col, text_col, F.lit(None).cast(hits_kind), F.lit(None).cast("array<string>")
     ).toDF("id", "text", "hits", "items")
-    searches = blocks(items, item_col, item_text_col, length, block_pairs)
+    searches = blocks(items, item_col, item_text_col, length, block_pairs, unnamed)
     block = next(searches)
     while True:
         following = next(searches, None)
@@ -224,7 +226,7 @@ def _searched(state: DataFrame, block: Benchmark, kind: str, keep_text: bool) ->
                     ranges += [(h["first"], h["end"]) for h in old_hits or ()]
                     counts.append(len(found_words))
                     hits.append([{"first": a, "end": b} for a, b in merged(ranges)])
-                    items.append(sorted(named.union(old_items or ())))
+                    items.append(sorted(named.union(old_items or ()), key=lambda item: (item is None, item or "")))
                 columns = {"id": part.column(0)}
                 columns |= {"text": part.column(1)} if keep_text else {"n_words": pa.array(counts, pa.int64())}
                 columns |= {"hits": pa.array(hits, hits_type), "items": pa.array(items, pa.list_(pa.string()))}
@@ -245,6 +247,7 @@ def clean(
     item_text_col: str = "text",
     length: int = WINDOW_WORDS,
     block_pairs: int = BLOCK_PAIRS,
+    unnamed: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all their columns untouched and nothing shuffled.
 
@@ -255,7 +258,7 @@ def clean(
     while mark in docs.columns:
         mark += "_"
     state = docs.withColumn(mark, F.lit(None).cast("array<int>"))
-    searches = blocks(items, item_col, item_text_col, length, block_pairs)
+    searches = blocks(items, item_col, item_text_col, length, block_pairs, unnamed)
     block = next(searches)
     while (following := next(searches, None)) is not None:
         state = stored(_marked(state, block, text_col, mark, False), "hits")

@@ -126,7 +126,7 @@ from doc left join hit on doc.doc_id = hit.doc_id left join items on doc.doc_id
 @query(OP4_SQL)
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True
     )
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda total, hit: total + (hit["end"] - hit["first"]))
     return found.withColumn("n_hit", n_hit).select(

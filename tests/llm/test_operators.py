@@ -167,6 +167,17 @@ def test_contamination_of_odd_rows(spark, block_pairs):
     assert contamination.contamination(documents(spark).limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("block_pairs", [100_000, 2])
+def test_benchmark_items_without_an_id_are_searched_for(spark, block_pairs):
+    bench = spark.createDataFrame([*BENCH, (None, "without any id at all")], "item_id long, text string")
+    found = contamination.contamination(extended(spark), bench, block_pairs=block_pairs, unnamed=True)
+    by = {r["doc_id"]: r for r in found.collect()}
+    assert by[1]["items"] == ["10", "11", None] and [tuple(h) for h in by[1]["hits"]] == [(0, 6), (7, 9)]
+    assert by[None]["items"] == [None] and by[2]["items"] == []
+    clean = contamination.clean(extended(spark), bench, block_pairs=block_pairs, unnamed=True)
+    assert [r["doc_id"] for r in by_id(clean.collect())] == [2, 3, 4, 5, 6, 7]
+
+
 def test_word_search_equals_a_plain_search():
     rng = random.Random(5)
     for _ in range(60):
