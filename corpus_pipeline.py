@@ -28,10 +28,15 @@ TASK_WORDS = 200_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language can be told; profiles come from the labelled rows not held out."""
+    """Keeps documents whose language can be told; profiles come from the labelled rows not held out.
+
+    Where none of these has a language, all texts with a letter are kept.
+    """
     profiles = language.learn(docs.where(~held_out()))
 
     def keep(texts: list) -> list[bool]:
+        if not profiles:
+            return [len(language.grams(text)[0]) > 0 for text in texts]
         return [language.classify(text, profiles)[0] != language.UNDETERMINED for text in texts]
 
     return kept_rows(docs, "text", keep)

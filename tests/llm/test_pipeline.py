@@ -4,6 +4,7 @@ import re
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from monthstar.llm import bpe, contamination, language, pii
@@ -33,6 +34,14 @@ def tables(spark, tmp_path):
     return str(tmp_path), docs, passage
 
 
+@pytest.mark.parametrize("lang", [None, "en"])
+def test_documents_stay_where_no_profile_can_be_learned(spark, lang):
+    docs = [(i, t, lang) for i, t in ((1, "a clean text"), (2, None), (3, "12 !"), (4, "漢字"))]
+    given = spark.createDataFrame(docs, "doc_id long, text string, lang string").where(held_out() | F.lit(lang is None))
+    got = corpus_pipeline.identify_language(spark, given, "").collect()
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in given.collect() if r["doc_id"] in (1, 4)]
+
+
 def test_pipeline_equals_a_plain_run(spark, tables):
     sf_dir, docs, passage = tables
     given = spark.read.parquet(f"{sf_dir}/documents.parquet")
