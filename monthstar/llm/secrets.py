@@ -40,6 +40,8 @@ _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Words (capitalised, upper or lower) and numbers, with separators between them.
 _IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+|[A-Za-z](?![A-Za-z0-9]))(?:[_/+=-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+(?![A-Za-z])|[A-Za-z](?![A-Za-z0-9])))*[_/+=-]*")
+#: Words of three letters or more, more than one, told apart by case.
+_CASED_WORDS = re.compile(r"(?:[A-Z]?[a-z]{3,}|[A-Z]{3,})(?:[A-Z][a-z]{3,}|[A-Z]{3,})+")
 
 Span = tuple[str, int, int]
 
@@ -68,11 +70,16 @@ def _order(span: Span):
 
 
 def set_aside(run: str) -> bool:
-    """Known digests and identifiers, which are no secrets though they may look random."""
+    """Known digests and identifiers, which are no secrets though they may look random.
+
+    Runs of letters only are set aside where case splits them into words; any other is left to the tokens.
+    """
     if _HEX_ONLY.fullmatch(run) and len(run) in DIGEST_CHARS or _UUID.fullmatch(run):
         return True
     letters = sum(c.isalpha() for c in run)
-    return letters in (0, len(run)) or bool(_IDENTIFIER.fullmatch(run))
+    if letters == len(run):
+        return not run.isupper() and bool(_CASED_WORDS.fullmatch(run))
+    return letters == 0 or bool(_IDENTIFIER.fullmatch(run))
 
 
 def random_spans(text: str, encode, base: list[Span]) -> list[Span]:

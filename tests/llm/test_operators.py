@@ -445,6 +445,16 @@ def test_secrets_of_odd_rows(spark):
     assert spans[:3] == base
 
 
+def test_random_letters_are_secrets_and_words_are_not():
+    encode = secrets.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).encode_ordinary
+    rng = random.Random(12)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        runs = ["".join(rng.choice(letters) for _ in range(24)) for _ in range(100)]
+        assert sum(secrets.find(f"key {run} here", encode)[1] == [("random", 4, 28)] for run in runs) >= 95
+    for run in ("internationalization", "getElementsByTagNameAndAttribute", "Donaudampfschifffahrtsgesellschaft", "INTERNATIONALIZATION", "x" * 40):
+        assert secrets.find(f"see {run} here", encode)[1] == []
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = pii.detect(extended(spark)).collect()
     assert len(rows) == 9 and all(r["base"] == [] for r in rows)
