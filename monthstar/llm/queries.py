@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,14 +14,17 @@ from monthstar.llm import (
     contamination,
     embeddings,
     language,
+    negatives,
     pages,
     pii,
     quality,
     repeats,
     secrets,
     simhash,
+    wavelet,
+    whitening,
 )
-from monthstar.llm.tables import held_out, table
+from monthstar.llm.tables import held_out, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -227,3 +231,52 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spans_text("base").cast("binary"), 256).alias("base_sha256"),
         spans_text("spans").alias("spans"),
     )
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", whitening.as_long("deviation")
+    )
+
+
+@query()
+def op12_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/monthstar-llm-{uuid.uuid4().hex}/tokens"
+    wavelet.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return wavelet.read(spark, path).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+OP13_SQL = """
+with picked as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as x
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as alike,
+    cast(list_inner_product(a.x, r.x) as bigint) as score
+  from picked a join picked r on a.vec_id <> r.vec_id and len(a.x) = len(r.x)
+  where a.vec_id % 50 = 0),
+positive as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from scored where alike
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+negative as (
+  select p.anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+  from positive p join scored s on p.anchor_id = s.anchor_id
+  where not alike and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from negative where rank <= 3
+"""
+
+
+@query(OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
