@@ -8,7 +8,7 @@ leave the candidate bitmap, until the few that are left have been read whole and
 their scores are exact.
 
 The anchors are a query set that meets all rows: they are broadcast in chunks of a
-stated number of blocks, and each chunk passes over the blocks twice. The first pass
+stated size, and each chunk passes over the blocks twice. The first pass
 finds the positives of every anchor, which state the windows of scores that the
 second looks for. A task returns its best few for each anchor, and those of all tasks
 meet by anchor, so no group of rows ever lies in one task.
@@ -35,8 +35,8 @@ POSITIVES, NEGATIVES = 5, 3
 WINDOW = (50, 95)
 #: Components at and beyond this would make scores that no long holds.
 LARGEST = 2.0**16
-#: Rows of a block, blocks of anchors that are broadcast together, and columns read between two looks at the bounds.
-BLOCK_ROWS, CHUNK_BLOCKS, STEP = 4096, 4, 8
+#: Rows of a block, entries of the anchors that are broadcast together, and columns read between two looks at the bounds.
+BLOCK_ROWS, CHUNK_ENTRIES, STEP = 4096, 1 << 21, 8
 
 
 @dataclass
@@ -308,15 +308,23 @@ def hard_negatives(
         "negative_score long"
     )
     spark.createDataFrame([], schema).write.parquet(path)
+    for chunk in _chunks(asking):
+        _mined(every, chunk, id_type, id_kind).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _chunks(asking: DataFrame) -> Iterator[list[dict]]:
+    """Blocks of anchors, as many at a time as hold ``CHUNK_ENTRIES`` and one block more at most."""
     chunk: list[dict] = []
+    held = 0
     for row in asking.toLocalIterator():
         chunk.append(row.asDict())
-        if len(chunk) == CHUNK_BLOCKS:
-            _mined(every, chunk, id_type, id_kind).write.mode("append").parquet(path)
-            chunk = []
+        held += len(row["rows"]) * row["d"]
+        if held >= CHUNK_ENTRIES:
+            yield chunk
+            chunk, held = [], 0
     if chunk:
-        _mined(every, chunk, id_type, id_kind).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+        yield chunk
 
 
 def _mined(every: DataFrame, chunk: list[dict], id_type: str, id_kind: pa.DataType) -> DataFrame:

@@ -54,7 +54,7 @@ def test_equals_all_pairs(spark, d):
 def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch):
     rows = cloud(160, 11, 3)
     monkeypatch.setattr(negatives, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(negatives, "CHUNK_BLOCKS", 2)
+    monkeypatch.setattr(negatives, "CHUNK_ENTRIES", 100)
     assert mined(spark, rows) == plain(rows, lambda i: i % 5 == 0)
 
 
