@@ -15,9 +15,12 @@ from pyspark.sql import SparkSession
 from monthstar import SPENDING, SPENDING_WITH_TYPES, run_month
 from monthstar.functions.text import NUMBER_MODES
 from monthstar.sources import HttpGet
+from monthstar.sources.paged import Paging
 
 # Fixed value: name of the header that holds the key.
 KEY_HEADER = "chave-api-dados"
+#: Calls a minute that the service allows a key.
+CALLS_PER_MINUTE = 30
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -34,6 +37,9 @@ def main(arguments: list[str] | None = None) -> None:
         help="fetch and land the month's card vouchers first, from the service at MONTHSTAR_SERVICE "
         "with the key in MONTHSTAR_SERVICE_KEY",
     )
+    parser.add_argument(
+        "--calls-per-minute", type=float, default=CALLS_PER_MINUTE, help="calls that all tasks of a fetch share"
+    )
     given = parser.parse_args(arguments)
 
     options = {}
@@ -42,6 +48,7 @@ def main(arguments: list[str] | None = None) -> None:
         if not address:
             parser.error("--fetch needs the service's address in MONTHSTAR_SERVICE")
         headers = {KEY_HEADER: os.environ.get("MONTHSTAR_SERVICE_KEY", "")}
+        options["paging"] = Paging(sleep=0, per_minute=given.calls_per_minute)
         options["transport_for"] = lambda path: HttpGet(address.rstrip("/") + path, headers)
     star = (SPENDING_WITH_TYPES if given.with_types else SPENDING).with_number_mode(given.numbers)
     spark = SparkSession.builder.appName("monthstar").getOrCreate()

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthstar.errors import EmptyFactError
-from monthstar.operators import Lookup, in_period, literal_period, rename, resolve, split_period
+from monthstar.operators import Lookup, in_period, literal_period, resolve
 from monthstar.operators.lookup import BROADCAST_BYTES, key_bytes
-from monthstar.sinks import overwrite_partitions, overwrite_table
+from monthstar.sinks import overwrite_partitions, overwrite_table, remove
 from monthstar.sources.files import (
     DIMENSION,
     FACT,
+    LOADING,
     REJECT,
+    empty_table,
     is_empty,
     join_path,
     read_family,
@@ -22,6 +24,8 @@ from monthstar.specs.model import Fact, Star
 
 #: Column of rejected rows that holds a line which is no JSON.
 UNREADABLE = "unreadable_line"
+#: The verdict on a raw row.
+ACCEPTED = "accepted"
 
 
 def dimension_lookups(spark: SparkSession, root: str, star: Star, fact: Fact) -> list[Lookup]:
@@ -51,24 +55,21 @@ def measured_dimensions(spark: SparkSession, root: str, star: Star) -> dict[str,
     return dict(zip(wanted, key_bytes([lookup.members() for lookup in wanted.values()])))
 
 
-def split_rows(
-    spark: SparkSession, root: str, fact: Fact, year: int, month: int
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of the month, and those that must not become rows of it.
+def judged_rows(spark: SparkSession, root: str, fact: Fact, year: int, month: int) -> DataFrame:
+    """The parsed rows of a month's raw files, each with a verdict on whether it is a row of the month.
 
-    The latter are dated outside the month or not readably, or come from lines
-    that are no JSON; the line is then in ``unreadable_line``.
+    Rows that are dated outside the month or not readably, or come from lines
+    that are no JSON, are not ``accepted``; such a line is in ``unreadable_line``.
     """
     raw = read_family(spark, root, fact.family, year, month, UNREADABLE)
-    if fact.family.format != "json":
-        rows = rename(raw, fact.fields)
-        return split_period(rows if fact.row_period else literal_period(rows, year, month), year, month)
+    inside = F.coalesce(in_period(year, month), F.lit(False))
     columns = [field.column() for field in fact.fields]
-    rows = raw.select(*columns, UNREADABLE)
+    if fact.family.format == "json":
+        columns.append(F.col(UNREADABLE))
+        inside = inside & F.col(UNREADABLE).isNull()
+    rows = raw.select(*columns)
     rows = rows if fact.row_period else literal_period(rows, year, month)
-    broken = F.col(UNREADABLE).isNotNull()
-    inside = F.coalesce(in_period(year, month), F.lit(False)) & ~broken
-    return rows.where(inside).drop(UNREADABLE), rows.where(~inside)
+    return rows.withColumn(ACCEPTED, inside)
 
 
 def load_fact(
@@ -88,19 +89,34 @@ def load_fact(
     they go to ``reject/<fact>`` instead. Returns their number. A month without
     any row of its own is an error, for nothing would replace what is stored
     for it. ``sizes`` gives the measured dimensions by name.
+
+    The raw text is read by one job, which parts the rows by their verdict into
+    a table under ``loading``; what follows reads that table.
     """
-    accepted, rejected = split_rows(spark, root, fact, year, month)
+    parted = join_path(root, LOADING, "facts", fact.name)
+    judged = judged_rows(spark, root, fact, year, month)
+    judged.write.mode("overwrite").partitionBy(ACCEPTED).parquet(parted)
+    schema = judged.drop(ACCEPTED).schema
+
+    def part(verdict: str) -> DataFrame | None:
+        folder = f"{parted}/{ACCEPTED}={verdict}"
+        return None if is_empty(spark, folder) else read_table(spark, folder, schema=schema)
+
+    accepted, rejected = part("true"), part("false")
     lookups = dimension_lookups(spark, root, star, fact)
     known = None if sizes is None else [sizes[name] for name in fact.dimensions]
-    resolved = fact_rows(accepted, lookups, broadcast_bytes=broadcast_bytes, sizes=known)
-    found = bool(accepted.take(1))
-    if found:
+    if accepted is not None:
+        rows = accepted.drop(UNREADABLE)
+        resolved = fact_rows(rows, lookups, broadcast_bytes=broadcast_bytes, sizes=known)
         overwrite_partitions(resolved, join_path(root, FACT, fact.name))
     path = join_path(root, REJECT, fact.name, f"run={year}-{month:02d}")
     number = 0
-    if not is_empty(spark, path) or rejected.take(1):
+    if rejected is not None:
         overwrite_table(rejected, path)
-        number = read_table(spark, path, schema=rejected.schema).count()
-    if not found:
+        number = read_table(spark, path, schema=schema).count()
+    elif not is_empty(spark, path):
+        overwrite_table(empty_table(spark, schema), path)
+    remove(spark, parted)
+    if accepted is None:
         raise EmptyFactError(f"{fact.name}: no rows for {year}-{month:02d}")
     return number

@@ -32,18 +32,20 @@ def run_month(
     buckets: int = DEFAULT_BUCKETS,
     transport_for: Callable[[str], Transport] | None = None,
     paging: Paging = Paging(),
+    fetch_parallel: int | None = 1,
 ) -> dict[str, dict]:
     """Stage, load and check all dimensions, then load and check all facts.
 
     With ``transport_for`` the month's card vouchers are fetched and landed
-    first. Each step ends before the next begins; inside a step the tables are
+    first, from ``fetch_parallel`` tasks that share the calls ``paging`` allows. Each step ends before the next begins; inside a step the tables are
     independent and their jobs share the cluster; facts that are written at the
     same time share ``broadcast_bytes``. A failed check raises and
     stops the run. Running a month again changes nothing but its own fact
     partitions. Returns what the checks measured, by table.
     """
     if transport_for is not None:
-        land_extraction(spark, root, "corporate_card_expenses", date(year, month, 1), transport_for, paging)
+        day = date(year, month, 1)
+        land_extraction(spark, root, "corporate_card_expenses", day, transport_for, paging, fetch_parallel)
 
     def fold(group):
         families, sources = group

@@ -5,6 +5,7 @@ from monthstar.sinks.tables import (
     land_records,
     overwrite_partitions,
     overwrite_table,
+    remove,
     scratch_folder,
 )
 
@@ -13,5 +14,6 @@ __all__ = [
     "land_records",
     "overwrite_partitions",
     "overwrite_table",
+    "remove",
     "scratch_folder",
 ]

@@ -54,3 +54,9 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/monthstar-{uuid.uuid4().hex}/{label}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on any file system that Spark reads; nothing there is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

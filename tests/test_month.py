@@ -12,6 +12,7 @@ from monthstar import SPENDING_WITH_TYPES, run_month
 from monthstar.__main__ import main
 from monthstar.errors import DuplicateKeyError, EmptyFactError, NullKeyError, TooFewRowsError
 from monthstar.operators import dedupe_by_key, null_keys
+from monthstar.plans import fact as fact_plan
 from monthstar.plans import distinct_rows, load_dimension, load_fact, run_check, stage_source
 from monthstar.plans.staging import shared_passes
 from monthstar.sources import Reply, read_period
@@ -499,3 +500,30 @@ def test_unreadable_dimension_is_an_error(spark, root):
         run_month(spark, root, Star((VENDOR,)), 2020, 1)
     assert "PATH_NOT_FOUND" not in str(caught.value)
     assert [p.name for p in broken.iterdir()] == ["part-0.parquet"]
+
+
+@pytest.mark.parametrize("stray", [True, False])
+def test_a_fact_reads_its_raw_text_once(spark, root, monkeypatch, stray):
+    write_january(root)
+    run_month(spark, root, LENIENT, 2020, 1)
+    read = fact_plan.read_family
+    for fact in LENIENT.facts:
+        raw = read(spark, root, fact.family, 2020, 1, fact_plan.UNREADABLE)
+        if not stray and fact.name == "commitment":
+            kept = [row for row in raw.collect() if row["Data Emissão"].endswith("01/2020")]
+            raw = spark.createDataFrame(kept, raw.schema)
+        number, seen = raw.count(), spark.sparkContext.accumulator(0)
+
+        def counted(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        watched = raw.mapInArrow(counted, raw.schema)
+        monkeypatch.setattr(fact_plan, "read_family", lambda *given, watched=watched: watched)
+        before = sorted(map(str, stored(spark, root, "fact", fact.name).collect()))
+        rejected = fact_plan.load_fact(spark, root, LENIENT, fact, 2020, 1)
+        assert number > 0 and seen.value == number
+        assert rejected == (2 if stray and fact.name == "commitment" else 0)
+        assert sorted(map(str, stored(spark, root, "fact", fact.name).collect())) == before
+    assert not list(Path(root, "loading", "facts").glob("*"))
