@@ -1,5 +1,6 @@
 """Reading raw files, stored tables and paged services."""
 
+from monthstar.sources.arrays import read_arrays
 from monthstar.sources.files import (
     read_csv,
     read_family,
@@ -24,6 +25,7 @@ __all__ = [
     "extraction",
     "fetch_pages",
     "month_requests",
+    "read_arrays",
     "read_csv",
     "read_family",
     "read_json",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from monthstar.sources.arrays import read_arrays
 from monthstar.specs.model import Family
 
 STAGING = "staging"
@@ -15,6 +16,8 @@ DIMENSION = "dimension"
 FACT = "fact"
 LOADING = "loading"
 REJECT = "reject"
+#: The setting that says how much of a file a task reads.
+SHARE = "spark.sql.files.maxPartitionBytes"
 
 
 def join_path(root: str, *parts: str) -> str:
@@ -37,8 +40,19 @@ def read_json(
     """JSON under a given schema: one object per line, or an array per line.
 
     A line that is no JSON becomes a row of nulls; ``unreadable`` names a column
-    that then holds the line.
+    that then holds the line. Files that begin with an array and are larger than
+    a task's share are read by several tasks, wherever their lines end.
     """
+    arrays, others = _large_arrays(spark, path)
+    if not arrays:
+        return _read_json_lines(spark, path, schema, unreadable)
+    found = read_arrays(spark, arrays, schema, unreadable)
+    return found.unionByName(_read_json_lines(spark, others, schema, unreadable)) if others else found
+
+
+def _read_json_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str, unreadable: str | None
+) -> DataFrame:
     if unreadable is None:
         return spark.read.schema(schema).json(path)
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -46,6 +60,38 @@ def read_json(
     return spark.read.schema(marked).option("columnNameOfCorruptRecord", unreadable).json(path)
 
 
+def _large_arrays(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files of a path that begin with an array and are worth splitting, and all others if there are such.
+
+    Only files larger than a task's share are opened, for their first characters.
+    """
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(hadoop)
+    share = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(SHARE))
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(hadoop)
+    files = []
+    for status in system.globStatus(pattern) or ():
+        files += system.listStatus(status.getPath()) if status.isDirectory() else [status]
+    files = [file for file in files if not file.getPath().getName().startswith(("_", "."))]
+
+    def begins_array(file) -> bool:
+        if file.isDirectory() or file.getLen() <= share or codecs.getCodec(file.getPath()) is not None:
+            return False
+        stream = system.open(file.getPath())
+        try:
+            first = next((c for c in iter(stream.read, -1) if c not in b" \t\r\n\xef\xbb\xbf"), -1)
+        finally:
+            stream.close()
+        return first == ord("[")
+
+    arrays = [begins_array(file) for file in files]
+    names = [file.getPath().toString() for file in files]
+    if not any(arrays):
+        return [], []
+    return [n for n, a in zip(names, arrays) if a], [n for n, a in zip(names, arrays) if not a]
+
+
 def read_family(
     spark: SparkSession, root: str, family: Family, year: int, month: int, unreadable: str | None = None
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from datetime import date
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from monthstar.sinks import (
 from monthstar.sources import (
     RecordedPages,
     fetch_pages,
+    read_arrays,
     read_csv,
     read_family,
     read_json,
@@ -38,6 +39,8 @@ from monthstar.specs.spending import VOUCHERS
 from parity.registry import query, scratch, table
 
 RECORDS_PER_PAGE = 100
+#: Suppliers that an invented agency has, and that a page of its documents holds.
+SUPPLIERS_OF_AGENCY, SUPPLIERS_OF_PAGE = 20, 8
 
 
 def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -63,6 +66,21 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     records.mapInArrow(lines, "line string").write.mode("overwrite").text(path)
 
 
+def write_json_array_files(df: DataFrame, path: str) -> None:
+    """Raw JSON, one array for each file; a line ends inside of some record, a line for each Arrow batch."""
+
+    def lines(batches):
+        begin = "["
+        for batch in batches:
+            text = begin + ",".join(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_pydict({"line": [text[:-1], text[-1:]]})
+            begin = ","
+        yield pa.RecordBatch.from_pydict({"line": ["[]" if begin == "[" else "]"]})
+
+    records = df.select(F.to_json(F.struct(*df.columns)).alias("record"))
+    records.mapInArrow(lines, "line string").write.mode("overwrite").text(path)
+
+
 @query("""
     select cast(n_nationkey as varchar) as nation_code, n_name as nation,
         cast(n_regionkey as varchar) as region_code
@@ -134,6 +152,24 @@ def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(read_json(spark, path, EVENT_SCHEMA), fields)
 
 
+@query("""
+    select event_id as id, cast(user_id as varchar) as actor_code, event_type as kind_name,
+        cast(value as decimal(18,2)) as amount
+    from events
+""")
+def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file one array, whose records run on over its lines: no line can be read by itself."""
+    path = scratch(spark, "events")
+    write_json_array_files(event_records(spark, sf_dir), path)
+    fields = [
+        leaf("id", "id"),
+        leaf("actor_code", "actor.code"),
+        leaf("kind_name", "kind.detail.name"),
+        Field("amount", "amount", lambda raw: raw.try_cast("decimal(18,2)")),
+    ]
+    return rename(read_arrays(spark, path, EVENT_SCHEMA), fields)
+
+
 @query("select c_custkey, c_name from customer")
 def src_parquet_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension's path is absent, so every member is new."""
@@ -243,6 +279,36 @@ def land_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename(landed, fields)
 
 
+@query("""
+    select cast(s_suppkey // 20 as varchar) as agency, phase, s_suppkey as document_id
+    from supplier, (select unnest([1, 2, 3]) as phase)
+""")
+def land_agency_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agencies landed, then the documents of each in every phase, in steps of few calls from several tasks."""
+    recorded, root, day = scratch(spark, "pages"), scratch(spark, "star"), date(2020, 1, 20)
+    agency = F.floor(F.col("s_suppkey") / SUPPLIERS_OF_AGENCY).cast("string")
+    documents = table(spark, sf_dir, "supplier").select(agency.alias("agency"), F.col("s_suppkey").alias("document_id"))
+    record_pages(documents.select(F.col("agency").alias("codigo")).distinct(), f"{recorded}/orgaos-siafi")
+    place = F.row_number().over(Window.partitionBy("agency").orderBy("document_id")) - 1
+    page = (F.floor(place / SUPPLIERS_OF_PAGE) + 1).alias("page")
+    paged = documents.select("agency", page, F.to_json(F.struct("agency", "document_id")).alias("record"))
+    items = F.concat(F.lit(', "items": ['), F.array_join(F.collect_list("record"), ","), F.lit("]}"))
+    lines = paged.groupBy("agency", "page").agg(items.alias("items")).select(
+        F.col("agency").alias("unidadeGestora"), F.concat(F.lit('{"page": '), "page", "items").alias("line")
+    )
+    lines.write.partitionBy("unidadeGestora").text(f"{recorded}/despesas/documentos")
+
+    def transport(endpoint: str) -> RecordedPages:
+        return RecordedPages(f"{recorded}{endpoint}", "unidadeGestora" if "documentos" in endpoint else None)
+
+    for name in ("government_agencies", "agency_expenses_documents"):
+        path = land_extraction(spark, root, name, day, transport, Paging(sleep=0), max_parallel=4, step_calls=250)
+    landed = read_json(spark, path, "agency string, document_id bigint")
+    # The recorded service answers alike in every phase; each phase has asked for a document once.
+    times = landed.groupBy("agency", "document_id").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    return times.select("agency", F.explode(F.sequence(F.lit(1), "times")).alias("phase"), "document_id")
+
+
 @query("select s_suppkey, s_name from supplier")
 def sink_stage_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staging table written twice holds what was written last."""
