@@ -16,9 +16,11 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -88,7 +90,8 @@ def base_spans(text: str) -> list[Span]:
     """The spans of the fixed patterns, by start and kind."""
     found = list(_emails(text))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
@@ -172,7 +175,10 @@ def _segments(text: str, tokens: list[tuple[str, int, int]], taken=lambda a, b:
             word = tokens[end - 1][0]
             if word.isalnum() and not _plain(word) or end - 1 > first and "\n" in text[tokens[end - 2][2] : tokens[end - 1][1]]:
                 break
-            if not _plain(word) or taken(tokens[first][1], tokens[end - 1][2]):
+            if taken(tokens[first][1], tokens[end - 1][2]):
+                # So is every longer segment.
+                break
+            if not _plain(word):
                 continue
             found = features(tokens, text, first, end)
             if found:
@@ -336,7 +342,14 @@ def _regions(text: str) -> Iterator[tuple[int, int]]:
 def field_spans(text: str, weights: Weights, base: list[Span]) -> list[Span]:
     """Segments that the field adds; none overlaps a base span."""
     out: list[Span] = []
-    blocked = sorted((a, b) for _, a, b in base)
+    starts = [a for _, a, _ in base]
+    reach = list(accumulate((b for _, _, b in base), max))
+
+    def taken(first: int, end: int) -> bool:
+        """Whether a base span overlaps; base spans come by their start."""
+        before = bisect_left(starts, end)
+        return before > 0 and reach[before - 1] > first
+
     done = 0
     for start, end in _regions(text):
         hot = text[start:end]
@@ -346,9 +359,8 @@ def field_spans(text: str, weights: Weights, base: list[Span]) -> list[Span]:
         low -= len(_WORD_BEFORE.search(text[max(0, low - _WORD) : low])[0])
         high = _WORD_AFTER.match(text, high, high + _WORD).end()
         low = max(done, low)
-        near = [(a, b) for a, b in blocked if a < high and b > low]
         tokens = _tokens(text, low, high)
-        by_end = _segments(text, tokens, lambda a, b: any(a < d and b > c for c, d in near))
+        by_end = _segments(text, tokens, taken)
         for kind, first, last in best_segments(weights, len(tokens), by_end):
             out.append((kind, tokens[first][1], tokens[last - 1][2]))
             done = tokens[last - 1][2]
@@ -379,7 +391,9 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """``(id, base, spans)`` of every row, both ``array<struct<kind,start,end>>`` in code points, end exclusive.
 
     Null and empty texts have no spans. Repeated rows and null ids keep one
-    result row each, other columns are not read.
+    result row each, other columns are not read. Spans that start together stand
+    in the order of their kinds. What the field adds is of ``LONGEST`` tokens at
+    most, and of ``SHORT`` where no address is written out.
     """
     weights = train()
     kind = "array<struct<kind:string,start:int,end:int>>"

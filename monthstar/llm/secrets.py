@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 import tiktoken
@@ -38,10 +40,8 @@ _RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}+")
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: Words (capitalised, upper or lower) and numbers, with separators between them.
-_IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+|[A-Za-z](?![A-Za-z0-9]))(?:[_/+=-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+(?![A-Za-z])|[A-Za-z](?![A-Za-z0-9])))*[_/+=-]*")
-#: Words of three letters or more, more than one, told apart by case.
-_CASED_WORDS = re.compile(r"(?:[A-Z]?[a-z]{3,}|[A-Z]{3,})(?:[A-Z][a-z]{3,}|[A-Z]{3,})+")
+#: The longest pieces of a run of one kind: capitals, small letters, digits, separators.
+_PIECES = re.compile(r"[A-Z]+|[a-z]+|[0-9]+|[_/+=-]+")
 
 Span = tuple[str, int, int]
 
@@ -69,6 +69,46 @@ def _order(span: Span):
     return span[1], KINDS.index(span[0]), span[2]
 
 
+def is_identifier(run: str) -> bool:
+    """Words (capitalised, upper or lower) of two letters or more and numbers, with separators between some.
+
+    A single letter is a word only where no letter or digit follows, and only a
+    number at the very start may have a letter behind it. Every piece is looked
+    at once, with the one behind it.
+    """
+    pieces = _PIECES.findall(run)
+    if not pieces or pieces[0][0] in "_/+=-":
+        return False
+    for k, (piece, behind) in enumerate(zip(pieces, [*pieces[1:], "-"])):
+        if piece.isdigit():
+            if k and behind.isalpha():
+                return False
+        elif piece.isalpha() and len(piece) == 1 and behind.isalnum():
+            # A capital may begin a word of small letters.
+            if not (piece.isupper() and behind.islower() and len(behind) > 1):
+                return False
+    return True
+
+
+def is_cased_words(run: str) -> bool:
+    """Letters that case cuts into two words or more, each of three small letters (a capital before them) or three capitals."""
+    pieces = _PIECES.findall(run)
+    words = 0
+    for k, piece in enumerate(pieces):
+        last = k + 1 == len(pieces)
+        if piece.islower():
+            if len(piece) < 3:
+                return False
+            words += 1
+            continue
+        # The last capital before small letters is theirs.
+        capitals = len(piece) if last else len(piece) - 1
+        if capitals in (1, 2):
+            return False
+        words += min(2, capitals // 3)
+    return words > 1
+
+
 def set_aside(run: str) -> bool:
     """Known digests and identifiers, which are no secrets though they may look random.
 
@@ -78,16 +118,19 @@ def set_aside(run: str) -> bool:
         return True
     letters = sum(c.isalpha() for c in run)
     if letters == len(run):
-        return not run.isupper() and bool(_CASED_WORDS.fullmatch(run))
-    return letters == 0 or bool(_IDENTIFIER.fullmatch(run))
+        return not run.isupper() and is_cased_words(run)
+    return letters == 0 or is_identifier(run)
 
 
 def random_spans(text: str, encode, base: list[Span]) -> list[Span]:
     """Runs with few characters per token that overlap no base span."""
     out = []
+    starts = [a for _, a, _ in base]
+    reach = list(accumulate((b for _, _, b in base), max))
     for m in _RUN.finditer(text):
         run = m[0]
-        if any(a < m.end() and m.start() < b for _, a, b in base) or set_aside(run):
+        before = bisect_left(starts, m.end())
+        if before and reach[before - 1] > m.start() or set_aside(run):
             continue
         if len(run) < CHARS_PER_TOKEN * len(encode(run)):
             out.append(("random", *m.span()))
@@ -110,6 +153,7 @@ def scan(
     ``vocabulary`` is a rank file that every executor has under this path. Null
     and empty texts have no spans. Repeated rows and null ids keep one result row
     each, other columns are not read. Texts are scanned whole, in linear time.
+    Spans that start together stand in the order of their kinds.
     """
     kind = "array<struct<kind:string,start:int,end:int>>"
     spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))

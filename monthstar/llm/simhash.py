@@ -101,15 +101,30 @@ def first_of_each(
     words: int = SHINGLE_WORDS,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """The row of smallest id of each group of linked fingerprints, its columns untouched.
+    """One row of each group of linked fingerprints, its columns untouched.
 
-    Of rows that share this id one stays. Rows without an id all stay.
+    It is the row of smallest id, then of smallest hash of all columns; rows
+    without an id come last. Rows that share an id stay both where their texts are
+    not linked, and of rows that are equal in every column one stays. The choice
+    does not depend on how the rows are dealt to tasks.
     """
-    prints = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    first = _components(prints, id_col, radius).select(F.col("component_id").alias(id_col)).distinct()
-    with_id = docs.where(F.col(id_col).isNotNull())
-    kept = with_id.join(first, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    names = ("__simhash_last", "__simhash_id", "__simhash_mark")
+    unnamed = F.col(id_col).isNull()
+    marked = docs.select("*", unnamed.alias(names[0]), F.col(id_col).alias(names[1]), F.xxhash64(*docs.columns).alias(names[2]))
+    keyed = marked.select(F.struct(*names).alias("row"), F.col(text_col))
+    prints = stored(fingerprints(keyed, "row", text_col, words), "fingerprints")
+    lead = _components(prints, "row", radius).select("component_id.*").distinct()
+    # One hash carries join and distinct, so rows are dealt once.
+    key = F.xxhash64(*names)
+    lead = lead.select(key.alias("key"), F.col(names[1]).alias("lead_id"), F.col(names[2]).alias("lead_mark"))
+    keyed = marked.withColumn("__simhash_key", key)
+    same = (
+        (keyed["__simhash_key"] == lead["key"])
+        & keyed[names[1]].eqNullSafe(lead["lead_id"])
+        & (keyed[names[2]] == lead["lead_mark"])
+    )
+    kept = keyed.join(lead, same, "left_semi").dropDuplicates(["__simhash_key", *names[1:]])
+    return kept.select(*docs.columns)
 
 
 def _components(prints: DataFrame, id_col: str, radius: int) -> DataFrame:
