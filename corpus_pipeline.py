@@ -6,9 +6,9 @@ and reread as the next one's ``docs``.
 
 - Null texts and texts without a letter leave at the first stage. An empty table
   passes through all stages and stays empty.
-- Rows that repeat a ``doc_id`` are copies or claim the same identity; of those in
-  one near-duplicate group the first stays. Rows without an id are kept, for
-  nothing tells which of them another repeats.
+- Of each near-duplicate group the row of smallest ``doc_id`` stays, then of smallest
+  hash of all columns; rows without an id come last. Rows that share a ``doc_id``
+  without being near duplicates all stay.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of linked fingerprints."""
+    """Keeps one document of each group of linked fingerprints, that of smallest id."""
     return simhash.first_of_each(docs)
 
 
