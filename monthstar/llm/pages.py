@@ -42,10 +42,20 @@ ASIDE_WORDS = frozenset(
     "pagination popup promo related reply replies share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar widget".split()
 )
+#: Elements and words of which an article or main element inside is no part: they may also name a whole page's layout.
+LAYOUT_ELEMENTS = frozenset("dialog form header".split())
+LAYOUT_WORDS = frozenset(
+    "banner breadcrumb breadcrumbs complementary contentinfo copyright footer header login masthead menu modal nav "
+    "navbar navigation notice popup reply sidebar signup toolbar widget".split()
+)
+#: Words that make a name a state of something else, as in "has-sidebar" and "comments-open".
+STATES = frozenset("closed disabled enabled has hide is no off on open show with without".split())
 _RAW = "|".join(RAW)
+#: What a tag holds up to its end; a bracket inside quotes is part of a value.
+_INSIDE = r"""(?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+"""
 _PIECE = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?:{_RAW})(?:/|\s(?:[^>]*[\s"'])?/)>|<({_RAW})(?![A-Za-z0-9:-])[^>]*+>.*?(?:</\1\s*>|\Z)"""
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>",
+    rf"""<!--.*?(?:-->|\Z)|<(?:{_RAW})(?:/|\s(?:[^<>]*[\s"'])?/)>|<({_RAW})(?![A-Za-z0-9:-]){_INSIDE}>.*?(?:</\1\s*>|\Z)"""
+    rf"|<(/?)([A-Za-z][A-Za-z0-9:-]*+)({_INSIDE})>|<[!?][^<>]*+>",
     re.S | re.I,
 )
 #: Attributes of a tag that closes itself; a slash at the end of a value without quotes belongs to the value.
@@ -150,13 +160,25 @@ def classify(rows: np.ndarray) -> np.ndarray:
     return share[at] >= 0.5
 
 
-def _aside(name: str, attributes: str, in_main: bool) -> bool:
+def _aside(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether a container is aside of the main text, and whether an article inside it is so too.
+
+    Inside an article, and of an article itself, a name counts only as a whole, or where each of its words does; a
+    word that stands for other people's text counts in any name inside an article.
+    """
     if name in ASIDE_ELEMENTS or name == "header" and not in_main:
-        return True
-    for groups in _LABEL.findall(attributes) if "=" in attributes else ():
-        if not ASIDE_WORDS.isdisjoint(_LABEL_WORD.findall("".join(groups).lower())):
-            return True
-    return False
+        return True, name not in LAYOUT_ELEMENTS
+    aside = deep = False
+    for groups in _LABEL.findall(attributes) if "=" in attributes and name != "main" else ():
+        for token in "".join(groups).lower().split():
+            words = set(_LABEL_WORD.findall(token))
+            found = words & ASIDE_WORDS
+            if not found or words & STATES:
+                continue
+            if (in_main or name == "article") and words != found and (name == "article" or found <= LAYOUT_WORDS):
+                continue
+            aside, deep = True, deep or not found <= LAYOUT_WORDS
+    return aside, deep
 
 
 def count_words(text: str) -> int:
@@ -275,8 +297,13 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
                 item = False
             if name in CONTAINERS:
                 if not closing:
-                    main, aside = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
-                    open_.append((name, main or name in ("article", "main"), aside or _aside(name, m[4], main)))
+                    main, aside, deep = open_[-1][1:] if open_ else (False, False, False)
+                    if name in ("article", "main"):
+                        # What is aside of a page's layout only does not reach into these.
+                        deep = deep and name == "article"
+                        aside, main = deep, main or name == "main" or not deep
+                    of_own = _aside(name, m[4], main)
+                    open_.append((name, main or name == "article", aside or of_own[0], deep or of_own[1]))
                 else:
                     for k in range(len(open_) - 1, -1, -1):
                         if open_[k][0] == name:
