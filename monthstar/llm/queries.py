@@ -217,6 +217,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[_count("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.size("spans").cast("long").alias("n_spans"),
         F.sha2(spans_text("base").cast("binary"), 256).alias("base_sha256"),
         spans_text("spans").alias("spans"),
     )
@@ -228,6 +229,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[_count("base", kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.size("spans").cast("long").alias("n_spans"),
         F.sha2(spans_text("base").cast("binary"), 256).alias("base_sha256"),
         spans_text("spans").alias("spans"),
     )
