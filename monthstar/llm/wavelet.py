@@ -39,18 +39,22 @@ SHARD_TOKENS = 1 << 22
 #: Bits of a chunk of a plane; a multiple of 64.
 CHUNK_BITS = 1 << 15
 #: Distinct pieces of text whose ids a task remembers.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 700_000
 
 # The first bytes of a file, and what follows them (bytes of the header).
 MAGIC = b"MSWM0001"
 _HEAD = struct.Struct("<8sI")
 
 #: Texts whose spaces may not be cut as ``Encoder`` does: white space that meets a space,
-#: three line ends, white space twice at the end, and white space beyond ASCII.
+#: three line ends, white space twice at the end, white space beyond ASCII, and the mark of a cut.
 _UNUSUAL = (
     r"[\t\x0b\f\r ][\t-\r ]|\n[\t\x0b\f\r ]|\n\n\n|[\t-\r ][\t-\r ]\z"
-    r"|[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
+    r"|[\x00\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 )
+#: Marks a cut, a stop behind a letter or digit before one, and pieces between which the library cuts by itself.
+_CUT = "\0"
+_STOPPED = r"([0-9A-Za-z])([.,;:!?])\x00"
+_JOINED = r"(?s)\A[ \n].*[^\t-\r ]\z"
 
 
 @cache
@@ -64,88 +68,125 @@ def tokenizer(path: str):
     return out
 
 
+@cache
+def token_bytes(path: str) -> np.ndarray:
+    """The bytes of each token; a byte-level vocabulary spells each byte as one character."""
+    words = tokenizer(path).get_vocab()
+    out = np.zeros(max(words.values()) + 1, np.int64)
+    out[list(words.values())] = list(map(len, words))
+    return out
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library, without special tokens.
 
     Such a tokenizer cuts a text before every space or line end that follows a
-    visible character, so the pieces between these cuts can be encoded once
-    each. Texts with other white space are handed to the library whole.
+    visible character, and between a letter and a stop, so the pieces between these
+    cuts are encoded once each and remembered. Texts with other white space are
+    handed to the library whole.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
+        self.tokenizer, self.bytes = tokenizer(path), token_bytes(path)
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.sizes = np.empty(0, np.int64)
-        self.starts = np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
-
-    def _learn(self, pieces: list[str]) -> np.ndarray:
-        """The numbers of pieces; new ones are encoded in one call of the library."""
-        number = self.number
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in number]
-        if new:
-            coded = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            words = np.array([w for w in coded.word_ids], np.int64)
-            sizes = np.bincount(words, minlength=len(new))
-            first = len(self.flat)
-            self.flat = np.concatenate([self.flat, np.array(coded.ids, np.uint32)])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes])
-            for piece in new:
-                number[piece] = len(number)
-        return np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+        self.known = pa.array([], pa.string())
+        self.starts, self.sizes, self.flat = (np.empty(0, np.int32) for _ in range(3))
+
+    def _add(self, pieces: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        first = len(self.flat)
+        self.known = pa.concat_arrays([self.known, pieces])
+        self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes], dtype=np.int32)
+        self.sizes = np.concatenate([self.sizes, sizes], dtype=np.int32)
+        self.flat = np.concatenate([self.flat, ids], dtype=np.int32)
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """New pieces, handed to the library as one text where it cuts that text between them; returns their numbers."""
+        first, fits = len(self.known), pc.match_substring_regex(pieces, _JOINED)
+        apart, joined = pieces.filter(pc.invert(fits)), pieces.filter(fits)
+        if len(apart):
+            coded = self.tokenizer.encode(apart.to_pylist(), is_pretokenized=True, add_special_tokens=False)
+            words = np.array(coded.word_ids, np.int64)
+            self._add(apart, np.bincount(words, minlength=len(apart)), np.array(coded.ids, np.int32))
+        if len(joined):
+            coded = self.tokenizer.encode_batch_fast(["".join(joined.to_pylist())], add_special_tokens=False)
+            ids = np.array(coded[0].ids, np.int32)
+            reached = np.cumsum(self.bytes[ids])
+            ends = np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)
+            stops = np.searchsorted(reached, ends) + 1
+            if (reached[stops - 1] != ends).any():
+                raise ValueError("the tokenizer does not cut texts before white space")
+            self._add(joined, np.diff(np.r_[0, stops]), ids)
+        fits = fits.to_numpy(zero_copy_only=False)
+        return first + np.where(fits, len(apart) + np.cumsum(fits), np.cumsum(~fits)) - 1
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts one after another, and where each text's end."""
-        if len(self.number) > KNOWN_PIECES:
+        if len(self.known) > KNOWN_PIECES:
             self._forget()
         texts = pc.fill_null(texts.cast(pa.string()), "")
         unusual = pc.match_substring_regex(texts, _UNUSUAL)
         odd = np.flatnonzero(unusual.to_numpy(zero_copy_only=False))
-        plain = pc.if_else(unusual, "", texts)
-        lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        cut = pc.if_else(unusual, "", texts) if len(odd) else texts
+        for blank in " \n":
+            cut = pc.replace_substring(cut, blank, _CUT + blank)
+        cut = pc.replace_substring_regex(cut, _STOPPED, rf"\1{_CUT}\2{_CUT}")
+        lists = pc.split_pattern(cut, _CUT)
         ends = lists.offsets.to_numpy()
         words = lists.flatten().dictionary_encode()
-        # A piece begins with its space or line end, save the first of a text.
-        pieces = [w if w.startswith("\n") else " " + w for w in words.dictionary.to_pylist()]
-        at = self._learn(pieces)[words.indices.to_numpy()]
-        first = ends[:-1] - ends[0]
-        at[first] = self._learn(words.take(pa.array(first)).cast(pa.string()).to_pylist())
+        pieces = words.dictionary
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy(zero_copy_only=False).copy()
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = self._learn(pieces.take(pa.array(new)))
+        at = at[words.indices.to_numpy()]
         sizes = self.sizes[at]
-        before = np.cumsum(sizes) - sizes
-        ids = self.flat[np.repeat(self.starts[at] - before, sizes) + np.arange(int(sizes.sum()))]
-        cuts = np.r_[0, np.cumsum(sizes)][ends - ends[0]]
+        before = np.cumsum(sizes, dtype=np.int32) - sizes
+        place = np.repeat(self.starts[at] - before, sizes)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = self.flat[place]
+        cuts = np.r_[0, np.cumsum(sizes, dtype=np.int64)][ends - ends[0]]
         if not len(odd):
             return ids, cuts[1:]
         whole = self.tokenizer.encode_batch_fast(texts.take(pa.array(odd)).to_pylist(), add_special_tokens=False)
         parts = np.split(ids, cuts[1:-1])
         for k, coded in zip(odd, whole):
-            parts[k] = np.array(coded.ids, np.uint32)
+            parts[k] = np.array(coded.ids, np.int32)
         return np.concatenate(parts), np.cumsum([len(part) for part in parts])
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each worker, so that its tasks share what they have learned."""
+    return Encoder(path)
+
+
+def _kind(width: int) -> type:
+    """The smallest type of whole numbers of so many bits; there are no more than 32."""
+    return np.uint16 if width <= 16 else np.uint32
+
+
 def build(ids: pa.Array, ends: np.ndarray, tokens: np.ndarray) -> bytes:
     """The file of a shard: its documents, where their tokens end, and the tokens."""
     n = len(tokens)
     width = max(1, int(tokens.max()).bit_length()) if n else 1
     squeeze = zstandard.ZstdCompressor(level=3).compress
     zeros, chunks, ones = [], [], []
-    rest = tokens.astype(np.uint32)
+    rest = tokens.astype(_kind(width))
     for bit in reversed(range(width)):
-        bits = (rest >> np.uint32(bit)) & np.uint32(1) == 1
-        packed = np.packbits(bits, bitorder="little")
-        step = CHUNK_BITS // 8
+        low, high = [rest[:0]], [rest[:0]]
         counted = 0
-        for at in range(0, len(packed), step):
-            part = packed[at : at + step]
+        for at in range(0, n, CHUNK_BITS):
+            part = rest[at : at + CHUNK_BITS]
+            bits = (part & rest.dtype.type(1 << bit)).astype(bool)
+            low.append(part.take(np.flatnonzero(~bits)))
+            high.append(part.take(np.flatnonzero(bits)))
             ones.append(counted)
-            counted += int(np.bitwise_count(part).sum())
-            chunks.append(squeeze(part.tobytes()))
+            counted += len(high[-1])
+            chunks.append(squeeze(np.packbits(bits, bitorder="little").tobytes()))
         zeros.append(n - counted)
-        rest = np.concatenate([rest[~bits], rest[bits]])
+        rest = np.concatenate(low + high)
     table = pa.table({"id": ids, "end": pa.array(ends, pa.int64())})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
@@ -201,8 +242,8 @@ class Shard:
 
     def tokens(self) -> np.ndarray:
         """All tokens in order: from the lowest plane up, zeros and ones go back to their places."""
-        out = np.zeros(self.n, np.uint32)
         width = len(self.zeros)
+        out = np.zeros(self.n, _kind(width))
         for plane in reversed(range(width)):
             first = plane * self._each
             begin, end = int(self._places[first]), int(self._places[first + self._each])
@@ -211,8 +252,8 @@ class Shard:
             raw = b"".join(self._grow(held[a:b]) for a, b in zip(cuts[:-1], cuts[1:]))
             bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=self.n).view(bool)
             back = np.empty_like(out)
-            back[~bits] = out[: self.zeros[plane]]
-            back[bits] = out[self.zeros[plane] :] | np.uint32(1 << (width - 1 - plane))
+            back[np.flatnonzero(~bits)] = out[: self.zeros[plane]]
+            back[np.flatnonzero(bits)] = out[self.zeros[plane] :] | out.dtype.type(1 << (width - 1 - plane))
             out = back
         return out
 
@@ -327,7 +368,7 @@ def write(
     order = ["id", "mark", "row"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(vocabulary)
+        encode = encoder(vocabulary)
         system, folder = _system(path)
         system.create_dir(folder, recursive=True)
         names: list[pa.Array] = []
@@ -381,7 +422,7 @@ def write(
 def _cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of a batch's texts that are encoded together, some millions of bytes each."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
-    part = np.cumsum(size) // (BATCH_BYTES // 2)
+    part = np.cumsum(size) // (BATCH_BYTES)
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
     return ((a, b) for a, b in zip(edges[:-1], edges[1:]) if a < b)
 
