@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import stored
+from monthstar.llm.tables import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star rounds: each node's neighbours are pointed at the
     smallest of them until every node points at the root of its component. Every
     round is two aggregates and two joins on all links, written to the shared
-    folder; a node with very many links is folded before the shuffle and its
+    folder, and the round before it is deleted; a node with very many links is folded before the shuffle and its
     partition is split by the adaptive join. The rounds grow with the logarithm
     of the longest chain. Links of a node with itself and null ends are ignored.
     """
@@ -25,7 +25,9 @@ def components(links: DataFrame) -> DataFrame:
     )
     edges, seen = _written(edges)
     while seen[0]:
-        edges, now = _written(_small_star(_large_star(edges)))
+        last = edges
+        edges, now = _written(_small_star(_large_star(last)))
+        discard(last)
         if now == seen:
             break
         seen = now

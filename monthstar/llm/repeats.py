@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthstar.llm.tables import SLICE_ROWS, kind_of, mapped, stored
+from monthstar.llm.tables import SLICE_ROWS, discard, kind_of, mapped, stored
 
 #: Contract of the query: words to a window.
 WINDOW_WORDS = 35
@@ -173,6 +173,7 @@ def covered(
         rows["id"], rows["mark"], rows["text"], wanted["places"]
     )
     met = stored(met.withColumn("row", F.monotonically_increasing_id()), "documents")
+    discard(listed)
     stretches = _stretches(met.where(F.col("places").isNotNull()), window)
     near = stored(_confirmed(stretches, window), "ranges")
     lone = near.where(F.col("phrase").isNotNull())

@@ -32,13 +32,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The same rows as a written table in the shared folder: later jobs read it, nothing is recomputed."""
+    """The same rows as a written table in the shared folder: later jobs read it, nothing is recomputed.
+
+    What the write shuffled is removed when it has ended, not when the driver next collects garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/monthstar-llm-{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_SETTING)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that no model here learns from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -109,5 +125,7 @@ def kept_rows(docs: DataFrame, text_col: str, keep) -> DataFrame:
 #: Bytes of an Arrow batch, about, and the setting that bounds them.
 BATCH_BYTES = 8 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: The setting by which a query removes its shuffle files when it ends.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows whose texts are Python objects at the same time.
 SLICE_ROWS = 512

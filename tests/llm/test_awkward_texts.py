@@ -151,3 +151,18 @@ def test_one_row_of_each_group_stays_however_rows_are_dealt(spark):
 def test_rows_without_an_id_come_last(spark):
     rows = [(None, A, 1, "k"), (None, A, 1, "k"), (None, B, 1, "k"), (4, B, 1, "k")]
     assert texts(firsts(spark, rows)) == [("4", "q"), ("None", "t")]
+
+
+def test_a_query_leaves_no_table_that_nothing_reads(spark, monkeypatch, tmp_path):
+    from monthstar.llm import components, repeats, tables
+
+    monkeypatch.setattr(tables, "shared_folder", lambda spark: str(tmp_path))
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    found = components.components(links)
+    assert {row["component"] for row in found.collect()} == {0} and found.count() == 41
+    assert len(list(tmp_path.glob("*/links"))) == 1
+    docs = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(50))) for k in range(3)], "doc_id long, text string")
+    out = repeats.without_repeats(repeats.covered(docs))
+    assert [row["n_removed"] for row in out.collect()] == [50] * 3
+    assert not list(tmp_path.glob("*/anchors"))
+    assert spark.conf.get(tables.CLEANUP_SETTING) == "false"
