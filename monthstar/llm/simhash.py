@@ -114,16 +114,9 @@ def first_of_each(
     keyed = marked.select(F.struct(*names).alias("row"), F.col(text_col))
     prints = stored(fingerprints(keyed, "row", text_col, words), "fingerprints")
     lead = _components(prints, "row", radius).select("component_id.*").distinct()
-    # One hash carries join and distinct, so rows are dealt once.
-    key = F.xxhash64(*names)
-    lead = lead.select(key.alias("key"), F.col(names[1]).alias("lead_id"), F.col(names[2]).alias("lead_mark"))
-    keyed = marked.withColumn("__simhash_key", key)
-    same = (
-        (keyed["__simhash_key"] == lead["key"])
-        & keyed[names[1]].eqNullSafe(lead["lead_id"])
-        & (keyed[names[2]] == lead["lead_mark"])
-    )
-    kept = keyed.join(lead, same, "left_semi").dropDuplicates(["__simhash_key", *names[1:]])
+    # One key of 128 bits carries both join and distinct, so rows are dealt once.
+    key = F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit("b"), *names).alias("b")).alias("__simhash_key")
+    kept = marked.select("*", key).join(lead.select(key), "__simhash_key", "left_semi").dropDuplicates(["__simhash_key"])
     return kept.select(*docs.columns)
 
 
