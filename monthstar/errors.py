@@ -28,5 +28,9 @@ class DuplicateKeyError(QualityError, KeyError):
     """A dimension holds a key more than once."""
 
 
+class VersionConflictError(Exception):
+    """Another writer has moved a table on from the version that rows were made from."""
+
+
 class FetchError(Exception):
     """A page could not be fetched within the allowed attempts."""

@@ -13,7 +13,7 @@ from monthstar.operators import (
     number_rows,
 )
 from monthstar.operators.keys import DEFAULT_BUCKETS
-from monthstar.sinks import append_dimension, overwrite_table
+from monthstar.sinks import append_dimension, commit_rows, overwrite_table
 from monthstar.sources.files import (
     DIMENSION,
     LOADING,
@@ -22,6 +22,7 @@ from monthstar.sources.files import (
     read_optional,
     read_table,
 )
+from monthstar.sources.versions import read_version
 from monthstar.specs.model import Dimension
 
 
@@ -49,6 +50,7 @@ def load_dimension(
     dimension: Dimension,
     strict: bool = False,
     buckets: int = DEFAULT_BUCKETS,
+    versioned: bool = False,
 ) -> None:
     """Append the staged members that are not in the dimension yet.
 
@@ -57,9 +59,13 @@ def load_dimension(
     numbering reads them twice, and the dimension is not read by the job that
     appends to it. ``buckets`` is the number of tasks that number rows; give a
     dimension the same number every time, since ids of new members depend on it.
+
+    With ``versioned`` the rows become a new version, unless another load has
+    moved the dimension on since this one read it: no id is given twice.
     """
     path = join_path(root, DIMENSION, dimension.name)
     pending = join_path(root, LOADING, dimension.name)
+    base = read_version(spark, path) if versioned else None
     known = read_optional(spark, path, dimension.schema)
     overwrite_table(new_members(staged_members(spark, root, dimension, strict), known, dimension.keys), pending)
 
@@ -71,4 +77,7 @@ def load_dimension(
         buckets=buckets,
         bucket=dimension.bucket() if dimension.bucket else None,
     )
-    append_dimension(numbered.select(*dimension.columns), path)
+    if versioned:
+        commit_rows(numbered.select(*dimension.columns), path, base)
+    else:
+        append_dimension(numbered.select(*dimension.columns), path)

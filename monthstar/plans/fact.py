@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthstar.errors import EmptyFactError
 from monthstar.operators import Lookup, in_period, literal_period, resolve
 from monthstar.operators.lookup import BROADCAST_BYTES, key_bytes
-from monthstar.sinks import overwrite_partitions, overwrite_table, remove
+from monthstar.sinks import commit_partitions, overwrite_partitions, overwrite_table, remove
 from monthstar.sources.files import (
     DIMENSION,
     FACT,
@@ -81,6 +81,7 @@ def load_fact(
     month: int,
     broadcast_bytes: int = BROADCAST_BYTES,
     sizes: dict[str, int] | None = None,
+    versioned: bool = False,
 ) -> int:
     """Write a month of a fact, replacing that month only.
 
@@ -88,7 +89,8 @@ def load_fact(
     another month's partition, and lines that are no JSON have nothing to say;
     they go to ``reject/<fact>`` instead. Returns their number. A month without
     any row of its own is an error, for nothing would replace what is stored
-    for it. ``sizes`` gives the measured dimensions by name.
+    for it. ``sizes`` gives the measured dimensions by name. With ``versioned``
+    the month is replaced by one new version of the fact.
 
     The raw text is read by one job, which parts the rows by their verdict into
     a table under ``loading``; what follows reads that table.
@@ -108,7 +110,8 @@ def load_fact(
     if accepted is not None:
         rows = accepted.drop(UNREADABLE)
         resolved = fact_rows(rows, lookups, broadcast_bytes=broadcast_bytes, sizes=known)
-        overwrite_partitions(resolved, join_path(root, FACT, fact.name))
+        write = commit_partitions if versioned else overwrite_partitions
+        write(resolved, join_path(root, FACT, fact.name))
     path = join_path(root, REJECT, fact.name, f"run={year}-{month:02d}")
     number = 0
     if rejected is not None:

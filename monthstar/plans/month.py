@@ -33,6 +33,7 @@ def run_month(
     transport_for: Callable[[str], Transport] | None = None,
     paging: Paging = Paging(),
     fetch_parallel: int | None = 1,
+    versioned: bool = False,
 ) -> dict[str, dict]:
     """Stage, load and check all dimensions, then load and check all facts.
 
@@ -41,7 +42,9 @@ def run_month(
     independent and their jobs share the cluster; facts that are written at the
     same time share ``broadcast_bytes``. A failed check raises and
     stops the run. Running a month again changes nothing but its own fact
-    partitions. Returns what the checks measured, by table.
+    partitions. With ``versioned`` dimensions and facts are versioned tables: a
+    run that is lost leaves whole tables, and of two runs at a time one is
+    refused; a root keeps one kind. Returns what the checks measured, by table.
     """
     if transport_for is not None:
         day = date(year, month, 1)
@@ -56,12 +59,12 @@ def run_month(
         stage_source(spark, root, table, source, year, month, rows.get(source.name))
 
     def load(table):
-        load_dimension(spark, root, table, strict, buckets)
+        load_dimension(spark, root, table, strict, buckets, versioned)
         return table.name, run_check(spark, root, "dimension_duplicate_keys", table.name, table.keys)
 
     def write(table):
         share = broadcast_bytes // max(1, min(concurrent_jobs, len(star.facts)))
-        rejected = load_fact(spark, root, star, table, year, month, share, sizes)
+        rejected = load_fact(spark, root, star, table, year, month, share, sizes, versioned)
         measured = run_check(
             spark, root, "fact_keys", table.name, table.required, table.max_null_percent, period=(year, month)
         )

@@ -8,9 +8,13 @@ from monthstar.sinks.tables import (
     remove,
     scratch_folder,
 )
+from monthstar.sinks.versions import commit_partitions, commit_rows, drop_unused
 
 __all__ = [
     "append_dimension",
+    "commit_partitions",
+    "commit_rows",
+    "drop_unused",
     "land_records",
     "overwrite_partitions",
     "overwrite_table",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthstar.sources.arrays import read_arrays
+from monthstar.sources.versions import is_versioned, read_parts, read_version
 from monthstar.specs.model import Family
 
 STAGING = "staging"
@@ -108,7 +109,15 @@ def read_family(
 def read_table(
     spark: SparkSession, path: str, columns: Sequence[str] = (), schema: T.StructType | None = None
 ) -> DataFrame:
-    """A stored table, all columns or the named ones; a schema that is given is not inferred by a job."""
+    """A stored table, all columns or the named ones; a schema that is given is not inferred by a job.
+
+    Of a versioned table this is the last version; one without any version is an error.
+    """
+    if is_versioned(spark, path):
+        table = read_parts(spark, path, read_version(spark, path), schema)
+        if table is None:
+            raise FileNotFoundError(f"{path}: no version yet")
+        return table.select(*columns) if columns else table
     table = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     return table.select(*columns) if columns else table
 
@@ -121,7 +130,9 @@ def paths_like(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def is_empty(spark: SparkSession, path: str) -> bool:
-    """Whether nothing is there, or a folder without any file; only the path itself is listed."""
+    """Whether nothing is there, or a folder without any file, or no version; only the path itself is listed."""
+    if is_versioned(spark, path):
+        return not read_version(spark, path).parts
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = where.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(where):
@@ -152,7 +163,12 @@ def read_period(spark: SparkSession, path: str, year: int, month: int) -> DataFr
 
     A month that is not there has no rows; a fact that is not there is an error.
     """
-    folder = f"{path}/year={int(year)}/month={int(month)}"
+    period = f"year={int(year)}/month={int(month)}"
+    if is_versioned(spark, path):
+        version = read_version(spark, path)
+        rows = read_parts(spark, path, version, partition=period)
+        return read_table(spark, path).where(F.lit(False)) if rows is None else rows
+    folder = f"{path}/{period}"
     if is_empty(spark, folder):
         return spark.read.parquet(path).where(F.lit(False))
     return spark.read.option("basePath", path).parquet(folder)

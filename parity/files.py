@@ -18,6 +18,9 @@ from monthstar.operators import new_members, number_rows, rename
 from monthstar.plans import land_extraction
 from monthstar.sinks import (
     append_dimension,
+    commit_partitions,
+    commit_rows,
+    drop_unused,
     land_records,
     overwrite_partitions,
     overwrite_table,
@@ -349,6 +352,37 @@ def sink_fact_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame
     return read_table(spark, path).groupBy("year", "month", "version").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("select c_custkey, c_name from customer")
+def sink_version_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One segment as the first version, the others added by the second."""
+    path = scratch(spark, "dimension/customer")
+    customer = table(spark, sf_dir, "customer")
+    commit_rows(customer.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name"), path)
+    later = new_members(customer.select("c_custkey", "c_name"), read_table(spark, path), ["c_custkey", "c_name"])
+    commit_rows(later, path)
+    return read_table(spark, path)
+
+
+@query("""
+    select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month,
+        case when year(o_orderdate) = 1998 and month(o_orderdate) = 3 then 'v2' else 'v1' end as version,
+        count(*) as n_rows
+    from orders group by all
+""")
+def sink_version_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months as one version, one month replaced by the next, the replaced folder dropped."""
+    path = scratch(spark, "fact/orders")
+    day = F.col("o_orderdate").cast("date")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year(day).alias("year"), F.month(day).alias("month")
+    )
+    commit_partitions(orders.withColumn("version", F.lit("v1")), path, gather=True)
+    again = orders.where("year = 1998 and month = 3")
+    commit_partitions(again.withColumn("version", F.lit("v2")), path)
+    drop_unused(spark, path)
+    return read_table(spark, path).groupBy("year", "month", "version").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("select event_id, user_id, event_type from events")
 def sink_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "raw/events")
