@@ -30,6 +30,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("month", type=int)
     parser.add_argument("--with-types", action="store_true", help="load the expense type dimension too")
     parser.add_argument("--strict", action="store_true", help="drop members with any null column")
+    parser.add_argument("--resume", action="store_true", help="go on with this month's run that failed")
+    parser.add_argument("--versioned", action="store_true", help="keep dimensions and facts as versioned tables")
     parser.add_argument("--numbers", choices=NUMBER_MODES, default=NUMBER_MODES[0])
     parser.add_argument(
         "--fetch",
@@ -42,7 +44,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     given = parser.parse_args(arguments)
 
-    options = {}
+    options = {"resume": given.resume, "versioned": given.versioned}
     if given.fetch:
         address = os.environ.get("MONTHSTAR_SERVICE")
         if not address:

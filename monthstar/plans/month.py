@@ -14,6 +14,7 @@ from monthstar.operators.lookup import BROADCAST_BYTES
 from monthstar.plans.checks import run_check
 from monthstar.plans.dimension import load_dimension
 from monthstar.plans.fact import load_fact, measured_dimensions
+from monthstar.plans.journal import Journal, made_from, raw_files
 from monthstar.plans.landing import land_extraction
 from monthstar.plans.staging import distinct_rows, shared_passes, stage_source
 from monthstar.sources.paged import Paging, Transport
@@ -34,6 +35,7 @@ def run_month(
     paging: Paging = Paging(),
     fetch_parallel: int | None = 1,
     versioned: bool = False,
+    resume: bool = False,
 ) -> dict[str, dict]:
     """Stage, load and check all dimensions, then load and check all facts.
 
@@ -44,7 +46,10 @@ def run_month(
     stops the run. Running a month again changes nothing but its own fact
     partitions. With ``versioned`` dimensions and facts are versioned tables: a
     run that is lost leaves whole tables, and of two runs at a time one is
-    refused; a root keeps one kind. Returns what the checks measured, by table.
+    refused; a root keeps one kind. With ``resume`` a run of the same month that
+    failed goes on: steps that ended, and whose raw files, specification and
+    settings are still the same, are not run again. Returns what the checks
+    measured, by table.
     """
     if transport_for is not None:
         day = date(year, month, 1)
@@ -58,28 +63,43 @@ def run_month(
         table, source = side
         stage_source(spark, root, table, source, year, month, rows.get(source.name))
 
-    def load(table):
+    def load_one(table):
         load_dimension(spark, root, table, strict, buckets, versioned)
-        return table.name, run_check(spark, root, "dimension_duplicate_keys", table.name, table.keys)
+        return run_check(spark, root, "dimension_duplicate_keys", table.name, table.keys)
 
-    def write(table):
+    def load(table):
+        return table.name, journal.once(f"dimension-{table.name}", loaded_from, lambda: load_one(table))
+
+    def write_one(table):
         share = broadcast_bytes // max(1, min(concurrent_jobs, len(star.facts)))
         rejected = load_fact(spark, root, star, table, year, month, share, sizes, versioned)
-        measured = run_check(
+        found = run_check(
             spark, root, "fact_keys", table.name, table.required, table.max_null_percent, period=(year, month)
         )
-        return table.name, {**measured, "rejected_rows": rejected}
+        return {**found, "rejected_rows": rejected}
 
-    # Sources over the same raw files are folded in one pass of the text.
-    rows = {}
-    for part in _together(spark, fold, shared_passes(star), concurrent_jobs):
-        rows.update(part)
+    def write(table):
+        raw = raw_files(spark, root, [table.family], year, month)
+        written_from = made_from(loaded_from, table, raw)
+        return table.name, journal.once(f"fact-{table.name}", written_from, lambda: write_one(table))
 
-    sides = [(table, source) for table in star.dimensions for source in table.sources]
-    _together(spark, stage, sides, concurrent_jobs)
+    def stage_all():
+        # Sources over the same raw files are folded in one pass of the text.
+        for part in _together(spark, fold, shared_passes(star), concurrent_jobs):
+            rows.update(part)
+        sides = [(table, source) for table in star.dimensions for source in table.sources]
+        _together(spark, stage, sides, concurrent_jobs)
+
+    rows = {}
+    journal = Journal(spark, root, year, month, resume)
+    families = [family for table in star.dimensions for source in table.sources for family in source.families]
+    staged_from = made_from(star.dimensions, versioned, raw_files(spark, root, families, year, month))
+    loaded_from = made_from(staged_from, strict, buckets)
+    journal.once("staging", staged_from, stage_all)
     checked = _together(spark, load, star.dimensions, concurrent_jobs)
-    sizes = measured_dimensions(spark, root, star)
+    sizes = measured_dimensions(spark, root, star) if star.facts else {}
     checked += _together(spark, write, star.facts, concurrent_jobs)
+    journal.drop()
     return dict(checked)
 
 
