@@ -155,23 +155,31 @@ def learn(
     """Trees learned from at most ``rows`` labelled documents that ``may_learn`` admits.
 
     The chosen labels are bounded by ``rows`` and are broadcast; the statistics
-    of their documents are all that the driver gets. Null labels teach nothing.
+    of their documents are all that the driver gets, one row for each label: of
+    documents that share an id the one whose statistics are smallest. Null labels
+    teach nothing.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & may_learn)
     chosen = (
         known.groupBy(id_col).agg(F.min(label_col).alias("label"))
         .orderBy(F.xxhash64(id_col), id_col).limit(rows)
     )
-    wanted = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(id_col, "label", text_col)
+    wanted = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(
+        F.col(id_col).alias("id"), "label", text_col
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [statistics(t) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["label", "row"]
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["id", "label", "row"]
             )
 
-    got = wanted.transform(mapped, run, f"label {kind_of(chosen, 'label')}, row array<double>").collect()
+    schema = f"id {kind_of(wanted, 'id')}, label {kind_of(chosen, 'label')}, row array<double>"
+    got = (
+        wanted.transform(mapped, run, schema)
+        .groupBy("id").agg(F.min("label").alias("label"), F.min("row").alias("row")).collect()
+    )
     table = np.array(sorted([*r["row"], float(r["label"])] for r in got)).reshape(-1, len(NAMES) + 1)
     return fit(table[:, :-1], table[:, -1])
 

@@ -515,3 +515,17 @@ def test_long_runs_take_linear_time():
         pii.base_spans(unit * 200_000)
         secrets.base_spans(unit * 200_000)
     assert pii.find("x" * 300_000, weights)[1] == [] and secrets.find("x" * 300_000, encode)[1] == []
+
+
+def test_quality_learns_from_one_row_for_each_label(spark, monkeypatch):
+    from monthstar.llm import quality
+
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: seen.append((rows, labels)))
+    docs = spark.range(1000).selectExpr("1L as doc_id", "concat('text ', id) as text")
+    docs = docs.union(spark.createDataFrame([(2, "other"), (2, "a longer other text"), (3, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 1)], "doc_id long, quality int")
+    for one in (docs, docs.repartition(7), docs.orderBy("text")):
+        quality.learn(one, labels, F.lit(True))
+    assert all(len(rows) == 3 for rows, _ in seen)
+    assert all((rows == seen[0][0]).all() and (given == seen[0][1]).all() for rows, given in seen)
