@@ -32,8 +32,9 @@ BLOCK_CHARS = 1_000_000
 TASK_WORDS = 1_000_000
 #: Buckets of the literal rank map, a power of two.
 BUCKETS = 1 << 15
-#: Stands before and after the bytes of a word; no token has it.
-EDGE = "\u0100"
+#: The lower half of a long, and what stands for the rank of a pair that is no token.
+MASK = (1 << 32) - 1
+NO_RANK = (MASK >> 1) << 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,8 +53,8 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
 
 
 def _rank(table: Column, chars: Column) -> Column:
-    bucket = F.crc32(chars.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int") + 1
-    return F.element_at(F.element_at(table, bucket), chars)
+    bucket = F.crc32(chars.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")
+    return F.try_element_at(F.get(table, bucket), chars)
 
 
 def _let(value: Column, use) -> Column:
@@ -64,51 +65,58 @@ def _let(value: Column, use) -> Column:
 def word_ids(table: Column, word: Column) -> Column:
     """Token ids of a word: its own rank, or what the fold of merges leaves.
 
-    The state is the parts of the word and the rank of each pair of them, null
-    where the pair is no token; a step looks up the two pairs beside its merge.
+    The state is where the parts of the word begin (and the last one ends), and the
+    rank of each pair of neighbours, ``NO_RANK`` where the pair is no token. Ranks
+    are held in the upper half of a long, so that with its place in the lower half
+    the least of them is the leftmost pair of lowest rank. A step takes one border
+    away and looks up the two pairs beside its merge.
     """
 
+    def part(starts: Column, first: Column, last: Column) -> Column:
+        begin = F.get(starts, first)
+        return F.substring(word, begin, F.get(starts, last) - begin)
+
+    def pair(chars: Column) -> Column:
+        return F.coalesce(F.shiftleft(_rank(table, chars).cast("long"), 32), F.lit(NO_RANK))
+
     def step(state: Column, _: Column) -> Column:
-        parts, ranks = state["parts"], state["ranks"]
+        starts, ranks = state["starts"], state["ranks"]
 
         def merge(at: Column) -> Column:
-            # The edges have no rank, so there is a part on either side of the pair.
-            def put(token: Column) -> Column:
-                beside = F.array(
-                    _rank(table, F.concat(F.get(parts, at - 2), token)),
-                    _rank(table, F.concat(token, F.get(parts, at + 1))),
-                )
-                end = F.size(parts)
-                return F.struct(
-                    F.concat(F.slice(parts, 1, at - 1), F.array(token), F.slice(parts, at + 2, end)).alias("parts"),
-                    F.concat(F.slice(ranks, 1, at - 2), beside, F.slice(ranks, at + 2, end)).alias("ranks"),
-                )
-
-            return _let(F.concat(F.get(parts, at - 1), F.get(parts, at)), put)
-
-        def lowest(rank: Column) -> Column:
-            at = F.array_position(ranks, rank).cast("int")
-            return F.when(rank.isNotNull(), _let(at, merge)).otherwise(state)
-
-        return _let(F.array_min(ranks), lowest)
-
-    def fold(parts: Column) -> Column:
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda i: _rank(table, F.concat(F.get(parts, i), F.get(parts, i + 1))),
-        )
+            def beside(rank: Column, i: Column) -> Column:
+                before = F.when(i == at - 1, pair(part(starts, at - 1, at + 2)))
+                return before.when(i == at, pair(part(starts, at, at + 3))).otherwise(rank)
+
+            return F.struct(
+                F.filter(starts, lambda _, i: i != at + 1).alias("starts"),
+                F.transform(F.filter(ranks, lambda _, i: i != at), beside).alias("ranks"),
+            )
+
+        def lowest(least: Column) -> Column:
+            at = least.bitwiseAND(F.lit(MASK)).cast("int")
+            return F.when(least < F.lit(NO_RANK), _let(at, merge)).otherwise(state)
+
+        return _let(F.array_min(F.transform(ranks, lambda rank, i: rank.bitwiseOR(i.cast("long")))), lowest)
+
+    def fold(size: Column) -> Column:
         return F.aggregate(
-            F.sequence(F.lit(1), F.size(parts) - 3),
-            F.struct(parts.alias("parts"), pairs.alias("ranks")),
+            F.sequence(F.lit(2), size),
+            F.struct(
+                F.sequence(F.lit(1), size + 1).alias("starts"),
+                F.transform(F.sequence(F.lit(1), size - 1), lambda i: pair(F.substring(word, i, F.lit(2)))).alias(
+                    "ranks"
+                ),
+            ),
             step,
             lambda state: F.transform(
-                F.slice(state["parts"], 2, F.size(state["parts"]) - 2), lambda part: _rank(table, part)
+                F.sequence(F.lit(0), F.size(state["starts"]) - 2),
+                lambda i: _rank(table, part(state["starts"], i, i + 1)),
             ),
         )
 
-    letters = F.split(F.concat(F.lit(EDGE), word, F.lit(EDGE)), r"(?!\z)")
     return _let(
-        _rank(table, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(letters, fold))
+        _rank(table, word),
+        lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(F.length(word), fold)),
     )
 
 
