@@ -13,9 +13,11 @@ so that a lookup reads a few entries.
 from __future__ import annotations
 
 import base64
+import itertools
 import json
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ BLOCK_CHARS = 1_000_000
 #: Distinct words that a task remembers; beyond it the task numbers words anew.
 TASK_WORDS = 1_000_000
 #: Buckets of the literal rank map, a power of two.
-BUCKETS = 1 << 15
+BUCKETS = 1 << 16
 #: The lower half of a long, and what stands for the rank of a pair that is no token.
 MASK = (1 << 32) - 1
 NO_RANK = (MASK >> 1) << 32
@@ -65,52 +67,53 @@ def _let(value: Column, use) -> Column:
 def word_ids(table: Column, word: Column) -> Column:
     """Token ids of a word: its own rank, or what the fold of merges leaves.
 
-    The state is where the parts of the word begin (and the last one ends), and the
-    rank of each pair of neighbours, ``NO_RANK`` where the pair is no token. Ranks
-    are held in the upper half of a long, so that with its place in the lower half
-    the least of them is the leftmost pair of lowest rank. A step takes one border
-    away and looks up the two pairs beside its merge.
+    The state is an array of longs, one for each part of the word and one for its
+    end. The lower half says where the part begins, the upper half holds the rank of
+    the pair that it begins, or of ``NO_RANK`` where that is no token. So the least
+    entry is the leftmost pair of lowest rank. A step takes out the entry of that
+    pair's second part and looks up the two pairs beside the merge.
     """
 
-    def part(starts: Column, first: Column, last: Column) -> Column:
-        begin = F.get(starts, first)
-        return F.substring(word, begin, F.get(starts, last) - begin)
+    def begin(cell: Column) -> Column:
+        return cell.bitwiseAND(F.lit(MASK))
 
-    def pair(chars: Column) -> Column:
-        return F.coalesce(F.shiftleft(_rank(table, chars).cast("long"), 32), F.lit(NO_RANK))
+    def part(cells: Column, first: Column, last: Column) -> Column:
+        start = begin(F.get(cells, first)).cast("int")
+        return F.substring(word, start, begin(F.get(cells, last)).cast("int") - start)
 
-    def step(state: Column, _: Column) -> Column:
-        starts, ranks = state["starts"], state["ranks"]
+    def cell(chars: Column, start: Column) -> Column:
+        ranked = F.shiftleft(_rank(table, chars).cast("long"), 32)
+        return F.coalesce(ranked, F.lit(NO_RANK)).bitwiseOR(start)
 
-        def merge(at: Column) -> Column:
-            def beside(rank: Column, i: Column) -> Column:
-                before = F.when(i == at - 1, pair(part(starts, at - 1, at + 2)))
-                return before.when(i == at, pair(part(starts, at, at + 3))).otherwise(rank)
+    def step(cells: Column, _: Column) -> Column:
+        def merge(second: Column) -> Column:
+            def beside(old: Column, i: Column) -> Column:
+                left = cell(part(cells, second - 2, second + 1), begin(old))
+                right = cell(part(cells, second - 1, second + 2), begin(old))
+                return F.when(i >= second, old).when(i + 1 == second, right).when(i + 2 == second, left).otherwise(old)
 
-            return F.struct(
-                F.filter(starts, lambda _, i: i != at + 1).alias("starts"),
-                F.transform(F.filter(ranks, lambda _, i: i != at), beside).alias("ranks"),
-            )
+            return F.transform(F.filter(cells, lambda _, i: i != second), beside)
+
+        def join(start: Column) -> Column:
+            return _let(F.size(F.filter(cells, lambda other: begin(other) <= start)), merge)
 
         def lowest(least: Column) -> Column:
-            at = least.bitwiseAND(F.lit(MASK)).cast("int")
-            return F.when(least < F.lit(NO_RANK), _let(at, merge)).otherwise(state)
+            return F.when(least < F.lit(NO_RANK), _let(begin(least), join)).otherwise(cells)
 
-        return _let(F.array_min(F.transform(ranks, lambda rank, i: rank.bitwiseOR(i.cast("long")))), lowest)
+        return _let(F.array_min(cells), lowest)
 
     def fold(size: Column) -> Column:
+        def first(i: Column) -> Column:
+            start = i.cast("long")
+            pair = cell(F.substring(word, i, F.lit(2)), start)
+            return F.when(i < size, pair).otherwise(F.lit(NO_RANK).bitwiseOR(start))
+
         return F.aggregate(
             F.sequence(F.lit(2), size),
-            F.struct(
-                F.sequence(F.lit(1), size + 1).alias("starts"),
-                F.transform(F.sequence(F.lit(1), size - 1), lambda i: pair(F.substring(word, i, F.lit(2)))).alias(
-                    "ranks"
-                ),
-            ),
+            F.transform(F.sequence(F.lit(1), size + 1), first),
             step,
-            lambda state: F.transform(
-                F.sequence(F.lit(0), F.size(state["starts"]) - 2),
-                lambda i: _rank(table, part(state["starts"], i, i + 1)),
+            lambda cells: F.transform(
+                F.sequence(F.lit(0), F.size(cells) - 2), lambda i: _rank(table, part(cells, i, i + 1))
             ),
         )
 
@@ -210,46 +213,51 @@ def _matcher(pattern: str):
     return words
 
 
+def _numbers() -> defaultdict[str, int]:
+    """Numbers words from 0 as they are asked for."""
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    return number
+
+
 def _blocks(id_col: str, text_col: str, pattern: str, task_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _matcher(pattern)
         held: list[pa.Array] = []
         counts: list[int] = []
         places: list[np.ndarray] = []
-        number: dict[str, int] = {}
-        new: list[str] = []
+        number, sent = _numbers(), 0
         chars, fresh = 0, True
 
         def block() -> pa.RecordBatch:
+            new = [*itertools.islice(reversed(number), len(number) - sent)][::-1]
             lists = [
                 pa.concat_arrays(held),
                 pa.array(counts, pa.int32()),
                 pa.array(np.concatenate(places) if places else [], pa.int32()),
                 pa.array([w.encode("utf-8").decode("latin-1") for w in new], pa.string()),
             ]
-            doc, n_words, at, sent = (
+            doc, n_words, at, fresh_words = (
                 pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values) for values in lists
             )
             return pa.RecordBatch.from_arrays(
-                [doc, n_words, at, pa.array([fresh]), sent], names=["doc", "n_words", "at", "fresh", "words"]
+                [doc, n_words, at, pa.array([fresh]), fresh_words], names=["doc", "n_words", "at", "fresh", "words"]
             )
 
         for ids, values in texts(batches, id_col, text_col):
             held.append(ids)
             for text in values:
                 found = words(text) if text else ()
-                for word in sorted(set(found).difference(number)):
-                    number[word] = len(number)
-                    new.append(word)
                 counts.append(len(found))
                 if found:
                     places.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
                 chars += len(text or "")
             if chars >= BLOCK_CHARS:
                 yield block()
-                held, counts, places, new, chars, fresh = [], [], [], [], 0, False
+                held, counts, places, chars, fresh = [], [], [], 0, False
                 if len(number) > task_words:
-                    number, fresh = {}, True
+                    number, fresh = _numbers(), True
+                sent = len(number)
         if held:
             yield block()
 
