@@ -38,9 +38,26 @@ def row_count(df: DataFrame, minimum: int = 0, period: tuple[int, int] | None =
     return counts.withColumn("passed", F.col("n_rows") >= F.lit(int(minimum)))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number of keys held by more than one row; null keys count as equal."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def duplicate_keys(
+    df: DataFrame, keys: Sequence[str], id_column: str | None = None, checked: int = 0
+) -> DataFrame:
+    """Number of keys held by more than one row; null keys count as equal.
+
+    With ``id_column``, rows with ids up to ``checked`` are known to hold every key
+    once. Only later rows are grouped then, those without an id too; of the earlier
+    ones just those remain that hold a later row's key. Where these keys are few by
+    Spark's own measure, the earlier rows are read but not shuffled.
+    """
+    if id_column is None:
+        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    else:
+        earlier = F.coalesce(F.col(id_column) <= F.lit(int(checked)), F.lit(False))
+        later = df.where(~earlier).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        asked = later.select(*[F.col(key).alias(f"_later_{key}") for key in keys])
+        same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_later_{key}")) for key in keys])
+        met = df.where(earlier).select(*keys).join(asked, same, "left_semi")
+        rows = later.unionByName(met.withColumn("_rows", F.lit(1).cast("long")))
+        groups = rows.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
     return groups.where("_rows > 1").agg(F.count(F.lit(1)).alias("duplicate_keys"))
 
 
@@ -70,9 +87,15 @@ def enforce_rows(
     return measured
 
 
-def enforce_duplicate_keys(df: DataFrame, keys: Sequence[str], table: str = "dimension") -> dict:
-    """Raise when a key occurs more than once."""
-    measured = duplicate_keys(df, keys).first().asDict()
+def enforce_duplicate_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    table: str = "dimension",
+    id_column: str | None = None,
+    checked: int = 0,
+) -> dict:
+    """Raise when a key occurs more than once; rows with ids up to ``checked`` have passed before."""
+    measured = duplicate_keys(df, keys, id_column, checked).first().asDict()
     if measured["duplicate_keys"] > 0:
         raise DuplicateKeyError(f"{table}: {measured['duplicate_keys']} duplicate keys on {list(keys)}")
     return measured

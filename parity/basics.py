@@ -394,3 +394,14 @@ def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("""
+    select count(*) as duplicate_keys
+    from (
+      select o_custkey, o_orderdate from orders group by 1, 2
+      having count(*) > 1 and max(o_orderkey) > 1000
+    )
+""")
+def dq_duplicate_keys_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_keys(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"], "o_orderkey", checked=1000)

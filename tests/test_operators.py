@@ -274,3 +274,15 @@ def test_duplicate_keys(spark):
         enforce_duplicate_keys(df, ["k"], "vendor")
     assert str(caught.value) == "vendor: 2 duplicate keys on ['k']"
     assert enforce_duplicate_keys(df.where(F.col("k") == 1), ["k", "l"]) == {"duplicate_keys": 0}
+
+
+def test_duplicate_keys_of_later_rows(spark):
+    rows = [(1, "a", 1), (2, None, 1), (3, "b", 1), (4, "c", 1), (5, "c", 1)]
+    df = spark.createDataFrame(rows, "id long, k string, l int")
+    assert duplicate_keys(df, ["k", "l"], "id", 0).collect() == duplicate_keys(df, ["k", "l"]).collect() == [(1,)]
+    assert duplicate_keys(df, ["k", "l"], "id", 5).collect() == [(0,)]
+    more = spark.createDataFrame([(6, "a", 1), (7, None, 1), (None, "b", 1), (8, "d", 1)], df.schema)
+    across = df.where("id < 5").union(more)
+    assert duplicate_keys(across, ["k", "l"], "id", 4).collect() == duplicate_keys(across, ["k", "l"]).collect() == [(3,)]
+    with pytest.raises(DuplicateKeyError):
+        enforce_duplicate_keys(across, ["k", "l"], "vendor", "id", 4)

@@ -25,7 +25,9 @@ def test_no_pairs_and_no_python(spark, name):
         assert operator not in text
 
 
-ONE_TASK = {"agg_max_id", "dq_row_count", "dq_fact_null_keys", "dq_duplicate_keys", "surrogate_ids"}
+ONE_TASK = {
+    "agg_max_id", "dq_row_count", "dq_fact_null_keys", "dq_duplicate_keys", "dq_duplicate_keys_later", "surrogate_ids"
+}
 
 
 @pytest.mark.parametrize("name", DIRECT)
