@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import date
 
@@ -15,6 +16,8 @@ from monthstar.sources.requests import extraction
 
 #: Calls of one step, about; a landing that is cut off repeats those of one step at most.
 STEP_CALLS = 480
+#: Seconds of one step, about, where calls are so quick that more of them are made in a step.
+STEP_SECONDS = 20
 
 
 def land_extraction(
@@ -35,7 +38,8 @@ def land_extraction(
     files of the month, which readers would add to them, are an error. So is a
     page limit, which would land part of the records.
 
-    Pages are fetched in steps of about ``step_calls`` calls. What a step fetched
+    Pages are fetched in steps of about ``step_calls`` calls, or of more where these
+    take less than ``STEP_SECONDS``. What a step fetched
     is kept under ``loading`` with the place that each request has reached, so a
     landing that was cut off goes on from its last whole step when it is called
     again. A landing that ended keeps nothing, and the next fetches anew.
@@ -74,20 +78,31 @@ def fetch_in_steps(
     A step takes as many unfinished runs as it may make calls, and of each as
     many pages as share these calls. It is one write, and counts once that write
     has ended; a step that failed leaves nothing that is read.
+
+    The first step makes ``step_calls`` calls. One that ended in less than half of
+    ``STEP_SECONDS`` is followed by one of twice as many, so that the jobs of the
+    steps take a bounded share of the time however many calls there are; what a
+    cut-off repeats is then some seconds of calls. Where a service or its limit
+    makes calls slow, all steps are of ``step_calls``.
     """
     spark = asked.sparkSession
     steps = _whole_steps(spark, journal)
+    calls = step_calls
     while True:
         left = asked.join(_reached(spark, steps), ["request", "offset"], "left").where("done is not true")
-        some = left.select("request", "offset", "page").orderBy("request", "offset").limit(step_calls)
+        some = left.select("request", "offset", "page").orderBy("request", "offset").limit(calls)
         number = some.count()
         if not number:
             return _stored(spark, steps).where("record is not null").select("request", "page", "record")
         step = f"{journal}/step-{len(steps):06d}"
-        fetch_step(some, transport, paging, max(1, step_calls // number), max_parallel).write.mode(
-            "overwrite"
-        ).parquet(step)
+        began = time.monotonic()
+        fetch_step(some, transport, paging, max(1, calls // number), max_parallel).write.mode("overwrite").parquet(step)
         steps.append(step)
+        took = time.monotonic() - began
+        if took < STEP_SECONDS / 2:
+            calls *= 2
+        elif took > STEP_SECONDS * 2:
+            calls = max(step_calls, calls // 2)
 
 
 def _whole_steps(spark: SparkSession, journal: str) -> list[str]:

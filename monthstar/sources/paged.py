@@ -13,6 +13,7 @@ import time
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -91,15 +92,21 @@ def records_of(body: str) -> list[str]:
     body = body.strip(blank)
     if not (body.startswith("[") and body.endswith("]")):
         raise ValueError("a page is not an array of records")
+    scan, between = decoder.scan_once, blank + ","
     records, at, end = [], 1, len(body) - 1
     while True:
-        while body[at] in blank or body[at] == ",":
+        while body[at] in between:
             at += 1
         if at == end:
             break
         start = at
-        _, at = decoder.raw_decode(body, start)
-        records.append(body[start:at].replace("\r", " ").replace("\n", " "))
+        try:
+            _, at = scan(body, start)
+        except StopIteration:
+            decoder.raw_decode(body, start)
+        records.append(body[start:at])
+    if "\r" in body or "\n" in body:
+        records = [record.replace("\r", " ").replace("\n", " ") for record in records]
     return records
 
 
@@ -201,6 +208,8 @@ def _placed(found: DataFrame, max_parallel: int | None) -> tuple[DataFrame, int]
     return found.repartition(max_parallel, "request", "offset"), max_parallel
 
 
+#: Records that a task of a step hands on together, about.
+BATCH_RECORDS = 1000
 STEP_COLUMNS = "request string, offset int, page int, record string, done boolean"
 _STEP = pa.schema(
     [("request", pa.string()), ("offset", pa.int32()), ("page", pa.int32())]
@@ -219,10 +228,16 @@ def fetch_step(
     _ship_by_value()
     placed, shares = _placed(found, max_parallel)
 
-    def rows(run: Mapping, page: int | None, records: list, done: bool | None) -> pa.RecordBatch:
-        count = len(records)
-        columns = [[run["request"]] * count, [run["offset"]] * count, [page] * count, records, [done] * count]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STEP)], schema=_STEP)
+    def rows(run: Mapping, pages: list, counts: list[int], records: list, done: bool | None) -> pa.RecordBatch:
+        number = len(records)
+        columns = [
+            pa.repeat(pa.scalar(run["request"], pa.string()), number),
+            pa.repeat(pa.scalar(run["offset"], pa.int32()), number),
+            pa.array(pages, pa.int32()).take(pa.array(np.repeat(np.arange(len(pages)), counts))),
+            pa.array(records, pa.string()),
+            pa.repeat(pa.scalar(done, pa.bool_()), number),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=_STEP)
 
     def fetch(batches):
         turns = Turns(paging.per_minute, TaskContext.get().partitionId(), shares)
@@ -233,15 +248,23 @@ def fetch_step(
                 page = None if single else run["page"] or params[PAGE_PARAM] + run["offset"]
                 # A request without pages has one answer, which its first stride fetches.
                 done = single and run["offset"] > 0
+                held, counts, numbers = [], [], []
                 for _ in range(pages):
                     if done:
                         break
                     records = fetch_page(transport, params if single else {**params, PAGE_PARAM: page}, paging, turns)
                     done = single or not records
-                    yield rows(run, page, records, None)
+                    held += records
+                    counts.append(len(records))
+                    numbers.append(page)
+                    if len(held) >= BATCH_RECORDS:
+                        yield rows(run, numbers, counts, held, None)
+                        held, counts, numbers = [], [], []
                     if not single:
                         page += paging.strides
-                yield rows(run, page, [None], done)
+                if held:
+                    yield rows(run, numbers, counts, held, None)
+                yield rows(run, [page], [1], [None], done)
 
     return placed.mapInArrow(fetch, STEP_COLUMNS)
 

@@ -42,6 +42,8 @@ from monthstar.specs.spending import VOUCHERS
 from parity.registry import query, scratch, table
 
 RECORDS_PER_PAGE = 100
+#: Recorded pages that lie in a folder together, where one request has many.
+PAGES_PER_BLOCK = 1000
 #: Suppliers that an invented agency has, and that a page of its documents holds.
 SUPPLIERS_OF_AGENCY, SUPPLIERS_OF_PAGE = 20, 8
 
@@ -195,7 +197,10 @@ def src_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_pages(df: DataFrame, path: str) -> None:
-    """Rows recorded as one request's pages: numbered from 1 without a gap, a page for an Arrow batch's part."""
+    """Rows recorded as one request's pages: numbered from 1 without a gap, a page for an Arrow batch's part.
+
+    The pages lie in blocks, so that a task which goes on at some page reads its block and not all that lie before.
+    """
     spark = df.sparkSession
 
     def pages(batches):
@@ -209,7 +214,8 @@ def record_pages(df: DataFrame, path: str) -> None:
     items.select("items", F.monotonically_increasing_id().alias("place")).write.parquet(unnumbered)
     numbered = number_rows(spark.read.parquet(unnumbered), ["place"], "page")
     line = F.concat(F.lit('{"page": '), "page", F.lit(', "items": '), "items", F.lit("}"))
-    numbered.select(line).write.text(path)
+    block = F.floor((F.col("page") - 1) / PAGES_PER_BLOCK).alias("block")
+    numbered.select(line.alias("line"), block).write.partitionBy("block").text(path)
 
 
 PAGED_EVENT = "event_id bigint, user_id bigint, event_type string"
@@ -270,7 +276,7 @@ def land_month(spark: SparkSession, sf_dir: str) -> DataFrame:
             root,
             "corporate_card_expenses",
             day,
-            lambda endpoint: RecordedPages(f"{recorded}{endpoint}"),
+            lambda endpoint: RecordedPages(f"{recorded}{endpoint}", block=PAGES_PER_BLOCK),
             Paging(sleep=0),
         )
     landed = read_family(spark, root, VOUCHERS, 2020, 1)
@@ -302,7 +308,9 @@ def land_agency_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.write.partitionBy("unidadeGestora").text(f"{recorded}/despesas/documentos")
 
     def transport(endpoint: str) -> RecordedPages:
-        return RecordedPages(f"{recorded}{endpoint}", "unidadeGestora" if "documentos" in endpoint else None)
+        if "documentos" in endpoint:
+            return RecordedPages(f"{recorded}{endpoint}", "unidadeGestora")
+        return RecordedPages(f"{recorded}{endpoint}", block=PAGES_PER_BLOCK)
 
     for name in ("government_agencies", "agency_expenses_documents"):
         path = land_extraction(spark, root, name, day, transport, Paging(sleep=0), max_parallel=4, step_calls=250)

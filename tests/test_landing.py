@@ -10,7 +10,7 @@ import pytest
 from monthstar.plans import land_extraction
 from monthstar.plans.landing import fetch_in_steps
 from monthstar.sources.paged import Paging, Turns, fetch_pages, runs
-from monthstar.sources.transports import Reply
+from monthstar.sources.transports import RecordedPages, Reply
 
 
 class Clock:
@@ -138,6 +138,27 @@ def test_a_landing_that_was_cut_off_fetches_only_the_rest(spark, tmp_path):
     assert len(calls(log)) <= len(whole) + 8 * 4
 
 
+def test_steps_of_quick_calls_grow_and_stay_few(spark, tmp_path):
+    journal = tmp_path / "journal"
+    asked = runs(requests(spark, 80), Paging(0, 0))
+    found = fetch_in_steps(asked, Logged(tmp_path / "calls"), Paging(0, 0), str(journal), 2, step_calls=2)
+    assert ids(found) == expected(80) and len(calls(tmp_path / "calls")) == 200
+    assert 3 <= len(list(journal.glob("step-*/_SUCCESS"))) <= 16
+
+
+def test_recorded_pages_read_the_block_asked_for(tmp_path):
+    for block, pages in ((0, (1, 2)), (1, (3, 4)), (2, (5,))):
+        folder = tmp_path / f"block={block}"
+        folder.mkdir()
+        lines = [json.dumps({"page": page, "items": [page, -page]}) for page in pages]
+        (folder / "part-0.txt").write_text("\n".join(lines))
+    service = RecordedPages(str(tmp_path), block=2)
+    assert [json.loads(service({"pagina": page}).body) for page in (1, 2, 3, 4, 5)] == [[p, -p] for p in range(1, 6)]
+    assert service({"pagina": 6}).body == service({"pagina": 7}).body == "[]"
+    (tmp_path / "block=0" / "part-0.txt").write_text("not read")
+    assert json.loads(RecordedPages(str(tmp_path), block=2)({"pagina": 4}).body) == [4, -4]
+
+
 class Service:
     """The three extractions over invented agencies; fails at an agency while a flag is there."""
 
