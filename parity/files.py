@@ -298,6 +298,8 @@ def land_agency_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     agency = F.floor(F.col("s_suppkey") / SUPPLIERS_OF_AGENCY).cast("string")
     documents = table(spark, sf_dir, "supplier").select(agency.alias("agency"), F.col("s_suppkey").alias("document_id"))
     record_pages(documents.select(F.col("agency").alias("codigo")).distinct(), f"{recorded}/orgaos-siafi")
+    # One shuffle, by agency: it serves the window, the pages and the folders, which all cores write, each by one task.
+    documents = documents.repartition(spark.sparkContext.defaultParallelism, "agency")
     place = F.row_number().over(Window.partitionBy("agency").orderBy("document_id")) - 1
     page = (F.floor(place / SUPPLIERS_OF_PAGE) + 1).alias("page")
     paged = documents.select("agency", page, F.to_json(F.struct("agency", "document_id")).alias("record"))
