@@ -36,16 +36,20 @@ def overwrite_partitions(
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def land_records(df: DataFrame, path: str, column: str | None = None) -> None:
+def land_records(df: DataFrame, path: str, column: str | None = None, file_records: int = 0) -> None:
     """Write raw records as JSON lines, non-ASCII text kept.
 
     ``column`` names a column that holds records as JSON text already; without
-    it every row becomes an object.
+    it every row becomes an object. ``file_records`` above 0 compresses the
+    files, which then do not split, and puts at most so many records into one.
     """
+    writer = (df if column is None else df.select(column)).write.mode("overwrite")
+    if file_records > 0:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", file_records)
     if column is None:
-        df.write.mode("overwrite").json(path)
+        writer.json(path)
     else:
-        df.select(column).write.mode("overwrite").text(path)
+        writer.text(path)
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

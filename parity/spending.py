@@ -23,6 +23,8 @@ from parity.flows import money
 from parity.registry import query, scratch, table
 
 YEAR, MONTH = 1998, 3
+#: Vouchers in a compressed raw file; as plain text they are some 80 MB.
+VOUCHERS_PER_FILE = 100_000
 STAR = Star(
     SPENDING_WITH_TYPES.dimensions,
     tuple(replace(fact, max_null_percent=60) for fact in SPENDING_WITH_TYPES.facts),
@@ -119,7 +121,8 @@ def write_raw(spark: SparkSession, sf_dir: str, root: str) -> None:
     )
     write_csv(items, f"{folder}/Despesas_ItemEmpenho_{stamp}01")
     events = table(spark, sf_dir, "events").join(people, F.col("user_id") == F.col("c_custkey"), "left")
-    land_records(_vouchers(events), f"{root}/raw_data/credit_card_vouchers/corporate-card-expenses-{YEAR}-{MONTH:02d}")
+    landed = f"{root}/raw_data/credit_card_vouchers/corporate-card-expenses-{YEAR}-{MONTH:02d}"
+    land_records(_vouchers(events), landed, file_records=VOUCHERS_PER_FILE)
 
 
 def _vouchers(events: DataFrame) -> DataFrame:

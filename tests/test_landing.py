@@ -1,5 +1,6 @@
 """Fetching under one budget of calls, and landing that goes on where it was cut off."""
 
+import gzip
 import json
 import time
 from datetime import date
@@ -9,6 +10,8 @@ import pytest
 
 from monthstar.plans import land_extraction
 from monthstar.plans.landing import fetch_in_steps
+from monthstar.sinks import land_records
+from monthstar.sources import read_json
 from monthstar.sources.paged import Paging, Turns, fetch_pages, runs
 from monthstar.sources.transports import RecordedPages, Reply
 
@@ -159,6 +162,20 @@ def test_recorded_pages_read_the_block_asked_for(tmp_path):
     assert json.loads(RecordedPages(str(tmp_path), block=2)({"pagina": 4}).body) == [4, -4]
 
 
+def test_raw_records_in_compressed_files_of_bounded_length(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = spark.range(0, 25, 1, 2).selectExpr("id", "concat('ação ', id) as name", "if(id = 3, null, id) as amount")
+    land_records(rows, path, file_records=4)
+    files = list(Path(path).glob("part-*"))
+    assert files and all(file.name.endswith(".json.gz") for file in files)
+    lines = [gzip.decompress(file.read_bytes()).decode("utf-8").splitlines() for file in files]
+    assert max(map(len, lines)) == 4 and sum(map(len, lines)) == 25
+    read = read_json(spark, path, "id long, name string, amount long", "unreadable_line")
+    assert sorted(read.drop("unreadable_line").collect()) == sorted(rows.collect())
+    land_records(rows.selectExpr("to_json(struct(*)) as record"), path, "record", file_records=4)
+    assert sorted(read_json(spark, path, "id long, name string, amount long").collect()) == sorted(rows.collect())
+
+
 class Service:
     """The three extractions over invented agencies; fails at an agency while a flag is there."""
 
