@@ -38,7 +38,7 @@ END_ID = 0
 SHARD_TOKENS = 1 << 22
 #: Bits of a chunk of a plane; a multiple of 64.
 CHUNK_BITS = 1 << 15
-#: Distinct pieces of text whose ids a task remembers.
+#: Distinct pieces of text whose ids a worker remembers; beyond it those go that were met in one batch only.
 KNOWN_PIECES = 700_000
 
 # The first bytes of a file, and what follows them (bytes of the header).
@@ -51,9 +51,12 @@ _UNUSUAL = (
     r"[\t\x0b\f\r ][\t-\r ]|\n[\t\x0b\f\r ]|\n\n\n|[\t-\r ][\t-\r ]\z"
     r"|[\x00\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 )
-#: Marks a cut, a stop behind a letter or digit before one, and pieces between which the library cuts by itself.
+#: Marks a cut, signs behind a letter or digit before one, and pieces between which the library cuts by itself.
+#: The signs are ASCII without the apostrophe, and the letters are such by every version of Unicode.
 _CUT = "\0"
-_STOPPED = r"([0-9A-Za-z])([.,;:!?])\x00"
+_LETTERS = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}"
+_STOPPED = rf"([0-9{_LETTERS}])([!-&(-/:-@\[-`{{-~]+)\x00"
+_WORD = rf"\A [{_LETTERS}]+\z"
 _JOINED = r"(?s)\A[ \n].*[^\t-\r ]\z"
 
 
@@ -77,49 +80,103 @@ def token_bytes(path: str) -> np.ndarray:
     return out
 
 
+@cache
+def word_tokenizer(path: str):
+    """The model of a tokenizer file by itself, and how it spells each byte.
+
+    It takes spelled words, each behind a space, and cuts before each space. None
+    where the tokenizer does more to such words than to spell their bytes.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    whole = tokenizer(path)
+    if whole.normalizer is not None or whole.pre_tokenizer is None:
+        return None
+    # Two bytes that are no text by themselves are found in the spelling of a letter.
+    spelled: dict[int, str] = {}
+    for code in range(0x21, 0x250):
+        parts = whole.pre_tokenizer.pre_tokenize_str(chr(code))
+        spelled.update(zip(chr(code).encode(), "".join(part for part, _ in parts)))
+    space = "".join(part for part, _ in whole.pre_tokenizer.pre_tokenize_str(" a"))[:-1]
+    if len(space) != 1 or [part for part, _ in whole.pre_tokenizer.pre_tokenize_str(" ab é")][1:] != [
+        space + "".join(map(spelled.get, "é".encode()))
+    ]:
+        return None
+    out = Tokenizer(whole.model)
+    out.pre_tokenizer = pre_tokenizers.Split(space, "merged_with_next")
+    return out, spelled | {0x20: space}
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library, without special tokens.
 
     Such a tokenizer cuts a text before every space or line end that follows a
-    visible character, and between a letter and a stop, so the pieces between these
-    cuts are encoded once each and remembered. Texts with other white space are
-    handed to the library whole.
+    visible character, and between a letter and the signs behind it, so the pieces
+    between these cuts are encoded once each and remembered. Texts with other white
+    space are handed to the library whole.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.bytes = tokenizer(path), token_bytes(path)
-        self._forget()
-
-    def _forget(self) -> None:
+        self.tokenizer, self.bytes, self.words = tokenizer(path), token_bytes(path), word_tokenizer(path)
         self.known = pa.array([], pa.string())
+        self.met = np.empty(0, bool)
         self.starts, self.sizes, self.flat = (np.empty(0, np.int32) for _ in range(3))
 
+    def _forget(self) -> None:
+        """Keeps the pieces that were met again since the last time, the latest half of what may be remembered at most."""
+        again = np.flatnonzero(self.met)
+        again = again[max(0, len(again) - KNOWN_PIECES // 2) :]
+        self.known = self.known.take(pa.array(again))
+        self.flat, self.sizes = self._ids(again)
+        self.starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+        self.met = np.zeros(len(again), bool)
+
     def _add(self, pieces: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
         first = len(self.flat)
         self.known = pa.concat_arrays([self.known, pieces])
+        self.met = np.concatenate([self.met, np.zeros(len(pieces), bool)])
         self.starts = np.concatenate([self.starts, first + np.cumsum(sizes) - sizes], dtype=np.int32)
         self.sizes = np.concatenate([self.sizes, sizes], dtype=np.int32)
         self.flat = np.concatenate([self.flat, ids], dtype=np.int32)
 
+    def _ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces one after another, and how many each has."""
+        sizes = self.sizes[at]
+        before = np.cumsum(sizes, dtype=np.int32) - sizes
+        place = np.repeat(self.starts[at] - before, sizes)
+        place += np.arange(len(place), dtype=np.int32)
+        return self.flat[place], sizes
+
     def _learn(self, pieces: pa.Array) -> np.ndarray:
         """New pieces, handed to the library as one text where it cuts that text between them; returns their numbers."""
-        first, fits = len(self.known), pc.match_substring_regex(pieces, _JOINED)
-        apart, joined = pieces.filter(pc.invert(fits)), pieces.filter(fits)
+        first = len(self.known)
+        kind = pc.match_substring_regex(pieces, _JOINED).to_numpy(zero_copy_only=False).astype(np.int8)
+        if self.words is not None:
+            kind[pc.match_substring_regex(pieces, _WORD).to_numpy(zero_copy_only=False)] = 2
+        places = [np.flatnonzero(kind == k) for k in range(3)]
+        apart, joined, words = (pieces.take(pa.array(place)) for place in places)
         if len(apart):
             coded = self.tokenizer.encode(apart.to_pylist(), is_pretokenized=True, add_special_tokens=False)
-            words = np.array(coded.word_ids, np.int64)
-            self._add(apart, np.bincount(words, minlength=len(apart)), np.array(coded.ids, np.int32))
+            numbers = np.array(coded.word_ids, np.int64)
+            self._add(apart, np.bincount(numbers, minlength=len(apart)), np.array(coded.ids, np.int32))
         if len(joined):
-            coded = self.tokenizer.encode_batch_fast(["".join(joined.to_pylist())], add_special_tokens=False)
-            ids = np.array(coded[0].ids, np.int32)
-            reached = np.cumsum(self.bytes[ids])
-            ends = np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)
-            stops = np.searchsorted(reached, ends) + 1
-            if (reached[stops - 1] != ends).any():
-                raise ValueError("the tokenizer does not cut texts before white space")
-            self._add(joined, np.diff(np.r_[0, stops]), ids)
-        fits = fits.to_numpy(zero_copy_only=False)
-        return first + np.where(fits, len(apart) + np.cumsum(fits), np.cumsum(~fits)) - 1
+            self._add_joined(joined, self.tokenizer, _join(joined))
+        if len(words):
+            model, spelled = self.words
+            self._add_joined(words, model, _join(words).encode().decode("latin-1").translate(spelled))
+        out = np.empty(len(pieces), np.int64)
+        out[np.concatenate(places)] = first + np.arange(len(pieces))
+        return out
+
+    def _add_joined(self, pieces: pa.Array, by, text: str) -> None:
+        """Adds pieces that a tokenizer gets as one text."""
+        ids = np.array(by.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        reached = np.cumsum(self.bytes[ids])
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy(), dtype=np.int64)
+        stops = np.searchsorted(reached, ends) + 1
+        if stops[-1] > len(ids) or (reached[stops - 1] != ends).any():
+            raise ValueError("the tokenizer does not cut texts before white space")
+        self._add(pieces, np.diff(np.r_[0, stops]), ids)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some texts one after another, and where each text's end."""
@@ -136,16 +193,16 @@ class Encoder:
         ends = lists.offsets.to_numpy()
         words = lists.flatten().dictionary_encode()
         pieces = words.dictionary
-        at = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy(zero_copy_only=False).copy()
+        # The table of strings is made of the pieces, which are fewer than those known.
+        there = pc.fill_null(pc.index_in(self.known, value_set=pieces), -1).to_numpy(zero_copy_only=False)
+        found = np.flatnonzero(there >= 0)
+        self.met[found] = True
+        at = np.full(len(pieces), -1, np.int32)
+        at[there[found]] = found
         new = np.flatnonzero(at < 0)
         if len(new):
             at[new] = self._learn(pieces.take(pa.array(new)))
-        at = at[words.indices.to_numpy()]
-        sizes = self.sizes[at]
-        before = np.cumsum(sizes, dtype=np.int32) - sizes
-        place = np.repeat(self.starts[at] - before, sizes)
-        place += np.arange(len(place), dtype=np.int32)
-        ids = self.flat[place]
+        ids, sizes = self._ids(at[words.indices.to_numpy()])
         cuts = np.r_[0, np.cumsum(sizes, dtype=np.int64)][ends - ends[0]]
         if not len(odd):
             return ids, cuts[1:]
@@ -156,6 +213,10 @@ class Encoder:
         return np.concatenate(parts), np.cumsum([len(part) for part in parts])
 
 
+def _join(pieces: pa.Array) -> str:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), "")[0].as_py()
+
+
 @cache
 def encoder(path: str) -> Encoder:
     """One for each worker, so that its tasks share what they have learned."""
@@ -248,12 +309,18 @@ class Shard:
             first = plane * self._each
             begin, end = int(self._places[first]), int(self._places[first + self._each])
             held = self._read(self._at + begin, end - begin)
-            cuts = self._places[first : first + self._each + 1] - begin
-            raw = b"".join(self._grow(held[a:b]) for a, b in zip(cuts[:-1], cuts[1:]))
-            bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=self.n).view(bool)
+            cuts = (self._places[first : first + self._each + 1] - begin).tolist()
             back = np.empty_like(out)
-            back[np.flatnonzero(~bits)] = out[: self.zeros[plane]]
-            back[np.flatnonzero(bits)] = out[self.zeros[plane] :] | out.dtype.type(1 << (width - 1 - plane))
+            zero, one = 0, self.zeros[plane]
+            # A chunk at a time, so that places stay in the processor's cache.
+            for at, a, b in zip(range(0, self.n, self.bits), cuts[:-1], cuts[1:]):
+                here = back[at : at + self.bits]
+                raw = np.frombuffer(self._grow(held[a:b]), np.uint8)
+                bits = np.unpackbits(raw, bitorder="little", count=len(here)).view(bool)
+                low, high = np.flatnonzero(~bits), np.flatnonzero(bits)
+                here[low] = out[zero : zero + len(low)]
+                here[high] = out[one : one + len(high)] | out.dtype.type(1 << (width - 1 - plane))
+                zero, one = zero + len(low), one + len(high)
             out = back
         return out
 

@@ -66,6 +66,25 @@ def test_forgetting_pieces_changes_nothing(monkeypatch, plain):
         assert encode(pa.array([text]))[0].tolist() == plain.encode(text).ids
 
 
+def test_a_piece_met_again_is_learned_once(monkeypatch, plain):
+    monkeypatch.setattr(wavelet, "KNOWN_PIECES", 6)
+    encode, learned = wavelet.Encoder(VOCABULARY), []
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda pieces: learned.extend(pieces.to_pylist()) or learn(pieces))
+    texts = ["x one two", "x one$$$ one,*** two_", *(f"x one new{k} other{k}" for k in range(9))]
+    for text in texts:
+        assert encode(pa.array([text]))[0].tolist() == plain.encode(text).ids
+    assert learned.count(" one") == learned.count("x") == 1 and learned.count("$$$") == learned.count(",***") == 1
+    assert len(encode.known) < 12
+
+
+def test_words_spelled_for_the_model_equal_the_library(plain):
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    text = "a " + " ".join("q" + a + b for a, b in zip(letters, letters[1:] + letters[:1]))
+    assert wavelet.word_tokenizer(VOCABULARY) is not None
+    assert wavelet.Encoder(VOCABULARY)(pa.array([text]))[0].tolist() == plain.encode(text).ids
+
+
 @pytest.mark.parametrize("n, high", [(0, 2), (1, 1), (1, 50257), (1000, 1), (70_000, 50257), (32768, 5), (40_001, 2)])
 def test_questions_equal_plain_arrays(n, high):
     tokens = RNG.integers(0, high, n) if high > 2 else np.repeat([0, 1], [n - n // 3, n // 3])
