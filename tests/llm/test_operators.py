@@ -1,10 +1,13 @@
 """Each operator on odd rows, on an empty table, and against a plain model on random input."""
 
+import gc
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -55,6 +58,27 @@ def test_bpe_that_numbers_words_anew(spark, ranks, monkeypatch):
         assert row["ids"] == own.encode_ordinary(texts[row["doc_id"]])
 
 
+def test_bpe_words_numbered_anew_free_the_old_ones(monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 10_000)
+
+    def blocks(n):
+        batches = (
+            pa.RecordBatch.from_pydict({"doc_id": [i], "text": [" ".join(f"word{i}x{k}" for k in range(1000))]})
+            for i in range(n)
+        )
+        return sum(1 for _ in bpe._blocks("doc_id", "text", r"\S+", 2000)(batches))
+
+    blocks(2)  # what is imported on the way counts for nothing
+    gc.disable()
+    tracemalloc.start()
+    try:
+        assert blocks(100) > 50
+        assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+
+
 def test_bpe_pattern_with_other_classes():
     assert bpe.narrowed(r"\w+|\s") is None
     assert bpe._matcher(r"\w+")("ab cd") == ["ab", "cd"]
